@@ -1,0 +1,25 @@
+"""Join helpers: size-checked broadcast, constant-key single-row join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows; beyond the bound the
+    side is returned unhinted and the join shuffles (AQE may still switch
+    to a broadcast at run time from the real size).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_single_row(df: DataFrame, one_row: DataFrame, how: str = "left") -> DataFrame:
+    """Attach the columns of a one-row aggregate to every row of ``df``
+    (equi-join on a constant key; the one-row side is broadcast)."""
+    return (df.withColumn("_one", F.lit(1))
+            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one", how)
+            .drop("_one"))
