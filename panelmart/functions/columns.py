@@ -82,9 +82,10 @@ def label_map(c, mapping: dict) -> Column:
 
 
 def round_doubles(df, digits: int = 6):
-    """Round every double column (report hygiene for float noise)."""
+    """Round every double column (report hygiene for float noise); adding
+    0.0 folds a rounded -0.0 into 0.0."""
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
