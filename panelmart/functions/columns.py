@@ -82,10 +82,13 @@ def label_map(c, mapping: dict) -> Column:
 
 
 def round_doubles(df, digits: int = 6):
-    """Round every double column (report hygiene for float noise); adding
-    0.0 folds a rounded -0.0 into 0.0."""
+    """Round every double column to ``digits`` places as round(x * 10^d) /
+    10^d on the binary value (so every engine gets the same double; the
+    decimal-string rounding of ``round(x, d)`` differs at half-way cases);
+    adding 0.0 folds a rounded -0.0 into 0.0."""
     return df.select(*[
-        (F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name)
+        (F.round(F.col(f.name) * F.lit(10.0 ** digits), 0) / F.lit(10.0 ** digits)
+         + F.lit(0.0)).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])

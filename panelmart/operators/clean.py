@@ -76,7 +76,7 @@ def map_names(df: DataFrame, mapping: DataFrame, name_col: str, code_col: str,
     is broadcast only when its size check passes, else a shuffle join."""
     m = mapping.select(F.col(name_col), normalize_code(code_col).alias(code_col)) \
         .where(F.col(name_col).isNotNull()).distinct()
-    return df.join(broadcast_if_small(m, max_broadcast_rows), name_col, "left")
+    return df.join(broadcast_if_small(m, max_broadcast_rows, probe=mapping), name_col, "left")
 
 
 def unmatched_names(df: DataFrame, mapping: DataFrame, name_col: str,
@@ -84,7 +84,7 @@ def unmatched_names(df: DataFrame, mapping: DataFrame, name_col: str,
     """Distinct names with no code (NULL names included), as rows."""
     m = mapping.select(name_col).where(F.col(name_col).isNotNull()).distinct()
     return (df.select(name_col)
-            .join(broadcast_if_small(m, max_broadcast_rows), name_col, "left_anti")
+            .join(broadcast_if_small(m, max_broadcast_rows, probe=mapping), name_col, "left_anti")
             .distinct())
 
 

@@ -16,9 +16,7 @@ from panelmart import config as C
 from panelmart.config import PanelConfig
 from panelmart.functions.columns import ieee_div, label_map
 from panelmart.operators.quantiles import BinSpec, add_bins
-
-# period statistic column names
-_RAIN_MEAN, _RAIN_SDP = "_rain_mean", "_rain_sdp"
+from panelmart.session import cut_lineage
 
 
 def incidence_rate(cases, density, area) -> F.Column:
@@ -87,7 +85,8 @@ def bin_specs(cfg: PanelConfig) -> list[BinSpec]:
     ]
 
 
-def add_features(panel: DataFrame, cfg: PanelConfig, specs=None) -> DataFrame:
+def add_features(panel: DataFrame, cfg: PanelConfig, specs=None,
+                 checkpoint: bool = True) -> DataFrame:
     """All of W1-W14 on an imputed panel (one row per entity x period)."""
     e, p = cfg.entity, cfg.period
     df = panel.withColumns({
@@ -95,6 +94,11 @@ def add_features(panel: DataFrame, cfg: PanelConfig, specs=None) -> DataFrame:
         "incidence_rate": incidence_rate("jumlah_kasus_dbd", "kepadatan_penduduk", "luas_km2"),  # W1
         "ndvi_class": ndvi_class("ndvi"),                                              # W5
     })
+    # the period aggregate, the quantile sort and the final projection all
+    # read the panel: write it once (shared checkpoint folder) so its
+    # upstream joins run once and a lost executor restarts from the files
+    if checkpoint:
+        df = cut_lineage(df, "panel")
     stats = period_stats(df, p, pop_cols=["rainfall_mm"],
                          samp_cols=["lst_celsius", "kepadatan_penduduk", "ndvi"],
                          distinct_cols=["ndmi"])

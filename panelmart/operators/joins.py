@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int, probe: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the
-    side is returned unhinted and the join shuffles (AQE may still switch
-    to a broadcast at run time from the real size).
+    The check reads at most ``max_rows + 1`` rows of ``probe`` - an input
+    of ``df`` with at least as many rows (e.g. before a dedup), so the check
+    needs no shuffle.  Beyond the bound the side is returned unhinted and
+    the join shuffles (AQE may still broadcast it from its real size).
     """
-    n = df.limit(max_rows + 1).count()
+    n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

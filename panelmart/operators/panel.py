@@ -11,7 +11,8 @@ from panelmart.operators.joins import broadcast_if_small
 
 
 def assemble(health: DataFrame, demography: DataFrame, environment: DataFrame,
-             geo: DataFrame, cfg: PanelConfig, max_geo_broadcast_rows: int = 1_000_000) -> DataFrame:
+             geo: DataFrame, cfg: PanelConfig, max_geo_broadcast_rows: int = 1_000_000,
+             geo_probe: DataFrame | None = None) -> DataFrame:
     """Health drives the grain; demography and environment join on
     (entity, period), geometry on the entity.  All inputs are keep-first
     deduplicated, so no join fans out and row count = health rows."""
@@ -19,7 +20,7 @@ def assemble(health: DataFrame, demography: DataFrame, environment: DataFrame,
     g = geo.select(e, "latitude", "longitude")
     return (health.join(demography, [e, p], "left")
             .join(environment, [e, p], "left")
-            .join(broadcast_if_small(g, max_geo_broadcast_rows), e, "left"))
+            .join(broadcast_if_small(g, max_geo_broadcast_rows, probe=geo_probe), e, "left"))
 
 
 def donor_table(spark, cfg: PanelConfig) -> DataFrame:

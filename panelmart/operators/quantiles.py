@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelmart.session import shared_dir
+from panelmart.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -70,16 +70,15 @@ def _probs_col(specs) -> F.Column:
 
 
 def _edges_sort(df: DataFrame, specs) -> DataFrame:
-    spark = df.sparkSession
-    shared_dir(spark)  # make sure a checkpoint folder is set (shared on clusters)
     long = _long_values(df, specs)
     # Range partitioning splits every group - also one holding a third of
-    # the rows - over many tasks.  The checkpoint pins partition ids and the
-    # in-partition order, so ranks are exact and survive executor loss.
-    ranked = (long.repartitionByRange("_s", "_k", "_v")
-              .sortWithinPartitions("_s", "_k", "_v")
-              .withColumn("_row", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # the rows - over many tasks.  The row id (partition index << 33 | row
+    # within the sorted partition) is written with the values, so ranks are
+    # exact however the table is read back, and survive executor loss.
+    ranked = cut_lineage(long.repartitionByRange("_s", "_k", "_v")
+                         .sortWithinPartitions("_s", "_k", "_v")
+                         .withColumn("_row", F.monotonically_increasing_id()),
+                         "ranked")
     ranked = ranked.withColumn("_pid", F.shiftright("_row", 33))
     # per (partition, group): rows and first row id -> small table
     part = ranked.groupBy("_pid", "_s", "_k").agg(
@@ -202,8 +201,10 @@ def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "s
         out = out.join(F.broadcast(extra_by_period), period, "left")
     glob = edges_wide(edges, specs, None, None)
     if glob is not None:
-        out = (out.withColumn("_one", F.lit(1))
-               .join(F.broadcast(glob.withColumn("_one", F.lit(1))), "_one", "left").drop("_one"))
+        # the global edges are one row: a scalar subquery, not a join
+        names = glob.columns
+        arr = glob.select(F.array(*[F.col(c) for c in names]).alias("_a")).scalar()
+        out = out.withColumns({c: arr[i] for i, c in enumerate(names)})
     out = out.withColumns({s.name: bin_label(s, on_duplicate) for s in specs})
     helper = [_edge_col(s, i) for s in specs for i in range(len(s.probs))]
     return out.drop(*helper)

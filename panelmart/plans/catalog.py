@@ -37,7 +37,7 @@ class Ctx:
 
     @property
     def raw(self):
-        return self._get("raw", lambda: dt.sources(self.spark, self.sf_dir, self.grain))
+        return self._get("raw", lambda: dt.landed_sources(self.spark, self.sf_dir, self.grain))
 
     @property
     def stg(self) -> pl.Staging:
@@ -47,7 +47,7 @@ class Ctx:
     def panel0(self) -> DataFrame:
         s = self.stg
         return self._get("panel0", lambda: panel.assemble(s.health, s.demography, s.environment,
-                                                          s.geo, self.cfg))
+                                                          s.geo, self.cfg, geo_probe=s.geo_probe))
 
     @property
     def panel(self) -> DataFrame:

@@ -24,6 +24,7 @@ class Staging:
     demography: DataFrame
     environment: DataFrame
     geo: DataFrame
+    geo_probe: DataFrame | None = None   # un-deduplicated input of geo (size check)
 
     def as_dict(self) -> dict:
         return {"stg_health": self.health, "stg_demography": self.demography,
@@ -37,12 +38,14 @@ def build_staging(raw: RawSources, cfg: PanelConfig) -> Staging:
         demography=clean.stage_demography(raw.density, raw.area, cfg),
         environment=clean.stage_environment(raw.environment, raw.mapping, cfg),
         geo=geo,
+        geo_probe=raw.features,
     )
 
 
 def build_panel(stg: Staging, cfg: PanelConfig) -> DataFrame:
     """D5 + I1-I3: the assembled, imputed panel (no features yet)."""
-    p = panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg)
+    p = panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg,
+                       geo_probe=stg.geo_probe)
     return panel.impute_from_donor(p, cfg)
 
 

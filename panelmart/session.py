@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +15,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # local mode runs every task in the driver JVM (ignored once it runs)
+    "spark.driver.memory": "16g",
 }
 
 
@@ -57,3 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared_dir(spark)
 
 
+
+
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back (never a local checkpoint or a machine-local folder).
+
+    One pass over the input (an eager ``checkpoint()`` computes its plan
+    twice unless cached); later stages read the files with column pruning,
+    and a lost executor recomputes from them instead of from the sources.
+    """
+    path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -72,11 +72,23 @@ class RawSources:
     features: DataFrame      # properties{ID_KAB, KABKOT}, geometry{type, coordinates}
 
 
+def money(c):
+    """Cent amounts are summed exactly as decimals (no float drift)."""
+    return F.col(c).cast("decimal(12,2)")
+
+
+def _env_sums(q, price, disc, tax):
+    return [F.sum(money(q)).alias("q"), F.sum(money(price)).alias("pr"),
+            F.sum(money(disc)).alias("di"), F.sum(money(tax)).alias("tx"),
+            F.count(F.lit(1)).alias("n")]
+
+
 def _env_cols(q, price, disc, tax, n) -> list:
-    return [F.col(q).alias("Rainfall_Annual"),
-            (F.col(price) / F.col(n) / 1000.0).alias("LST_Celsius"),
-            (F.lit(0.5) + F.lit(50.0) * (F.col(disc) / F.col(n) - F.lit(0.05))).alias("NDVI"),
-            (F.col(tax) / F.col(n) * 10.0).alias("NDMI")]
+    d = lambda c: F.col(c).cast("double")
+    return [d(q).alias("Rainfall_Annual"),
+            (d(price) / F.col(n) / 1000.0).alias("LST_Celsius"),
+            (F.lit(0.5) + F.lit(50.0) * (d(disc) / F.col(n) - F.lit(0.05))).alias("NDVI"),
+            (d(tax) / F.col(n) * 10.0).alias("NDMI")]
 
 
 def _square(x, y, s):
@@ -113,12 +125,12 @@ def nation_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     by_nation_year = (orders.join(customer, orders.o_custkey == customer.c_custkey)
                       .groupBy(F.col("c_nationkey").alias("n_nationkey"),
                                F.year("o_orderdate").alias("tahun"))
-                      .agg(F.count(F.lit(1)).alias("cases"), F.sum("o_totalprice").alias("tp"))
+                      .agg(F.count(F.lit(1)).alias("cases"), F.sum(money("o_totalprice")).alias("tp"))
                       .join(F.broadcast(nation), "n_nationkey"))
     health = by_nation_year.select(code.alias("kode_bps"), F.col("n_name").alias("nama_kabupaten_kota"),
                                    "tahun", F.col("cases").cast("int").alias("jumlah_kasusDBD"))
     density = by_nation_year.select(code.alias("kode_bps"), "tahun",
-                                    (F.col("tp") / 100000.0).alias("kepadatan_penduduk"))
+                                    (F.col("tp").cast("double") / 100000.0).alias("kepadatan_penduduk"))
     area = by_nation_year.select(code.alias("kode_bps"), "tahun",
                                  (F.lit(100.0) + F.lit(10.0) * F.col("n_nationkey")).alias("luas_km2"))
     li = table(spark, sf_dir, "lineitem").select(
@@ -126,8 +138,7 @@ def nation_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # pre-aggregate line items per (supplier, year) before the supplier join
     per_supp = li.groupBy("l_suppkey", F.year("l_shipdate").alias("Year")).agg(
-        F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("pr"),
-        F.sum("l_discount").alias("di"), F.sum("l_tax").alias("tx"), F.count(F.lit(1)).alias("n"))
+        *_env_sums("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     env = (per_supp.join(supplier.where(~F.col("s_nationkey").isin(list(NATIONS_WITHOUT_ENV))),
                          per_supp.l_suppkey == supplier.s_suppkey)
            .groupBy("s_nationkey", "Year")
@@ -148,21 +159,20 @@ def customer_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                        "c_acctbal")
     per_cy = (orders.groupBy("o_custkey", F.year("o_orderdate").alias("tahun"))
-              .agg(F.count(F.lit(1)).alias("cases"), F.sum("o_totalprice").alias("tp"))
+              .agg(F.count(F.lit(1)).alias("cases"), F.sum(money("o_totalprice")).alias("tp"))
               .join(customer, F.col("o_custkey") == F.col("c_custkey")))
     code = F.col("c_custkey")
     health = per_cy.select(code.alias("kode_bps"), F.col("c_name").alias("nama_kabupaten_kota"),
                            "tahun", F.col("cases").cast("int").alias("jumlah_kasusDBD"))
     density = per_cy.select(code.alias("kode_bps"), "tahun",
-                            (F.col("tp") / 100000.0).alias("kepadatan_penduduk"))
+                            (F.col("tp").cast("double") / 100000.0).alias("kepadatan_penduduk"))
     area = per_cy.select(code.alias("kode_bps"), "tahun",
                          (F.lit(100.0) + F.lit(10.0) * F.col("c_nationkey")).alias("luas_km2"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     # pre-aggregate line items per (order, year) before the order join
     per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("Year")).agg(
-        F.sum("l_quantity").alias("q"), F.sum("l_extendedprice").alias("pr"),
-        F.sum("l_discount").alias("di"), F.sum("l_tax").alias("tx"), F.count(F.lit(1)).alias("n"))
+        *_env_sums("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
     env = (per_order.join(orders.select("o_orderkey", "o_custkey"),
                           F.col("l_orderkey") == F.col("o_orderkey"))
            .groupBy("o_custkey", "Year")
@@ -187,3 +197,30 @@ def sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> RawSourc
 
 def config_for(grain: str, **kw) -> PanelConfig:
     return nation_config(**kw) if grain == "nation" else customer_config(**kw)
+
+
+_LANDED: dict = {}
+
+
+def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
+    """Write every raw source as a Parquet table under ``path`` and return
+    readers of them (the one-off source load before the batch job)."""
+    out = {}
+    for name in ("health", "density", "area", "environment", "mapping", "features"):
+        getattr(raw, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        out[name] = spark.read.parquet(f"{path}/{name}")
+    return RawSources(**out)
+
+
+def landed_sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> RawSources:
+    """Raw sources derived from the test tables, landed once per Spark
+    application in the shared folder (``spark.checkpoint.dir``) and read
+    from there by every later query of the application."""
+    from panelmart.session import shared_dir
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), grain)
+    if key not in _LANDED:
+        import hashlib
+        tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+        path = shared_dir(spark, f"ingest/{grain}-{tag}")
+        _LANDED[key] = land(spark, sources(spark, sf_dir, grain), path)
+    return _LANDED[key]
