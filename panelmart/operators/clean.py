@@ -70,17 +70,19 @@ def stage_demography(density: DataFrame, area: DataFrame, cfg: PanelConfig,
 
 
 def map_names(df: DataFrame, mapping: DataFrame, name_col: str, code_col: str,
-              max_broadcast_rows: int = 1_000_000) -> DataFrame:
+              max_broadcast_rows: int | None = None) -> DataFrame:
     """Attach codes to names (left join).  A name mapped to two codes
     gives one row per code (T8); NULL names never match (T7).  The mapping
-    is broadcast only when its size check passes, else a shuffle join."""
+    is broadcast only behind a size check: by default adaptive execution's
+    run-time check of its measured size, or an explicit row bound
+    (``max_broadcast_rows``); beyond it the join shuffles."""
     m = mapping.select(F.col(name_col), normalize_code(code_col).alias(code_col)) \
         .where(F.col(name_col).isNotNull()).distinct()
     return df.join(broadcast_if_small(m, max_broadcast_rows, probe=mapping), name_col, "left")
 
 
 def unmatched_names(df: DataFrame, mapping: DataFrame, name_col: str,
-                    max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                    max_broadcast_rows: int | None = None) -> DataFrame:
     """Distinct names with no code (NULL names included), as rows."""
     m = mapping.select(name_col).where(F.col(name_col).isNotNull()).distinct()
     return (df.select(name_col)

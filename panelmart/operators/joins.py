@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int, probe: DataFrame | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None, probe: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
+    ``max_rows=None`` leaves the decision to adaptive execution: with AQE on,
+    the join is planned as a shuffle join and converted to a broadcast at
+    run time only when the measured size of the materialised side is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` - a size check with
+    the shuffle join as fallback, at no extra job.
+
     The check reads at most ``max_rows + 1`` rows of ``probe`` - an input
     of ``df`` with at least as many rows (e.g. before a dedup), so the check
     needs no shuffle.  Beyond the bound the side is returned unhinted and
     the join shuffles (AQE may still broadcast it from its real size).
     """
+    if max_rows is None:
+        return df
     n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -11,7 +11,7 @@ from panelmart.operators.joins import broadcast_if_small
 
 
 def assemble(health: DataFrame, demography: DataFrame, environment: DataFrame,
-             geo: DataFrame, cfg: PanelConfig, max_geo_broadcast_rows: int = 1_000_000,
+             geo: DataFrame, cfg: PanelConfig, max_geo_broadcast_rows: int | None = None,
              geo_probe: DataFrame | None = None) -> DataFrame:
     """Health drives the grain; demography and environment join on
     (entity, period), geometry on the entity.  All inputs are keep-first

@@ -5,8 +5,7 @@ all parts of a (Multi)Polygon.  Each ring's signed area and first moments
 come from the shoelace formula evaluated with ``aggregate`` over the ring's
 points (JVM-side higher-order functions, no UDF).  Shells count positive
 and holes negative whatever their winding, as the common geometry
-libraries do.  One feature is one row; the work is per row plus one
-``groupBy`` of ring sums per feature.
+libraries do.  One feature is one row and all work is per row: no shuffle.
 """
 
 from __future__ import annotations
@@ -58,34 +57,38 @@ def _zero():
     return F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
 
-def _polygon_sums(poly: F.Column) -> F.Column:
-    """Ring sums of one polygon: shell (ring 0) positive, holes negative,
-    whatever their winding."""
-    def ring_adj(ring, ri):
-        r = _ring_sums(ring)
-        sign = F.when(ri == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-        orient = F.signum(r["a"])
-        return F.struct((F.abs(r["a"]) * sign).alias("a"),
-                        (r["mx"] * orient * sign).alias("mx"),
-                        (r["my"] * orient * sign).alias("my"))
-    return F.aggregate(F.transform(poly, ring_adj), _zero(), _add)
+def _adjust(r, ri):
+    """Shell (ring 0) positive, holes negative, whatever their winding.
+    ``r`` is a lambda variable, so its fields are read, not recomputed."""
+    sign = F.when(ri == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    orient = F.signum(r["a"])
+    return F.struct((F.abs(r["a"]) * sign).alias("a"), (r["mx"] * orient * sign).alias("mx"),
+                    (r["my"] * orient * sign).alias("my"))
 
 
-def centroid_struct(polys: F.Column) -> F.Column:
-    """struct(latitude, longitude) of an array of polygons; evaluated per
-    row (nested higher-order functions), so no shuffle is needed."""
-    tot = F.aggregate(F.transform(polys, _polygon_sums), _zero(), _add)
+def with_centroid(df: DataFrame, polys: F.Column, lat: str = "latitude",
+                  lon: str = "longitude") -> DataFrame:
+    """Add planar centroid columns for an array of polygons.
+
+    Evaluated per row with higher-order functions (no shuffle) in three
+    projections, so every ring's sums are computed once and then read."""
+    rings = F.transform(polys, lambda poly: F.transform(poly, _ring_sums))
+    adj = F.flatten(F.transform(F.col("_rings"),
+                                lambda poly: F.transform(poly, lambda r, ri: _adjust(r, ri))))
+    tot = F.col("_tot")
     area3 = F.nullif(tot["a"] * F.lit(3.0), F.lit(0.0))
-    return F.struct((tot["my"] / area3).alias("latitude"), (tot["mx"] / area3).alias("longitude"))
+    return (df.withColumn("_rings", rings)
+            .withColumn("_tot", F.aggregate(adj, _zero(), _add))
+            .withColumns({lat: tot["my"] / area3, lon: tot["mx"] / area3})
+            .drop("_rings", "_tot"))
 
 
 def centroids(features: DataFrame, id_field: str = "ID_KAB", name_field: str = "KABKOT",
               code_col: str = "kode_bps", name_col: str = "nama_geo") -> DataFrame:
     """features(properties, geometry{type, coordinates}) ->
     (code, name, latitude, longitude).  A feature without area gets NULLs."""
-    c = centroid_struct(polygons("geometry.type", "geometry.coordinates"))
-    return features.select(
+    base = features.select(
         normalize_code(F.col(f"properties.{id_field}")).alias(code_col),
         F.col(f"properties.{name_field}").alias(name_col),
-        c.alias("_c"),
-    ).select(code_col, name_col, "_c.latitude", "_c.longitude")
+        polygons("geometry.type", "geometry.coordinates").alias("_polys"))
+    return with_centroid(base, F.col("_polys")).select(code_col, name_col, "latitude", "longitude")

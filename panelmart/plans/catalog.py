@@ -45,9 +45,7 @@ class Ctx:
 
     @property
     def panel0(self) -> DataFrame:
-        s = self.stg
-        return self._get("panel0", lambda: panel.assemble(s.health, s.demography, s.environment,
-                                                          s.geo, self.cfg, geo_probe=s.geo_probe))
+        return self._get("panel0", lambda: pl.build_panel0(self.stg, self.cfg))
 
     @property
     def panel(self) -> DataFrame:
@@ -55,7 +53,8 @@ class Ctx:
 
     @property
     def feat(self) -> DataFrame:
-        return self._get("feat", lambda: features.add_features(self.panel, self.cfg))
+        return self._get("feat", lambda: features.add_features(self.panel, self.cfg,
+                                                               checkpoint=False))
 
     @property
     def star(self) -> pl.Star:

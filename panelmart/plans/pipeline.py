@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelmart.config import PanelConfig
 from panelmart.operators import checks, clean, features, panel, spatial, star
+from panelmart.session import cut_lineage
 from panelmart.sources.driver_tables import RawSources
 
 
@@ -42,15 +43,22 @@ def build_staging(raw: RawSources, cfg: PanelConfig) -> Staging:
     )
 
 
-def build_panel(stg: Staging, cfg: PanelConfig) -> DataFrame:
-    """D5 + I1-I3: the assembled, imputed panel (no features yet)."""
+def build_panel0(stg: Staging, cfg: PanelConfig) -> DataFrame:
+    """The assembled panel, written once to the shared folder - the
+    donor self-join and every feature stage read it from there."""
     p = panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg,
                        geo_probe=stg.geo_probe)
-    return panel.impute_from_donor(p, cfg)
+    return cut_lineage(p, "panel0")
+
+
+def build_panel(stg: Staging, cfg: PanelConfig) -> DataFrame:
+    """D5 + I1-I3: the assembled, imputed panel (no features yet)."""
+    return panel.impute_from_donor(build_panel0(stg, cfg), cfg)
 
 
 def build_features(stg: Staging, cfg: PanelConfig) -> DataFrame:
-    return features.add_features(build_panel(stg, cfg), cfg)
+    # the imputed panel is a scan of the written panel plus a broadcast join
+    return features.add_features(build_panel(stg, cfg), cfg, checkpoint=False)
 
 
 @dataclass
