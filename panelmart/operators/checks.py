@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmart.config import PanelConfig
-from panelmart.operators.joins import join_single_row
 
 RESULT_COLS = ("check", "table", "metric", "threshold", "passed")
 
@@ -48,10 +47,9 @@ def null_keys(tables: dict, key: str) -> DataFrame:
 def min_rows(health: DataFrame, geo: DataFrame, cfg: PanelConfig) -> DataFrame:
     """V3: health rows >= int(n_entities x n_years x fraction), entities
     counted in the geometry table (truncating, as int() does)."""
-    h = health.agg(F.count(F.lit(1)).alias("metric"))
-    g = geo.agg(F.count(F.lit(1)).alias("_n_geo"))
-    m = join_single_row(h, g).withColumn(
-        "_thr", F.floor(F.col("_n_geo") * F.lit(cfg.n_years) * F.lit(cfg.min_row_fraction)))
+    n_geo = geo.agg(F.count(F.lit(1))).scalar()
+    m = health.agg(F.count(F.lit(1)).alias("metric")).withColumn(
+        "_thr", F.floor(n_geo * F.lit(cfg.n_years) * F.lit(cfg.min_row_fraction)))
     return _result(m, "min_rows", "stg_health", F.col("_thr"), F.col("metric") >= F.col("_thr"))
 
 

@@ -104,7 +104,7 @@ def add_features(panel: DataFrame, cfg: PanelConfig, specs=None,
                          distinct_cols=["ndmi"])
     specs = bin_specs(cfg) if specs is None else specs
     df = add_bins(df, specs, on_duplicate=cfg.on_duplicate_edges, method=cfg.quantile_method,
-                  extra_by_period=stats, period=p)
+                  extra_by_period=stats, period=p, tiebreak=[e, p])
     # Tier only where the period has enough distinct ndmi values
     if cfg.tier_guard == "reference":
         tier = F.lit(None).cast("string")

@@ -47,8 +47,14 @@ def _edge_col(spec: BinSpec, i: int) -> str:
     return f"_{spec.name}_e{i}"
 
 
-def _long_values(df: DataFrame, specs) -> DataFrame:
-    """All binned values stacked into (_s, _k, _v); one row per value."""
+def _long_values(df: DataFrame, specs, tiebreak=None) -> DataFrame:
+    """All binned values stacked into (_s, _k, _v, _t); one row per value.
+
+    ``_t`` is a deterministic per-row hash (of the ``tiebreak`` columns, by
+    default all columns) used only to order equal values, so that a value
+    shared by a large share of the rows still spreads over many range
+    partitions instead of landing in one task."""
+    t = F.xxhash64(*[F.col(c) for c in (tiebreak or df.columns)])
     rows = F.array(*[
         F.struct(
             F.lit(i).alias("_s"),
@@ -57,7 +63,7 @@ def _long_values(df: DataFrame, specs) -> DataFrame:
         )
         for i, s in enumerate(specs)
     ])
-    return (df.select(F.explode(rows).alias("r")).select("r.*")
+    return (df.select(F.explode(rows).alias("r"), t.alias("_t")).select("r.*", "_t")
             .where(F.col("_v").isNotNull() & F.col("_k").isNotNull()))
 
 
@@ -69,14 +75,14 @@ def _probs_col(specs) -> F.Column:
     return out
 
 
-def _edges_sort(df: DataFrame, specs) -> DataFrame:
-    long = _long_values(df, specs)
+def _edges_sort(df: DataFrame, specs, tiebreak=None) -> DataFrame:
+    long = _long_values(df, specs, tiebreak)
     # Range partitioning splits every group - also one holding a third of
     # the rows - over many tasks.  The row id (partition index << 33 | row
     # within the sorted partition) is written with the values, so ranks are
     # exact however the table is read back, and survive executor loss.
-    ranked = cut_lineage(long.repartitionByRange("_s", "_k", "_v")
-                         .sortWithinPartitions("_s", "_k", "_v")
+    ranked = cut_lineage(long.repartitionByRange("_s", "_k", "_v", "_t")
+                         .sortWithinPartitions("_s", "_k", "_v", "_t")
                          .withColumn("_row", F.monotonically_increasing_id()),
                          "ranked")
     ranked = ranked.withColumn("_pid", F.shiftright("_row", 33))
@@ -125,11 +131,14 @@ def _edges_agg(df: DataFrame, specs, approx: bool) -> DataFrame:
     return out.select("_s", "_k", "_n", F.posexplode("_es").alias("_i", "_e"))
 
 
-def quantile_edges(df: DataFrame, specs, method: str = "sort") -> DataFrame:
-    """Long table (_s spec index, _k group key, _i edge index, _n, _e edge)."""
+def quantile_edges(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
+    """Long table (_s spec index, _k group key, _i edge index, _n, _e edge).
+
+    ``tiebreak``: columns that identify a row (e.g. entity, period) for the
+    "sort" method's ordering of equal values; default all columns."""
     specs = list(specs)
     if method == "sort":
-        return _edges_sort(df, specs)
+        return _edges_sort(df, specs, tiebreak)
     if method in ("agg", "approx"):
         return _edges_agg(df, specs, approx=(method == "approx"))
     raise ValueError(f"unknown quantile method {method!r}")
@@ -184,12 +193,13 @@ def bin_label(spec: BinSpec, on_duplicate: str = "error") -> F.Column:
 
 
 def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "sort",
-             extra_by_period: DataFrame | None = None, period: str | None = None) -> DataFrame:
+             extra_by_period: DataFrame | None = None, period: str | None = None,
+             tiebreak=None) -> DataFrame:
     """Add one label column per spec.  Edge tables are joined by broadcast:
     they have one row per group, and groups are periods (bounded by the
     configured year range) or the single global group."""
     specs = list(specs)
-    edges = quantile_edges(df, specs, method)
+    edges = quantile_edges(df, specs, method, tiebreak)
     out = df
     bys = sorted({s.by for s in specs if s.by is not None})
     for by in bys:

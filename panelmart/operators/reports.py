@@ -56,11 +56,11 @@ def event_period_compare(fact: DataFrame, dim_p: DataFrame, cfg: PanelConfig) ->
 
 
 def latest_pin_map(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Q4: rows of the latest period (``= max(period)`` as a one-row
-    aggregate joined on the period), by incidence desc, NULLs first."""
+    """Q4: rows of the latest period (``= (SELECT max(period))``, a scalar
+    subquery), by incidence desc, NULLs first."""
     p = cfg.period
-    latest = fact.agg(F.max(p).alias(p))
-    f = _named(fact.join(F.broadcast(latest), p), dim_r, cfg)
+    latest = fact.agg(F.max(p)).scalar()
+    f = _named(fact.where(F.col(p) == latest), dim_r, cfg)
     return (f.select("nama_kabupaten_kota", "latitude", "longitude", F.col(p).alias("tahun"),
                      "jumlah_kasus_dbd", "incidence_rate", "composite_vulnerability_index")
             .orderBy(F.col("incidence_rate").desc_nulls_first()))

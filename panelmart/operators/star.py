@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from panelmart import config as C
 from panelmart.config import PanelConfig
-from panelmart.operators.joins import join_single_row
 from panelmart.schemas import FACT_COLUMNS, FACT_PANEL, PIPELINE_RUNS, WAREHOUSE_TABLES
 from panelmart.sources.readers import write_table
 
@@ -56,16 +55,16 @@ def fact_table(features: DataFrame, cfg: PanelConfig) -> DataFrame:
 
 def run_record(fact: DataFrame, dim_r: DataFrame, dim_p: DataFrame, cfg: PanelConfig,
                run_at=None, run_id: int | None = None, status: str = C.RUN_STATUS_SUCCESS) -> DataFrame:
-    """One row describing the load, from one aggregate over the fact and
-    a count of each dimension (all single-row, joined on a constant key)."""
+    """One row describing the load: one aggregate over the fact, the
+    dimension counts as scalar subqueries."""
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rid = run_id if run_id is not None else uuid.uuid4().int >> 65
     f = fact.agg(F.count(F.lit(1)).cast("int").alias("fact_rows"),
                  F.count_if(F.col("is_imputed")).cast("int").alias("imputed_rows"),
                  F.count_if(F.col("incidence_rate").isNull()).cast("int").alias("null_ir_rows"))
-    r = dim_r.agg(F.count(F.lit(1)).cast("int").alias("n_regions"))
-    t = dim_p.agg(F.count(F.lit(1)).cast("int").alias("n_years"))
-    out = join_single_row(join_single_row(f, r), t)
+    out = f.withColumns({
+        "n_regions": dim_r.agg(F.count(F.lit(1)).cast("int")).scalar(),
+        "n_years": dim_p.agg(F.count(F.lit(1)).cast("int")).scalar()})
     return out.select(
         F.lit(rid).cast("long").alias("run_id"),
         F.lit(run_at).cast("timestamp").alias("run_at"),
