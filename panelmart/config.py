@@ -6,7 +6,7 @@ field here, so the same operators serve any entity x period panel.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values (must equal the reference's labels and defaults) ---------
 # Quartile labels for the LST and density quartiles: Q1, Q2, Q3, Q4
@@ -83,7 +83,6 @@ class PanelConfig:
     # exact quantile method: "sort" (distributed ranks), "agg" (percentile
     # aggregate) or "approx" (percentile_approx)
     quantile_method: str = "sort"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def n_years(self) -> int:

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from panelmart.config import PanelConfig
 
-RESULT_COLS = ("check", "table", "metric", "threshold", "passed")
-
-
 def _result(df_one_row_metric: DataFrame, check: str, table: str, threshold: F.Column,
             passed: F.Column) -> DataFrame:
     return df_one_row_metric.select(

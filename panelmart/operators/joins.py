@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, constant-key single-row join."""
+"""Join helper: size-checked broadcast."""
 
 from __future__ import annotations
 
@@ -24,11 +24,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None, probe: DataFrame | N
         return df
     n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def join_single_row(df: DataFrame, one_row: DataFrame, how: str = "left") -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row of ``df``
-    (equi-join on a constant key; the one-row side is broadcast)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one", how)
-            .drop("_one"))

@@ -67,3 +67,24 @@ def test_report_null_ordering_o2_o3(spark):
     p = reports.latest_pin_map(fact, dim, c).collect()
     assert [r["nama_kabupaten_kota"] for r in p] == ["C", "B", "A"]  # NULL incidence first
     assert reports.orphan_facts(fact, dim.where("kode_bps <> '3'"), c).first()[0] == 1
+
+
+def test_dim_region_takes_earliest_period_d1(spark):
+    c = cfg()
+    p = spark.createDataFrame(
+        [("1", "New name", 2021, 9.0, 9.0), ("1", "Old name", 2019, 1.0, 2.0), ("2", "B", 2020, None, None)],
+        "kode_bps string, nama_kabupaten_kota string, tahun int, latitude double, longitude double")
+    got = {r["kode_bps"]: tuple(r) for r in star.dim_region(p, c).collect()}
+    assert got["1"] == ("1", "Old name", "32", "JAWA BARAT", 1.0, 2.0)
+    assert got["2"][4] is None
+    per = {r["tahun"]: (r["covid_dummy"], r["keterangan_periode"])
+           for r in star.dim_period(p, cfg(event_periods=(2020, 2021))).collect()}
+    assert per == {2019: (0, "Normal"), 2020: (1, "Pandemi"), 2021: (1, "Pandemi")}
+
+
+def test_create_tables_if_absent_k4(spark, tmp_root):
+    star.ensure_tables(spark, "pm_test_wh", f"{tmp_root}/wh")
+    star.ensure_tables(spark, "pm_test_wh", f"{tmp_root}/wh")  # idempotent
+    cols = [f.name for f in spark.table("pm_test_wh.fact_panel").schema.fields]
+    assert cols[0] == "fact_id" and "endemic_persistence_score" in cols
+    assert spark.table("pm_test_wh.pipeline_runs").count() == 0
