@@ -20,6 +20,22 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB input): many shuffle
+# partitions that AQE coalesces to ~256 MB each, 256 MB scan splits, skew
+# splitting of oversized join partitions.  Merge into ``extra=`` of
+# ``get_session`` or the cluster's defaults.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "panelmart", extra: dict | None = None) -> SparkSession:
     """Session with AQE on, UTC time zone and the UI off.
