@@ -107,13 +107,15 @@ def _edges_sort(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     picked = (ranked.join(F.broadcast(part.select("_pid", "_s", "_k", "_off", "_first")),
                           ["_pid", "_s", "_k"])
               .withColumn("_rank", F.col("_off") + F.col("_row") - F.col("_first"))
-              .join(F.broadcast(need.distinct()), ["_s", "_k", "_rank"])
-              .select("_s", "_k", "_rank", "_v"))
-    lo = picked.withColumnsRenamed({"_rank": "_lo", "_v": "_vlo"})
-    hi = picked.withColumnsRenamed({"_rank": "_hi", "_v": "_vhi"})
-    return (wanted.join(lo, ["_s", "_k", "_lo"], "left").join(hi, ["_s", "_k", "_hi"], "left")
+              .join(F.broadcast(need.distinct()), ["_s", "_k", "_rank"]))
+    # at most 2 x (bins + 1) picked values per group: one small map each
+    vals = picked.groupBy("_s", "_k").agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
+    return (wanted.join(vals, ["_s", "_k"], "left")
             .select("_s", "_k", "_i", "_n",
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("_e")))
+                    (F.element_at("_m", F.col("_lo"))
+                     + (F.element_at("_m", F.col("_hi")) - F.element_at("_m", F.col("_lo")))
+                     * F.col("_frac")).alias("_e")))
 
 
 def _edges_agg(df: DataFrame, specs, approx: bool) -> DataFrame:

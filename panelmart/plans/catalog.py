@@ -181,6 +181,13 @@ def q_check_duplicates(spark, d):
                                  KEYS)
 
 
+def q_check_raw_duplicates(spark, d):
+    """V1 on a raw table (before any dedup): orders per (customer, year)."""
+    o = dt.table(spark, d, "orders").select(F.col("o_custkey").alias("kode_bps"),
+                                            F.year("o_orderdate").alias("tahun"))
+    return checks.duplicate_keys({"orders": o}, KEYS)
+
+
 def q_check_null_keys(spark, d):
     c = Ctx(spark, d)
     s = _staging_dict(c)
@@ -282,6 +289,7 @@ QUERIES = {
     "run_quality_report": q_run_quality_report,
     # step 8: checks
     "check_duplicates": q_check_duplicates,
+    "check_raw_duplicates": q_check_raw_duplicates,
     "check_null_keys": q_check_null_keys,
     "check_min_rows": q_check_min_rows,
     "check_entity_count": q_check_entity_count,
