@@ -56,6 +56,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_FALLBACK: dict = {}
+
+
+def app_id(spark: SparkSession) -> str:
+    """Id of the Spark application behind ``spark``."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "app")
+
+
 def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """Folder on the shared store named by ``spark.checkpoint.dir``.
 
@@ -63,21 +74,22 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     storage; only when it is unset (tests, local runs) is a fresh local
     folder created and registered.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    base = base or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        base = base or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="panelmart-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+        if "dir" not in _LOCAL_FALLBACK:
+            _LOCAL_FALLBACK["dir"] = tempfile.mkdtemp(prefix="panelmart-ckpt-")
+        base = _LOCAL_FALLBACK["dir"]
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/") + ("/" + sub.strip("/") if sub else "")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    return shared_dir(spark)
-
-
-
-
 def cut_lineage(df, name: str = "table"):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back (never a local checkpoint or a machine-local folder).

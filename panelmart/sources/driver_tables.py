@@ -222,8 +222,8 @@ def landed_sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> R
     """Raw sources derived from the test tables, landed once per Spark
     application in the shared folder (``spark.checkpoint.dir``) and read
     from there by every later query of the application."""
-    from panelmart.session import shared_dir
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), grain)
+    from panelmart.session import app_id, shared_dir
+    key = (app_id(spark), sf_dir.rstrip("/"), grain)
     if key not in _LANDED:
         import hashlib
         tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
