@@ -186,3 +186,23 @@ def test_deterministic_under_repartition(spark):
                     assert b == pytest.approx(a, rel=1e-9, abs=1e-12)
                 else:
                     assert a == b  # labels and counts are exact
+
+
+def test_properties_bin_sizes_and_zero_mean_z(spark):
+    rnd = random.Random(11)
+    rows = [dict(kode_bps=str(k), tahun=y, jumlah_kasus_dbd=rnd.randint(1, 10_000),
+                 rainfall_annual=rnd.random() * 1000, lst_celsius=rnd.random() * 10 + 20,
+                 ndvi=rnd.random(), ndmi=rnd.random(), kepadatan_penduduk=rnd.random() * 1e5)
+            for k in range(41) for y in range(2019, 2023)]
+    out = features.add_features(panel_df(spark, rows), cfg(on_duplicate_edges="error"))
+    # equal-frequency bins: without ties the sizes differ by at most one
+    for col in ("lst_quartile_rank", "ir_q"):
+        sizes = {}
+        for r in out.groupBy("tahun", col).count().collect():
+            sizes.setdefault(r["tahun"], []).append(r["count"])
+        for s in sizes.values():
+            assert len(s) == 4 and max(s) - min(s) <= 1
+    # per-period mean of the z-score is 0
+    for r in out.groupBy("tahun").agg(F.avg("rainfall_zscore").alias("m")).collect():
+        assert r["m"] == pytest.approx(0.0, abs=1e-9)
+    assert out.count() == len(rows)  # features keep the panel grain
