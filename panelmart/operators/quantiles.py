@@ -78,44 +78,48 @@ def _probs_col(specs) -> F.Column:
 def _edges_sort(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     long = _long_values(df, specs, tiebreak)
     # Range partitioning splits every group - also one holding a third of
-    # the rows - over many tasks.  The row id (partition index << 33 | row
-    # within the sorted partition) is written with the values, so ranks are
-    # exact however the table is read back, and survive executor loss.
+    # the rows, the row hash spreads even a single hot value - over many
+    # tasks.  The row id (partition index << 33 | row within the sorted
+    # partition) is written with the values, so ranks are exact however the
+    # table is read back, and survive executor loss.
     ranked = cut_lineage(long.repartitionByRange("_s", "_k", "_v", "_t")
                          .sortWithinPartitions("_s", "_k", "_v", "_t")
                          .withColumn("_row", F.monotonically_increasing_id()),
                          "ranked")
     ranked = ranked.withColumn("_pid", F.shiftright("_row", 33))
-    # per (partition, group): rows and first row id -> small table
+    # per (partition, group): rows and first row id -> at most
+    # (#partitions + #groups) rows; offsets are running sums over partitions
     part = ranked.groupBy("_pid", "_s", "_k").agg(
         F.count(F.lit(1)).alias("_c"), F.min("_row").alias("_first"))
     w = Window.partitionBy("_s", "_k").orderBy("_pid")
-    part = part.withColumn(
-        "_off",
-        F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).withColumn("_n", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding,
-                                                        Window.unboundedFollowing)))
-    # wanted ranks per group: floor and ceil of (n - 1) * p for every p
-    groups = part.select("_s", "_k", "_n").distinct()
-    wanted = (groups.select("_s", "_k", "_n", F.posexplode(_probs_col(specs)).alias("_i", "_p"))
-              .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
-              .withColumn("_lo", F.floor("_h").cast("long"))
-              .withColumn("_hi", F.ceil("_h").cast("long"))
-              .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    need = wanted.select("_s", "_k", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"))
-    # part has at most (#partitions + #groups) rows, need 2 x bins x groups
+    part = part.withColumns({
+        "_off": F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)),
+        "_n": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding,
+                                             Window.unboundedFollowing)),
+    })
+    # one row per group (its first partition); positions h = (n - 1) * p
+    groups = (part.where(F.col("_off") == 0)
+              .select("_s", "_k", "_n", _probs_col(specs).alias("_p"))
+              .withColumn("_h", F.transform("_p", lambda p: (F.col("_n") - 1).cast("double") * p))
+              .withColumn("_need", F.array_distinct(F.flatten(F.transform(
+                  "_h", lambda h: F.array(F.floor(h).cast("long"), F.ceil(h).cast("long")))))))
+    # the values at the needed ranks: at most 2 x (bins + 1) per group
     picked = (ranked.join(F.broadcast(part.select("_pid", "_s", "_k", "_off", "_first")),
                           ["_pid", "_s", "_k"])
               .withColumn("_rank", F.col("_off") + F.col("_row") - F.col("_first"))
-              .join(F.broadcast(need.distinct()), ["_s", "_k", "_rank"]))
-    # at most 2 x (bins + 1) picked values per group: one small map each
+              .join(F.broadcast(groups.select("_s", "_k", "_need")), ["_s", "_k"])
+              .where(F.array_contains("_need", F.col("_rank"))))
     vals = picked.groupBy("_s", "_k").agg(
         F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
-    return (wanted.join(vals, ["_s", "_k"], "left")
-            .select("_s", "_k", "_i", "_n",
-                    (F.element_at("_m", F.col("_lo"))
-                     + (F.element_at("_m", F.col("_hi")) - F.element_at("_m", F.col("_lo")))
-                     * F.col("_frac")).alias("_e")))
+
+    def edge(h):
+        lo = F.element_at("_m", F.floor(h).cast("long"))
+        hi = F.element_at("_m", F.ceil(h).cast("long"))
+        return lo + (hi - lo) * (h - F.floor(h))
+
+    return (groups.join(vals, ["_s", "_k"], "left")
+            .select("_s", "_k", "_n", F.transform("_h", edge).alias("_es")))
 
 
 def _edges_agg(df: DataFrame, specs, approx: bool) -> DataFrame:
@@ -130,14 +134,11 @@ def _edges_agg(df: DataFrame, specs, approx: bool) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("_s", "_k", "_n", F.posexplode("_es").alias("_i", "_e"))
+    return out.select("_s", "_k", "_n", "_es")
 
 
-def quantile_edges(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
-    """Long table (_s spec index, _k group key, _i edge index, _n, _e edge).
-
-    ``tiebreak``: columns that identify a row (e.g. entity, period) for the
-    "sort" method's ordering of equal values; default all columns."""
+def edge_arrays(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
+    """One row per (spec, group): (_s, _k, _n, _es = array of edges)."""
     specs = list(specs)
     if method == "sort":
         return _edges_sort(df, specs, tiebreak)
@@ -146,19 +147,25 @@ def quantile_edges(df: DataFrame, specs, method: str = "sort", tiebreak=None) ->
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def quantile_edges(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
+    """Long table (_s spec index, _k group key, _i edge index, _n, _e edge).
+
+    ``tiebreak``: columns that identify a row (e.g. entity, period) for the
+    "sort" method's ordering of equal values; default all columns."""
+    return (edge_arrays(df, specs, method, tiebreak)
+            .select("_s", "_k", "_n", F.posexplode("_es").alias("_i", "_e")))
+
+
 def edges_wide(edges: DataFrame, specs, by: str | None, key_name: str | None) -> DataFrame | None:
-    """Pivot the long edge table of the specs grouped ``by`` into one row per
-    group with columns ``_<name>_e<i>`` (bounded: one row per group)."""
+    """One row per group of the specs grouped ``by``, with columns
+    ``_<name>_e<i>`` (bounded: one row per group)."""
     idx = [i for i, s in enumerate(specs) if s.by == by]
     if not idx:
         return None
-    aggs = []
-    for i in idx:
-        s = specs[i]
-        for j in range(len(s.probs)):
-            aggs.append(F.max(F.when((F.col("_s") == i) & (F.col("_i") == j), F.col("_e")))
-                        .alias(_edge_col(s, j)))
-    wide = edges.where(F.col("_s").isin(idx)).groupBy("_k").agg(*aggs)
+    wide = edges.where(F.col("_s").isin(idx)).groupBy("_k").agg(
+        *[F.max(F.when(F.col("_s") == i, F.col("_es"))).alias(f"_a{i}") for i in idx])
+    wide = wide.select("_k", *[F.col(f"_a{i}")[j].alias(_edge_col(specs[i], j))
+                               for i in idx for j in range(len(specs[i].probs))])
     if by is None:
         return wide.drop("_k")
     return wide.withColumn(key_name, F.col("_k").cast("int")).drop("_k")
@@ -201,7 +208,7 @@ def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "s
     they have one row per group, and groups are periods (bounded by the
     configured year range) or the single global group."""
     specs = list(specs)
-    edges = quantile_edges(df, specs, method, tiebreak)
+    edges = edge_arrays(df, specs, method, tiebreak)
     out = df
     bys = sorted({s.by for s in specs if s.by is not None})
     for by in bys:
