@@ -73,6 +73,7 @@ class RawSources:
     environment: DataFrame   # ADM2_NAME, Year, Rainfall_Annual, LST_Celsius, NDVI, NDMI
     mapping: DataFrame       # kode_bps, nama_env
     features: DataFrame      # properties{ID_KAB, KABKOT}, geometry{type, coordinates}
+    shared: tuple = ()       # upstream aggregates read by several sources
 
 
 def money(c):
@@ -156,7 +157,7 @@ def nation_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     nk, rk = F.col("n_nationkey"), F.col("n_regionkey")
     features = geo_features(nation, code, F.col("n_name"), nk.cast("double"), rk.cast("double"),
                             F.lit(1.0), rk >= 3)
-    return RawSources(health, density, area, env, mapping, features)
+    return RawSources(health, density, area, env, mapping, features, shared=(by_nation_year,))
 
 
 def customer_sources(spark: SparkSession, sf_dir: str) -> RawSources:
@@ -190,7 +191,7 @@ def customer_sources(spark: SparkSession, sf_dir: str) -> RawSources:
     features = geo_features(customer, code, F.col("c_name"), F.col("c_nationkey").cast("double"),
                             F.col("c_acctbal") / 1000.0, F.lit(1.0) + F.col("c_nationkey") / 5.0,
                             F.col("c_acctbal") >= 5000)
-    return RawSources(health, density, area, env, mapping, features)
+    return RawSources(health, density, area, env, mapping, features, shared=(per_cy,))
 
 
 def sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> RawSources:
@@ -212,9 +213,17 @@ def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
     """Write every raw source as a Parquet table under ``path`` and return
     readers of them (the one-off source load before the batch job)."""
     out = {}
-    for name in ("health", "density", "area", "environment", "mapping", "features"):
-        getattr(raw, name).write.mode("overwrite").parquet(f"{path}/{name}")
-        out[name] = spark.read.parquet(f"{path}/{name}")
+    # aggregates shared by several sources are kept for the duration of the
+    # landing only (computed once, released right after)
+    for df in raw.shared:
+        df.persist()
+    try:
+        for name in ("health", "density", "area", "environment", "mapping", "features"):
+            getattr(raw, name).write.mode("overwrite").parquet(f"{path}/{name}")
+            out[name] = spark.read.parquet(f"{path}/{name}")
+    finally:
+        for df in raw.shared:
+            df.unpersist()
     return RawSources(**out)
 
 
