@@ -73,8 +73,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
     r = spark.read.format("jdbc").option("url", url)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
-    if query is not None:
+    if query is not None and not partition_column:
         r = r.option("query", query)
+    elif query is not None:
+        # Spark does not combine "query" with "partitionColumn": pass the
+        # query as a derived table so the range split can wrap it
+        r = r.option("dbtable", f"({query}) src")
     else:
         src = table
         if columns:
