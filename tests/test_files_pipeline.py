@@ -78,3 +78,21 @@ def test_pipeline_on_source_files(spark, files, tmp_root):
     assert (rec["fact_rows"], rec["n_regions"], rec["n_years"], rec["imputed_rows"]) == (6, 3, 2, 2)
     q = reports.run_quality_report(runs).first()
     assert q["expected_rows"] == 6 and q["row_gap"] == 0 and q["pct_imputed"] == pytest.approx(33.3)
+
+
+def test_command_line_and_published_reports(spark, files, tmp_root, capsys):
+    from panelmart.__main__ import main
+    root = os.path.join(tmp_root, "wh-cli")
+    args = ["--root", root, "--year-start", "2019", "--year-end", "2020", "--events", "2020",
+            "--donors", "3217:3204", "--expected-entities", "3", "--on-duplicate-edges", "null",
+            "--report", "latest_pin_map"]
+    for k, v in files.items():
+        args += [f"--{k}", v]
+    main(args)
+    out = capsys.readouterr().out
+    assert "valid|" in out and "== latest_pin_map" in out
+    from panelmart.plans.reporting import published_reports
+    reps = published_reports(spark, root, PanelConfig(year_start=2019, year_end=2020))
+    counts = {r["tabel"]: r["rows"] for r in reps["table_row_counts"].collect()}
+    assert counts["fact_panel"] == 6 and counts["dim_region"] == 3
+    assert reps["orphan_facts"].first()[0] == 0
