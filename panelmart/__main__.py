@@ -40,6 +40,7 @@ def main(argv=None) -> None:
     raw = raw_from_files(spark, a.health, a.density, a.area, a.environment, a.mapping, a.geojson)
     out = pipeline.run(spark, raw, cfg, a.root)
     print(f"run {out['run_id']}: {out['status']}")
+    print(f"run {out['run_id']}: {out['load_status']}")
     reps = published_reports(spark, a.root, cfg)
     for name in a.report:
         print(f"== {name}")

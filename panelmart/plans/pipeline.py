@@ -74,7 +74,7 @@ def build_star(feat: DataFrame, cfg: PanelConfig) -> Star:
 
 def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
         enforce_checks: bool = True, run_at=None) -> dict:
-    """Full refresh: returns {'run_id', 'checks', 'status'}.
+    """Full refresh: returns {'run_id', 'checks', 'status', 'load_status'}.
 
     Staging is written under ``root/staging`` and checked (all failures in
     one error); the feature panel is written under ``root/work``; the star
@@ -102,4 +102,7 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
                           star.read_published(spark, root, "dim_period"), cfg,
                           run_at=run_at, run_id=run_id)
     star.append_run_log(rec, root)
-    return {"run_id": run_id, "checks": res, "status": status}
+    r = spark.read.parquet(f"{root}/pipeline_runs").where(f"run_id = {run_id}").first()
+    load_status = (f"loaded|regions={r['n_regions']}|periods={r['n_years']}|fact={r['fact_rows']}"
+                   f"|imputed={r['imputed_rows']}|null_ir={r['null_ir_rows']}")
+    return {"run_id": run_id, "checks": res, "status": status, "load_status": load_status}

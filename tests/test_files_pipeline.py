@@ -91,6 +91,7 @@ def test_command_line_and_published_reports(spark, files, tmp_root, capsys):
     main(args)
     out = capsys.readouterr().out
     assert "valid|" in out and "== latest_pin_map" in out
+    assert "loaded|regions=3|periods=2|fact=6|imputed=2|null_ir=0" in out
     from panelmart.plans.reporting import published_reports
     reps = published_reports(spark, root, PanelConfig(year_start=2019, year_end=2020))
     counts = {r["tabel"]: r["rows"] for r in reps["table_row_counts"].collect()}
