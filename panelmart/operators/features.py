@@ -103,13 +103,17 @@ def add_features(panel: DataFrame, cfg: PanelConfig, specs=None,
                          samp_cols=["lst_celsius", "kepadatan_penduduk", "ndvi"],
                          distinct_cols=["ndmi"])
     specs = bin_specs(cfg) if specs is None else specs
-    df = add_bins(df, specs, on_duplicate=cfg.on_duplicate_edges, method=cfg.quantile_method,
-                  extra_by_period=stats, period=p, tiebreak=[e, p])
-    # Tier only where the period has enough distinct ndmi values
+    # Tier only where the period has enough distinct ndmi values (T1);
+    # the guard sits inside the label expression, so a guarded-off period
+    # never evaluates (or raises on) its bins
     if cfg.tier_guard == "reference":
-        tier = F.lit(None).cast("string")
+        guard = F.lit(False)
     else:
-        tier = F.when(F.col("_ndmi_nd") >= len(C.TIER_LABELS), F.col("_ndmi_tier"))
+        guard = F.col("_ndmi_nd") >= len(C.TIER_LABELS)
+    df = add_bins(df, specs, on_duplicate=cfg.on_duplicate_edges, method=cfg.quantile_method,
+                  extra_by_period=stats, period=p, tiebreak=[e, p],
+                  guards={"_ndmi_tier": guard})
+    tier = F.col("_ndmi_tier")
     rain_z = zscore_pop("rainfall_mm")
     df = df.withColumns({
         "rainfall_zscore": rain_z,                                                     # W3

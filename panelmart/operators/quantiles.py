@@ -203,10 +203,14 @@ def bin_label(spec: BinSpec, on_duplicate: str = "error") -> F.Column:
 
 def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "sort",
              extra_by_period: DataFrame | None = None, period: str | None = None,
-             tiebreak=None) -> DataFrame:
+             tiebreak=None, guards: dict | None = None) -> DataFrame:
     """Add one label column per spec.  Edge tables are joined by broadcast:
     they have one row per group, and groups are periods (bounded by the
-    configured year range) or the single global group."""
+    configured year range) or the single global group.
+
+    ``guards`` maps a spec name to a condition (it may use the columns of
+    ``extra_by_period``): where it is false the label is NULL and the bins
+    are never evaluated, so a guarded-off group cannot raise."""
     specs = list(specs)
     edges = edge_arrays(df, specs, method, tiebreak)
     out = df
@@ -224,6 +228,10 @@ def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "s
         names = glob.columns
         arr = glob.select(F.array(*[F.col(c) for c in names]).alias("_a")).scalar()
         out = out.withColumns({c: arr[i] for i, c in enumerate(names)})
-    out = out.withColumns({s.name: bin_label(s, on_duplicate) for s in specs})
+    guards = guards or {}
+    out = out.withColumns({
+        s.name: (F.when(guards[s.name], bin_label(s, on_duplicate)) if s.name in guards
+                 else bin_label(s, on_duplicate))
+        for s in specs})
     helper = [_edge_col(s, i) for s in specs for i in range(len(s.probs))]
     return out.drop(*helper)

@@ -206,3 +206,12 @@ def test_properties_bin_sizes_and_zero_mean_z(spark):
     for r in out.groupBy("tahun").agg(F.avg("rainfall_zscore").alias("m")).collect():
         assert r["m"] == pytest.approx(0.0, abs=1e-9)
     assert out.count() == len(rows)  # features keep the panel grain
+
+
+def test_tier_guard_prevents_duplicate_edge_error(spark):
+    # 2 distinct ndmi values: guard off -> NULL tier, no error even in "error" mode
+    rows = [dict(kode_bps=k, tahun=2019, ndmi=v, lst_celsius=float(i), jumlah_kasus_dbd=i + 1,
+                 kepadatan_penduduk=100000.0 + i)
+            for i, (k, v) in enumerate(zip("ABCDEF", [1.0, 1.0, 1.0, 1.0, 2.0, 2.0]))]
+    out = features.add_features(panel_df(spark, rows), cfg(on_duplicate_edges="error"))
+    assert {r["water_body_density_tier"] for r in out.collect()} == {None}
