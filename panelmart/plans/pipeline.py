@@ -87,7 +87,7 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
         df.write.mode("overwrite").parquet(f"{root}/staging/{name}")
     stg = Staging(*[spark.read.parquet(f"{root}/staging/{n}")
                     for n in ("stg_health", "stg_demography", "stg_environment", "stg_geo")])
-    res = checks.run_checks(stg.as_dict(), cfg).cache()
+    res = checks.run_checks(stg.as_dict(), cfg)  # a few rows; recomputed from staging files
     if enforce_checks:
         checks.enforce(res)
     status = checks.status_line(stg.as_dict())
