@@ -90,15 +90,24 @@ def ensure_tables(spark: SparkSession, database: str, location: str) -> None:
         spark.sql(stmt)
 
 
-def publish(spark: SparkSession, root: str, tables: dict, run_id: int | None = None) -> int:
+def publish(spark: SparkSession, root: str, tables: dict, run_id: int | None = None,
+            partition_by: dict | None = None) -> int:
     """K2: write every warehouse table of one run under ``root/runs/<id>``,
     then append the run id to ``root/_published``.  Readers resolve the
     newest published run, so they never see a half-written load (the
-    switch is the single append, committed after all tables are written)."""
+    switch is the single append, committed after all tables are written).
+
+    ``partition_by`` maps a table to its partition columns (the fact by
+    period: a handful of directories, and period filters - also the
+    latest-period subquery - prune files at scan time)."""
     rid = run_id if run_id is not None else uuid.uuid4().int >> 65
     base = f"{root.rstrip('/')}/runs/{rid}"
+    partition_by = partition_by or {}
     for name, df in tables.items():
-        write_table(df, f"{base}/{name}", mode="overwrite")
+        cols = partition_by.get(name)
+        if cols:
+            df = df.sortWithinPartitions(*cols)  # one open file per task at a time
+        write_table(df, f"{base}/{name}", mode="overwrite", partition_by=cols)
     marker = spark.createDataFrame(
         [(rid, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
         "run_id long, published_at timestamp")

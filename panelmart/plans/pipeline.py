@@ -96,7 +96,8 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     feat = spark.read.parquet(f"{root}/work/panel_features")
     s = build_star(feat, cfg)
     run_id = star.publish(spark, root, {"dim_region": s.dim_region, "dim_period": s.dim_period,
-                                        "fact_panel": s.fact})
+                                        "fact_panel": s.fact},
+                          partition_by={"fact_panel": [cfg.period]})
     fact = star.read_published(spark, root, "fact_panel")
     rec = star.run_record(fact, star.read_published(spark, root, "dim_region"),
                           star.read_published(spark, root, "dim_period"), cfg,
