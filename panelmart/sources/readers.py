@@ -107,7 +107,10 @@ def read_geojson(spark: SparkSession, path, per_line: bool = False,
         df = spark.read.schema(feat_schema).json(path)
         return df.select("properties", "geometry")
     df = spark.read.schema(schema).option("multiLine", "true").json(path)
-    return df.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    # one document is read by one task: rebalance the exploded features so
+    # the per-feature work is spread over many tasks (AQE sizes the split)
+    return (df.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+            .hint("rebalance"))
 
 
 # ---- sinks ----------------------------------------------------------------
