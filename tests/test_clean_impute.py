@@ -82,3 +82,22 @@ def test_imputation_leaks_report(spark):
     c = cfg(donors=(("3217", "3204"),))
     leaks = panel.imputation_leaks(_imputation_panel(spark), c).collect()
     assert [(r["kode_bps"], r["tahun"]) for r in leaks] == [("3299", 2019)]
+
+
+def test_dedup_matches_pandas_keep_first(spark):
+    import random
+
+    import pandas as pd
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        k = "hot" if rnd.random() < 0.35 else f"k{rnd.randint(0, 60)}"
+        o1 = None if rnd.random() < 0.1 else rnd.randint(0, 20)
+        rows.append((k, rnd.randint(2019, 2021), o1, rnd.random(), i))
+    df = spark.createDataFrame(rows, "k string, y int, o1 int, v double, i int").repartition(7)
+    got = {(r["k"], r["y"]): r["i"] for r in
+           clean.dedup_keep_first(df, ["k", "y"], ["o1", "i"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "y", "o1", "v", "i"])
+    exp = (pdf.sort_values(["o1", "i"], na_position="last", kind="stable")
+           .drop_duplicates(["k", "y"], keep="first"))
+    assert got == {(r.k, r.y): r.i for r in exp.itertuples()}
