@@ -25,9 +25,9 @@ RUN_AT = _dt.datetime(2001, 1, 1, 0, 0, 0)
 class Ctx:
     """Lazily built layers of one panel over the test tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "nation"):
+    def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "nation", **cfg_kw):
         self.spark, self.sf_dir, self.grain = spark, sf_dir, grain
-        self.cfg = dt.config_for(grain)
+        self.cfg = dt.config_for(grain, **cfg_kw)
         self._c = {}
 
     def _get(self, k, f):
@@ -72,6 +72,16 @@ def _feat_cols(*cols):
     return lambda spark, d: Ctx(spark, d).feat.select(*KEYS, *cols)
 
 
+def q_water_tier_reference(spark, d):
+    """T1 compatibility: the source pipeline's guard never passes."""
+    return Ctx(spark, d, tier_guard="reference").feat.select(*KEYS, "ndmi", "water_body_density_tier")
+
+
+def q_yoy_growth_unpadded(spark, d):
+    """T2 option: growth to the previous row without carrying NULLs."""
+    return Ctx(spark, d, growth_pad=False).feat.select(*KEYS, "incidence_rate", "yoy_growth_rate")
+
+
 def q_panel_assemble(spark, d):
     return Ctx(spark, d).panel0
 
@@ -300,6 +310,9 @@ QUERIES = {
     # step 9: geometry; densify option
     "centroids": q_centroids,
     "densify": q_densify,
+    # trap options
+    "water_tier_reference": q_water_tier_reference,
+    "yoy_growth_unpadded": q_yoy_growth_unpadded,
     # scale check: customer x year panel (entity windows really shuffle)
     "customer_panel_features": q_customer_panel_features,
     "customer_surge_trend": q_customer_surge_trend,
