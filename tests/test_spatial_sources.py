@@ -88,3 +88,51 @@ def test_csv_and_parquet_sinks_roundtrip(spark, tmp_root):
     assert sorted(r["v"] for r in back.collect()) == [0.0, 2.0, 4.0, 6.0, 8.0]
     readers.write_csv(df, os.path.join(tmp_root, "c"))
     assert spark.read.option("header", True).csv(os.path.join(tmp_root, "c")).count() == 5
+
+
+def test_centroid_random_polygons_vs_numpy(spark):
+    """Random multi-part polygons with holes and random winding, against an
+    independent numpy computation (triangle fan per ring)."""
+    import random
+
+    import numpy as np
+    rnd = random.Random(9)
+
+    def ring(cx, cy, r, k, cw):
+        ang = sorted(rnd.uniform(0, 2 * np.pi) for _ in range(k))
+        pts = [[cx + r * np.cos(a), cy + r * np.sin(a)] for a in ang]
+        if cw:
+            pts = pts[::-1]
+        return pts + [pts[0]]
+
+    def fan(pts):
+        p = np.array(pts[:-1])
+        a = 0.0
+        mx = np.zeros(2)
+        for i in range(1, len(p) - 1):
+            t = (p[i][0] - p[0][0]) * (p[i + 1][1] - p[0][1]) - (p[i + 1][0] - p[0][0]) * (p[i][1] - p[0][1])
+            a += t / 2
+            mx += t / 2 * (p[0] + p[i] + p[i + 1]) / 3
+        return abs(a), mx * np.sign(a)
+
+    feats, exp = [], {}
+    for f in range(30):
+        parts, tot_a, tot_m = [], 0.0, np.zeros(2)
+        for _ in range(rnd.randint(1, 3)):
+            cx, cy = rnd.uniform(-50, 50), rnd.uniform(-50, 50)
+            shell = ring(cx, cy, rnd.uniform(5, 10), rnd.randint(3, 9), rnd.random() < 0.5)
+            hole = ring(cx, cy, rnd.uniform(0.5, 2), rnd.randint(3, 6), rnd.random() < 0.5)
+            rings = [shell] + ([hole] if rnd.random() < 0.6 else [])
+            for ri, rg in enumerate(rings):
+                a, m = fan(rg)
+                s = 1.0 if ri == 0 else -1.0
+                tot_a += s * a
+                tot_m += s * m
+            parts.append(rings)
+        exp[str(f)] = (tot_m[1] / tot_a, tot_m[0] / tot_a)
+        feats.append((float(f), str(f), "MultiPolygon", parts))
+    got = {r["kode_bps"]: (r["latitude"], r["longitude"])
+           for r in spatial.centroids(_features(spark, feats)).collect()}
+    for k, (lat, lon) in exp.items():
+        assert got[k][0] == pytest.approx(lat, rel=1e-9, abs=1e-9)
+        assert got[k][1] == pytest.approx(lon, rel=1e-9, abs=1e-9)
