@@ -100,4 +100,5 @@ def cut_lineage(df, name: str = "table"):
     """
     path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: no footer-reading job on the way back
+    return df.sparkSession.read.schema(df.schema).parquet(path)

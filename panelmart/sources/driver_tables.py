@@ -219,8 +219,9 @@ def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
         df.persist()
     try:
         for name in ("health", "density", "area", "environment", "mapping", "features"):
-            getattr(raw, name).write.mode("overwrite").parquet(f"{path}/{name}")
-            out[name] = spark.read.parquet(f"{path}/{name}")
+            df = getattr(raw, name)
+            df.write.mode("overwrite").parquet(f"{path}/{name}")
+            out[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
     finally:
         for df in raw.shared:
             df.unpersist()
