@@ -242,6 +242,37 @@ def q_centroids(spark, d):
     return spatial.centroids(Ctx(spark, d, "customer").raw.features)
 
 
+def q_csv_source_roundtrip(spark, d):
+    """S1 + K5: the raw environment table (mixed-case headers) exported as
+    CSV to the shared folder, read back with an explicit schema and
+    case-insensitive headers."""
+    import uuid
+
+    from panelmart.schemas import RAW_ENVIRONMENT
+    from panelmart.session import shared_dir
+    from panelmart.sources import readers
+    path = shared_dir(spark, f"exports/env-{uuid.uuid4().hex}")
+    readers.write_csv(Ctx(spark, d).raw.environment, path)
+    return readers.read_csv(spark, path, RAW_ENVIRONMENT, lowercase=True)
+
+
+def q_geojson_source_roundtrip(spark, d):
+    """S5 + G1/G2: customer polygons written as GeoJSON features (one per
+    line) to the shared folder, read back and reduced to centroids."""
+    import uuid
+
+    from panelmart.session import shared_dir
+    from panelmart.sources import readers
+    path = shared_dir(spark, f"exports/geo-{uuid.uuid4().hex}")
+    feats = Ctx(spark, d, "customer").raw.features
+    (feats.select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"), "properties",
+        F.struct("geometry.type", F.parse_json("geometry.coordinates").alias("coordinates"))
+        .alias("geometry"))).alias("value"))
+     .write.mode("overwrite").text(path))
+    return spatial.centroids(readers.read_geojson(spark, path, per_line=True))
+
+
 def q_densify(spark, d):
     c = Ctx(spark, d)
     return panel.densify(c.stg.health, c.cfg)
@@ -309,6 +340,8 @@ QUERIES = {
     "orphan_facts": q_orphan_facts,
     # step 9: geometry; densify option
     "centroids": q_centroids,
+    "csv_source_roundtrip": q_csv_source_roundtrip,
+    "geojson_source_roundtrip": q_geojson_source_roundtrip,
     "densify": q_densify,
     # trap options
     "water_tier_reference": q_water_tier_reference,
