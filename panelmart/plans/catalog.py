@@ -273,6 +273,30 @@ def q_geojson_source_roundtrip(spark, d):
     return spatial.centroids(readers.read_geojson(spark, path, per_line=True))
 
 
+def _published_run(spark, d):
+    """The whole batch job into a fresh warehouse folder on the shared store."""
+    import uuid
+
+    from panelmart.session import shared_dir
+    c = Ctx(spark, d)
+    root = shared_dir(spark, f"warehouse/{uuid.uuid4().hex}")
+    pl.run(spark, c.raw, c.cfg, root, run_at=RUN_AT)
+    return c, root
+
+
+def q_published_fact(spark, d):
+    """K1-K3: the fact as published by the batch job (partitioned by period)."""
+    c, root = _published_run(spark, d)
+    return star.read_published(spark, root, "fact_panel").drop("fact_id")
+
+
+def q_published_quality_report(spark, d):
+    """Q5 over the run log appended by the batch job."""
+    from panelmart.plans.reporting import published_reports
+    c, root = _published_run(spark, d)
+    return published_reports(spark, root, c.cfg)["run_quality_report"]
+
+
 def q_densify(spark, d):
     c = Ctx(spark, d)
     return panel.densify(c.stg.health, c.cfg)
@@ -323,6 +347,8 @@ QUERIES = {
     "dim_period": q_dim("dim_period"),
     "fact_panel": q_fact_panel,
     "run_record": q_run_record,
+    "published_fact": q_published_fact,
+    "published_quality_report": q_published_quality_report,
     # step 7: reports
     "vulnerability_map": q_vulnerability_map,
     "event_period_compare": q_event_period_compare,
