@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelmart.config import PanelConfig
 from panelmart.functions.columns import nan_to_null_all, normalize_code
 from panelmart.operators.joins import broadcast_if_small
-from panelmart.sources.readers import lowercase_columns
+from panelmart.sources.readers import INPUT_ORDER, lowercase_columns
 
 
 def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
@@ -20,9 +20,17 @@ def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     Done as an aggregate (``min_by`` of the row over the order key), so
     duplicates are combined map-side before the shuffle: a key holding a
     third of all rows never lands whole in one task.  Without ``order_by``
-    the remaining columns are the order, so the result is deterministic.
+    the input order recorded by the file readers (``_input_order``) is used
+    when present - the first row as the files list it - else the remaining
+    columns, so the result is always deterministic.  ``_input_order`` is
+    dropped from the output.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if order_by is None and INPUT_ORDER in df.columns:
+        order_by = [INPUT_ORDER]
+    if INPUT_ORDER in df.columns and INPUT_ORDER not in (
+            [order_by] if isinstance(order_by, str) else list(order_by or [])):
+        df = df.drop(INPUT_ORDER)
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.select(*keys).distinct()
@@ -32,7 +40,11 @@ def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     ordk = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
     out = df.groupBy(*keys).agg(F.min_by(row, ordk).alias("_r"))
     return out.select(*[F.col(c) for c in keys], *[F.col(f"_r.{c}").alias(c) for c in others]) \
-        .select(*df.columns)
+        .select(*[c for c in df.columns if c != INPUT_ORDER])
+
+
+def _order_cols(df: DataFrame) -> list:
+    return [INPUT_ORDER] if INPUT_ORDER in df.columns else []
 
 
 def filter_periods(df: DataFrame, period: str, start: int, end: int) -> DataFrame:
@@ -48,7 +60,8 @@ def stage_health(raw: DataFrame, cfg: PanelConfig, cases_col: str = "jumlah_kasu
           .transform(lambda d: filter_periods(d, p, cfg.year_start, cfg.year_end))
           .withColumnRenamed(cases_col, "jumlah_kasus_dbd")
           .select(e, cfg.name, F.col(p).cast("int").alias(p),
-                  F.col("jumlah_kasus_dbd").cast("int").alias("jumlah_kasus_dbd")))
+                  F.col("jumlah_kasus_dbd").cast("int").alias("jumlah_kasus_dbd"),
+                  *_order_cols(raw)))
     return dedup_keep_first(df, [e, p], order_by)
 
 
@@ -65,7 +78,7 @@ def stage_demography(density: DataFrame, area: DataFrame, cfg: PanelConfig,
     df = d.join(a, [e, p], "left").select(
         e, F.col(p).cast("int").alias(p),
         F.col("kepadatan_penduduk").cast("double").alias("kepadatan_penduduk"),
-        F.col("luas_km2").cast("double").alias("luas_km2"))
+        F.col("luas_km2").cast("double").alias("luas_km2"), *_order_cols(density))
     return dedup_keep_first(nan_to_null_all(df), [e, p], order_by)
 
 
@@ -104,7 +117,8 @@ def stage_environment(raw: DataFrame, mapping: DataFrame, cfg: PanelConfig,
     e, p = cfg.entity, cfg.period
     df = rename_environment(raw)
     df = map_names(df, mapping, "nama_env", e).where(F.col(e).isNotNull())
-    df = df.select(e, F.col("tahun").alias(p), *[F.col(v).cast("double").alias(v) for v in cfg.env_vars])
+    df = df.select(e, F.col("tahun").alias(p), *[F.col(v).cast("double").alias(v) for v in cfg.env_vars],
+                   *_order_cols(raw))
     return dedup_keep_first(nan_to_null_all(df), [e, p], order_by)
 
 

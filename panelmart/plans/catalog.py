@@ -253,7 +253,7 @@ def q_csv_source_roundtrip(spark, d):
     from panelmart.sources import readers
     path = shared_dir(spark, f"exports/env-{uuid.uuid4().hex}")
     readers.write_csv(Ctx(spark, d).raw.environment, path)
-    return readers.read_csv(spark, path, RAW_ENVIRONMENT, lowercase=True)
+    return readers.read_csv(spark, path, RAW_ENVIRONMENT, lowercase=True).drop(readers.INPUT_ORDER)
 
 
 def q_geojson_source_roundtrip(spark, d):

@@ -22,10 +22,27 @@ def lowercase_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*lowered)
 
 
-def conform(df: DataFrame, schema: StructType, lowercase: bool = False) -> DataFrame:
+INPUT_ORDER = "_input_order"
+
+
+def input_order() -> F.Column:
+    """Position of a row in its input: (file, block start, row id).
+
+    Evaluated directly on a file scan, the row id grows with the row order
+    inside each split, so ordering by this struct is the files' own order
+    (files by name).  Staging uses it to keep the first duplicate the way
+    the source files list them."""
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def conform(df: DataFrame, schema: StructType, lowercase: bool = False,
+            keep=()) -> DataFrame:
     """Select the schema's columns by name and cast each once.
 
     Text that does not parse becomes NULL (``try_cast``); NaN becomes NULL.
+    ``keep`` names extra columns passed through unchanged.
     """
     if lowercase:
         df = lowercase_columns(df)
@@ -34,22 +51,27 @@ def conform(df: DataFrame, schema: StructType, lowercase: bool = False) -> DataF
         raise ValueError(f"missing columns {missing}; have {df.columns}")
     out = df.select(*[
         F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields
-    ])
+    ], *keep)
     return nan_to_null_all(out)
 
 
 def read_csv(spark: SparkSession, path, schema: StructType, lowercase: bool = False,
-             **options) -> DataFrame:
+             keep_input_order: bool = True, **options) -> DataFrame:
     """Header CSV read as text, then conformed to ``schema`` by name.
 
     Reading the header as text (no inference) keeps the scan a single pass
     and lets ``lowercase=True`` accept arbitrary header case (raw
     environment files).  Splittable: large files are read by many tasks.
+    With ``keep_input_order`` an ``_input_order`` column records each row's
+    position in the files (see :func:`input_order`).
     """
     opts = {"header": "true", "inferSchema": "false", "mode": "PERMISSIVE"}
     opts.update({k: str(v) for k, v in options.items()})
     raw = spark.read.options(**opts).csv(path)
-    return conform(raw, schema, lowercase=lowercase)
+    if keep_input_order:
+        raw = raw.withColumn(INPUT_ORDER, input_order())
+    return conform(raw, schema, lowercase=lowercase,
+                   keep=[INPUT_ORDER] if keep_input_order else [])
 
 
 def read_parquet(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:

@@ -68,7 +68,7 @@ def test_read_csv_mixed_case_headers(spark, tmp_root):
         f.write("Bandung,2019,100.5,25.1,0.4,0.1,x\n")
         f.write("Bogor,2020,nan,,0.7,bad,y\n")
     df = readers.read_csv(spark, p, RAW_ENVIRONMENT, lowercase=True)
-    assert df.columns == [f.name for f in RAW_ENVIRONMENT.fields]
+    assert df.columns == [f.name for f in RAW_ENVIRONMENT.fields] + [readers.INPUT_ORDER]
     rows = {r["adm2_name"]: r for r in df.collect()}
     assert rows["Bandung"]["rainfall_annual"] == 100.5 and rows["Bandung"]["year"] == 2019
     assert rows["Bogor"]["rainfall_annual"] is None  # 'nan' -> NULL, never NaN
@@ -136,3 +136,22 @@ def test_centroid_random_polygons_vs_numpy(spark):
     for k, (lat, lon) in exp.items():
         assert got[k][0] == pytest.approx(lat, rel=1e-9, abs=1e-9)
         assert got[k][1] == pytest.approx(lon, rel=1e-9, abs=1e-9)
+
+
+def test_keep_first_in_file_order_t5(spark, tmp_root):
+    from panelmart.config import PanelConfig
+    from panelmart.operators import clean
+    from panelmart.schemas import RAW_HEALTH
+    p = os.path.join(tmp_root, "health.csv")
+    with open(p, "w") as f:
+        f.write("kode_bps,nama_kabupaten_kota,tahun,jumlah_kasusDBD\n")
+        f.write("3204,A,2019,30\n3207,B,2019,7\n3204,A,2019,10\n3204,A,2019,20\n")
+    raw = readers.read_csv(spark, p, RAW_HEALTH)
+    got = {(r["kode_bps"], r["tahun"]): r["jumlah_kasus_dbd"] for r in
+           clean.stage_health(raw, PanelConfig(year_start=2019, year_end=2019)).collect()}
+    assert got == {("3204", 2019): 30, ("3207", 2019): 7}  # first as the file lists it
+    # without the recorded order the remaining columns decide (deterministic)
+    raw2 = readers.read_csv(spark, p, RAW_HEALTH, keep_input_order=False)
+    got2 = {(r["kode_bps"], r["tahun"]): r["jumlah_kasus_dbd"] for r in
+            clean.stage_health(raw2, PanelConfig(year_start=2019, year_end=2019)).collect()}
+    assert got2[("3204", 2019)] == 10
