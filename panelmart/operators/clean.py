@@ -125,4 +125,5 @@ def stage_environment(raw: DataFrame, mapping: DataFrame, cfg: PanelConfig,
 def stage_geo(centroids: DataFrame, cfg: PanelConfig) -> DataFrame:
     """stg_geo: (code, nama_geo, latitude, longitude), one row per code."""
     e = cfg.entity
-    return dedup_keep_first(centroids.select(e, "nama_geo", "latitude", "longitude"), [e])
+    return dedup_keep_first(centroids.select(e, "nama_geo", "latitude", "longitude",
+                                             *_order_cols(centroids)), [e])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from panelmart.functions.columns import normalize_code
+from panelmart.sources.readers import INPUT_ORDER
 
 _RING = ArrayType(ArrayType(DoubleType()))
 _POLY = ArrayType(_RING)
@@ -86,9 +87,13 @@ def with_centroid(df: DataFrame, polys: F.Column, lat: str = "latitude",
 def centroids(features: DataFrame, id_field: str = "ID_KAB", name_field: str = "KABKOT",
               code_col: str = "kode_bps", name_col: str = "nama_geo") -> DataFrame:
     """features(properties, geometry{type, coordinates}) ->
-    (code, name, latitude, longitude).  A feature without area gets NULLs."""
+    (code, name, latitude, longitude).  A feature without area gets NULLs.
+    A recorded ``_input_order`` is passed through (stg_geo keeps the first
+    feature per code as the file lists it)."""
+    keep = [INPUT_ORDER] if INPUT_ORDER in features.columns else []
     base = features.select(
         normalize_code(F.col(f"properties.{id_field}")).alias(code_col),
         F.col(f"properties.{name_field}").alias(name_col),
-        polygons("geometry.type", "geometry.coordinates").alias("_polys"))
-    return with_centroid(base, F.col("_polys")).select(code_col, name_col, "latitude", "longitude")
+        polygons("geometry.type", "geometry.coordinates").alias("_polys"), *keep)
+    return with_centroid(base, F.col("_polys")).select(code_col, name_col, "latitude", "longitude",
+                                                       *keep)

@@ -122,16 +122,21 @@ def read_geojson(spark: SparkSession, path, per_line: bool = False,
     file), so at scale give many files or ``per_line=True`` (one feature per
     line, fully splittable).  Coordinates stay JSON text here; the spatial
     operator parses them per geometry type.  Output columns: ``properties``
-    (struct) and ``geometry`` (struct<type, coordinates>).
+    (struct), ``geometry`` (struct<type, coordinates>) and ``_input_order``.
     """
     if per_line:
         feat_schema = schema["features"].dataType.elementType
         df = spark.read.schema(feat_schema).json(path)
-        return df.select("properties", "geometry")
+        return df.select("properties", "geometry", input_order().alias(INPUT_ORDER))
     df = spark.read.schema(schema).option("multiLine", "true").json(path)
     # one document is read by one task: rebalance the exploded features so
-    # the per-feature work is spread over many tasks (AQE sizes the split)
-    return (df.select(F.explode("features").alias("f")).select("f.properties", "f.geometry")
+    # the per-feature work is spread over many tasks (AQE sizes the split);
+    # the input order is (file, position in the feature array)
+    return (df.select(F.col("_metadata.file_path").alias("_file"),
+                      F.posexplode("features").alias("_pos", "f"))
+            .select("f.properties", "f.geometry",
+                    F.struct(F.col("_file").alias("file"), F.lit(0).cast("long").alias("block"),
+                             F.col("_pos").cast("long").alias("row")).alias(INPUT_ORDER))
             .hint("rebalance"))
 
 
