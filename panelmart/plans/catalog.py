@@ -8,7 +8,6 @@ comparison with the SQL oracle in ``oracle.py``; column names match).
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -388,7 +387,3 @@ def rounded(fn):
 
 def queries() -> dict:
     return {k: rounded(v) for k, v in QUERIES.items()}
-
-
-def union_all(dfs) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)
