@@ -155,3 +155,13 @@ def test_keep_first_in_file_order_t5(spark, tmp_root):
     got2 = {(r["kode_bps"], r["tahun"]): r["jumlah_kasus_dbd"] for r in
             clean.stage_health(raw2, PanelConfig(year_start=2019, year_end=2019)).collect()}
     assert got2[("3204", 2019)] == 10
+
+
+def test_read_parquet_conforms_types(spark, tmp_root):
+    from panelmart.schemas import RAW_DENSITY
+    p = os.path.join(tmp_root, "density.parquet")
+    spark.createDataFrame([(3204, "2019", float("nan")), (3207, "x", 5.0)],
+                          "kode_bps int, tahun string, kepadatan_penduduk double").write.parquet(p)
+    rows = {r["kode_bps"]: r for r in readers.read_parquet(spark, p, RAW_DENSITY).collect()}
+    assert rows["3204"]["tahun"] == 2019 and rows["3204"]["kepadatan_penduduk"] is None
+    assert rows["3207"]["tahun"] is None and rows["3207"]["kepadatan_penduduk"] == 5.0
