@@ -60,3 +60,18 @@ def test_approx_method_close_to_exact(spark):
     assert exact.keys() == approx.keys()
     for k in exact:
         assert approx[k] == pytest.approx(exact[k], abs=0.01)
+
+
+def test_hot_value_spreads_over_range_partitions(spark):
+    """A value held by a third of all rows must not land in one task."""
+    from pyspark.sql import functions as F
+    rows = [(str(i), 2019, -7.0 if i % 3 == 0 else float(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, g int, x double")
+    spec = [quantiles.BinSpec("q", "x", "g", C.QUARTILE_LABELS)]
+    long = quantiles._long_values(df, spec, tiebreak=["k"])
+    parts = (long.repartitionByRange(16, "_s", "_k", "_v", "_t")
+             .where(F.col("_v") == -7.0)
+             .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    hot = sum(r["count"] for r in parts)
+    assert hot == 2000
+    assert len(parts) >= 4 and max(r["count"] for r in parts) <= hot / 3
