@@ -37,3 +37,20 @@ def test_ingest_scans_are_pruned_and_preaggregated(spark):
     # line items are partially aggregated per (order, year) before any join
     first_agg = s.rfind("HashAggregate(keys=[l_orderkey")
     assert first_agg != -1 and "partial_sum" in s
+
+
+def test_dedup_combines_before_the_shuffle(spark):
+    from panelmart.operators import clean
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS o", "id * 2 AS v")
+    s = _plan(clean.dedup_keep_first(df, ["k"], ["o"]))
+    partial = s.find("partial_min_by")
+    exchange = s.find("Exchange hashpartitioning(k")
+    # printed top-down: the final aggregate, then the exchange, then the partial one
+    assert partial != -1 and exchange != -1 and exchange < partial
+
+
+def test_period_statistics_are_partial_aggregates(spark):
+    from panelmart.operators import features
+    df = spark.range(1000).selectExpr("cast(id % 4 as int) AS tahun", "rand(1) AS x")
+    s = _plan(features.period_stats(df, "tahun", pop_cols=["x"], samp_cols=["x"]))
+    assert "partial_avg" in s and "Window" not in s
