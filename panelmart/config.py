@@ -84,6 +84,22 @@ class PanelConfig:
     # aggregate) or "approx" (percentile_approx)
     quantile_method: str = "sort"
 
+    def __post_init__(self):
+        if self.year_start > self.year_end:
+            raise ValueError(f"year_start {self.year_start} > year_end {self.year_end}")
+        if self.on_duplicate_edges not in ("error", "null", "collapse"):
+            raise ValueError(f"on_duplicate_edges must be error, null or collapse: "
+                             f"{self.on_duplicate_edges!r}")
+        if self.tier_guard not in ("distinct_values", "reference"):
+            raise ValueError(f"tier_guard must be distinct_values or reference: {self.tier_guard!r}")
+        if self.quantile_method not in ("sort", "agg", "approx"):
+            raise ValueError(f"quantile_method must be sort, agg or approx: {self.quantile_method!r}")
+        if not 0.0 <= self.min_row_fraction <= 1.0:
+            raise ValueError(f"min_row_fraction must be within [0, 1]: {self.min_row_fraction}")
+        targets = [t for t, _ in self.donors]
+        if len(set(targets)) != len(targets):
+            raise ValueError(f"a target entity has more than one donor: {self.donors}")
+
     @property
     def n_years(self) -> int:
         return self.year_end - self.year_start + 1

@@ -33,3 +33,15 @@ def test_normalize_code_t6(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     assert [r[0] for r in df.select(nan_to_null(F.col("x"))).collect()] == [None, 1.0]
+
+
+def test_config_validation():
+    import pytest
+
+    from panelmart.config import PanelConfig
+    for bad in (dict(year_start=2025, year_end=2024), dict(on_duplicate_edges="drop"),
+                dict(tier_guard="x"), dict(quantile_method="fast"), dict(min_row_fraction=1.5),
+                dict(donors=(("1", "2"), ("1", "3")))):
+        with pytest.raises(ValueError):
+            PanelConfig(**bad)
+    assert PanelConfig().n_years == 6
