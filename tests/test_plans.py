@@ -54,3 +54,27 @@ def test_period_statistics_are_partial_aggregates(spark):
     df = spark.range(1000).selectExpr("cast(id % 4 as int) AS tahun", "rand(1) AS x")
     s = _plan(features.period_stats(df, "tahun", pop_cols=["x"], samp_cols=["x"]))
     assert "partial_avg" in s and "Window" not in s
+
+
+def test_assembly_keeps_the_panel_partitioning(spark):
+    """With broadcasts off (as at scale), no join after the dedups
+    re-shuffles the panel: the only entity-keyed exchanges are the keep-first
+    dedups' (entity, period) ones and the small geometry side."""
+    from panelmart.operators import panel
+    from panelmart.plans import pipeline as pl
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        raw = dt.sources(spark, SF, "customer")
+        cfg = dt.config_for("customer")
+        stg = pl.build_staging(raw, cfg)
+        s = _plan(panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    top = s.splitlines()[0:3]
+    assert any("SortMergeJoin" in ln and "tahun" in ln for ln in top)
+    # no exchange keyed by the entity alone on the panel side
+    assert not re.search(r"^:  \+- Exchange hashpartitioning\(kode_bps#\d+, \d+\)", s, re.M)
