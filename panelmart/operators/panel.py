@@ -19,7 +19,12 @@ def assemble(health: DataFrame, demography: DataFrame, environment: DataFrame,
              geo_probe: DataFrame | None = None) -> DataFrame:
     """Health drives the grain; demography and environment join on
     (entity, period), geometry on the entity.  All inputs are keep-first
-    deduplicated, so no join fans out and row count = health rows."""
+    deduplicated, so no join fans out and row count = health rows.
+
+    ``health`` is expected as staged (periods within the configured range,
+    as ``clean.stage_health`` leaves them): geometry is then attached per
+    (entity, period) of that range.  Pass ``max_geo_broadcast_rows`` to join
+    geometry on the entity alone instead."""
     e, p = cfg.entity, cfg.period
     g = geo.select(e, "latitude", "longitude")
     joined = health.join(demography, [e, p], "left").join(environment, [e, p], "left")
