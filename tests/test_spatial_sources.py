@@ -165,3 +165,27 @@ def test_read_parquet_conforms_types(spark, tmp_root):
     rows = {r["kode_bps"]: r for r in readers.read_parquet(spark, p, RAW_DENSITY).collect()}
     assert rows["3204"]["tahun"] == 2019 and rows["3204"]["kepadatan_penduduk"] is None
     assert rows["3207"]["tahun"] is None and rows["3207"]["kepadatan_penduduk"] == 5.0
+
+
+def test_read_jdbc_argument_checks(spark):
+    with pytest.raises(ValueError):
+        readers.read_jdbc(spark, "jdbc:none", table="t", query="select 1")
+    with pytest.raises(ValueError):
+        readers.read_jdbc(spark, "jdbc:none")
+
+
+def test_keep_first_across_files(spark, tmp_root):
+    from panelmart.config import PanelConfig
+    from panelmart.operators import clean
+    from panelmart.schemas import RAW_HEALTH
+    d = os.path.join(tmp_root, "health_parts")
+    os.makedirs(d)
+    head = "kode_bps,nama_kabupaten_kota,tahun,jumlah_kasusDBD\n"
+    with open(os.path.join(d, "part-b.csv"), "w") as f:
+        f.write(head + "3204,A,2019,1\n")
+    with open(os.path.join(d, "part-a.csv"), "w") as f:
+        f.write(head + "3204,A,2019,50\n3207,B,2019,2\n")
+    raw = readers.read_csv(spark, d, RAW_HEALTH)
+    got = {r["kode_bps"]: r["jumlah_kasus_dbd"] for r in
+           clean.stage_health(raw, PanelConfig(year_start=2019, year_end=2019)).collect()}
+    assert got == {"3204": 50, "3207": 2}  # files in name order, rows in file order
