@@ -207,6 +207,7 @@ def config_for(grain: str, **kw) -> PanelConfig:
 
 
 _LANDED: dict = {}
+_LANDING_LOCK = __import__("threading").Lock()
 
 
 def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
@@ -234,9 +235,10 @@ def landed_sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> R
     from there by every later query of the application."""
     from panelmart.session import app_id, shared_dir
     key = (app_id(spark), sf_dir.rstrip("/"), grain)
-    if key not in _LANDED:
-        import hashlib
-        tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
-        path = shared_dir(spark, f"ingest/{grain}-{tag}")
-        _LANDED[key] = land(spark, sources(spark, sf_dir, grain), path)
-    return _LANDED[key]
+    with _LANDING_LOCK:  # one landing per key, also when queries run in threads
+        if key not in _LANDED:
+            import hashlib
+            tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+            path = shared_dir(spark, f"ingest/{grain}-{tag}")
+            _LANDED[key] = land(spark, sources(spark, sf_dir, grain), path)
+        return _LANDED[key]
