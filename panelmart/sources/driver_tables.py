@@ -26,6 +26,7 @@ left to the optimizer's size checks.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -207,7 +208,7 @@ def config_for(grain: str, **kw) -> PanelConfig:
 
 
 _LANDED: dict = {}
-_LANDING_LOCK = __import__("threading").Lock()
+_LANDING_LOCK = threading.Lock()
 
 
 def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
