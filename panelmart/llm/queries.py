@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmart.llm import mixing, packing, sharding, tokencount
+from panelmart.llm import chat, html, minhash, mixing, packing, quality, sharding, tokencount
 from panelmart.llm.common import cut_lineage, table
 
 
@@ -18,16 +18,38 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(stored)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n_words=3, percent=85)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.resample(docs, quality.good_labels(table(spark, sf_dir, "labels"))).select(
+        "doc_id", "log_ratio", "key", "kept")
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", marks), (-1, 1, "assistant", marks)],
+                                  "conv_id long, turn long, role string, text string")
+    convs = table(spark, sf_dir, "conversations").select(extra.columns).unionByName(extra)
+    return chat.read_back(chat.format_chat(convs))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", F.col("mix_size").alias("size"),
@@ -38,4 +60,55 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_sharding, op7_token_counts, op10_source_mixing)}
+        op1_best_fit_packing, op2_html_extraction, op3_sharding,
+        op5_minhash_near_dedup, op7_token_counts, op8_quality_classifier, op9_chat_formatting,
+        op10_source_mixing)}
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL for the operators that SQL can express."""
+    return {"op5_minhash_near_dedup": OP5, "op9_chat_formatting": OP9}
+
+
+#: Escaping adds one character for each control string or escape character.
+OP9 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), m AS (
+  SELECT *, length(regexp_replace(text, '\\|</?s>|\[/?INST\]|<</?SYS>>|<</?ROLE>>|<</TURN>>', '\0_', 'g')) AS chars,
+    CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 END AS marks
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars + marks) + 3 AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
+#: Shingle sets, pairs that share a shingle, and the closure of the links.
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x != '') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM w
+), e AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), l AS (
+  SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+), r AS (
+  SELECT doc_id, doc_id AS to_id FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.to_id = l.a
+), c AS (
+  SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM s JOIN c USING (doc_id)
+"""
