@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmart.llm import chat, html, minhash, mixing, packing, quality, sharding, tokencount
+from panelmart.llm import (
+    chat, embeddup, html, minhash, mixing, neighbours, packing, quality, sharding, tokencount,
+)
 from panelmart.llm.common import cut_lineage, table
 
 
@@ -28,10 +30,19 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n_words=3, percent=85)
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -60,14 +71,14 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op2_html_extraction, op3_sharding,
-        op5_minhash_near_dedup, op7_token_counts, op8_quality_classifier, op9_chat_formatting,
+        op1_best_fit_packing, op2_html_extraction, op3_sharding, op4_nearest_neighbours,
+        op5_minhash_near_dedup, op6_embedding_near_dedup, op7_token_counts, op8_quality_classifier, op9_chat_formatting,
         op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the operators that SQL can express."""
-    return {"op5_minhash_near_dedup": OP5, "op9_chat_formatting": OP9}
+    return {"op4_nearest_neighbours": OP4, "op6_embedding_near_dedup": OP6, "op5_minhash_near_dedup": OP5, "op9_chat_formatting": OP9}
 
 
 #: Escaping adds one character for each control string or escape character.
@@ -112,3 +123,41 @@ WITH RECURSIVE w AS (
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM s JOIN c USING (doc_id)
 """
+
+#: Vectors that take part, with their squared length added up in order.
+VECTORS = """v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0
+), u AS (
+  SELECT vec_id, label, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda x, y: x + y)) AS l FROM v
+)"""
+
+COSINE = "list_reduce(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2]), lambda x, y: x + y) / (a.l * b.l)"
+
+OP4 = f"""
+WITH {VECTORS}, s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, {COSINE} AS score
+  FROM u a JOIN u b ON a.vec_id % 50 = 0 AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+OP6 = f"""
+WITH RECURSIVE {VECTORS}, l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM u a JOIN u b ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+  WHERE {COSINE} >= 0.93
+), r AS (
+  SELECT vec_id, vec_id AS to_id FROM embeddings UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.to_id = l.a
+), c AS (
+  SELECT vec_id, min(to_id) AS component_id FROM r GROUP BY vec_id
+), n AS (
+  SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
