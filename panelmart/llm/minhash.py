@@ -7,11 +7,12 @@ high similarity.  Classes that share a band key are candidates; those whose
 sketches are too far apart for the wanted similarity are dropped, and the
 rest are confirmed on their full shingle sets.
 
-A key's classes are first compared with its smallest class only.  What these
-links join needs no more comparing: afterwards only classes of one key that
-are still in different components are compared.  So a group of thousands of
-near copies costs about as many comparisons as it has members, and no link
-between components is lost.
+In each of some rounds, a class is compared with one other class of its keys,
+drawn at random among those in another component.  What these links join needs
+no more comparing: at last all classes of one key that are still in different
+components are compared.  So a group of thousands of near copies costs about
+as many comparisons as it has members, and no link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -32,10 +33,15 @@ from panelmart.llm.components import components
 WORDS = 5
 SIMILAR = 80       # percent
 ROWS = 5           # MinHash samples of a band
-SKETCH_WORDS = 8   # 64-bit words of an odd sketch
+SAMPLES = 256      # MinHash samples of a sketch (at least those of the bands)
+SKETCH_WORDS = 16  # 64-bit words of an odd sketch
+#: Rounds of one comparison a class, before the rest is compared in full.
+ROUNDS = 3
 #: Chance that a pair at the wanted similarity shares no band, and chance
 #: that its sketches are further apart than the limit.
 MISSED = 1e-6
+#: Candidates' ids are broadcast up to this many (8 bytes each), else joined.
+BROADCAST_IDS = 2_000_000
 SEED = 7
 #: Stand-in ids of rows without a doc_id lie above this.
 NO_ID = 1 << 62
@@ -72,9 +78,9 @@ def sketch_limit(similar: float, samples: int, bits: int, missed: float = MISSED
 class Sketcher:
     """MinHash band keys and odd sketch of a shingle set."""
 
-    def __init__(self, bands: int, rows: int, sketch_words: int, seed: int = SEED):
+    def __init__(self, bands: int, rows: int, samples: int, sketch_words: int, seed: int = SEED):
         self.bands, self.rows, self.bits = bands, rows, 64 * sketch_words
-        n = bands * rows
+        n = max(samples, bands * rows)
         rng = np.random.default_rng(seed)
         self.mul = (rng.integers(1, 1 << 63, n, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
         self.add = rng.integers(0, 1 << 63, n, dtype=np.uint64)
@@ -95,7 +101,7 @@ class Sketcher:
         """(band keys, odd sketch as 64-bit words), both signed."""
         least = self.samples(shingles)
         key = self.band_salt.copy()
-        for column in least.reshape(self.bands, self.rows).T:
+        for column in least[:self.bands * self.rows].reshape(self.bands, self.rows).T:
             key = mix64(key ^ column)
         place = (mix64(least ^ self.salt) % np.uint64(self.bits)).astype(np.int64)
         parity = (np.bincount(place, minlength=self.bits) & 1).astype(np.uint8)
@@ -113,12 +119,12 @@ def with_ids(docs: DataFrame) -> DataFrame:
     return docs.select(uid().alias("uid"), "text")
 
 
-def signatures(docs: DataFrame, n_words: int, bands: int, rows: int = ROWS,
+def signatures(docs: DataFrame, n_words: int, bands: int, rows: int = ROWS, samples: int = SAMPLES,
                sketch_words: int = SKETCH_WORDS) -> DataFrame:
     """uid, n_shingles, digest (of the words), bands, sketch; the last three
     are null for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = Sketcher(bands, rows, sketch_words)
+        sketcher = Sketcher(bands, rows, samples, sketch_words)
         for batch in batches:
             n, digest, keys, sketch = [], [], [], []
             for text in batch.column("text"):
@@ -152,13 +158,16 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int) -> DataFrame:
             yield pa.record_batch([batch.column("uid"), pa.array(sets, pa.list_(pa.int64()))],
                                   names=["id", "shingles"])
 
-    found = with_ids(docs).join(ids.select(F.col("id").alias("uid")), "uid", "left_semi")
+    ids = ids.select(F.col("id").alias("uid"))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    found = with_ids(docs).join(ids, "uid", "left_semi")
     return found.mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = cut_lineage(shingle_sets(docs, ids, n_words), "shingles")
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -192,13 +201,13 @@ def deduplicate(docs: DataFrame, n_words: int = WORDS, percent: int = SIMILAR, *
     return docs.withColumn("_uid", uid()).join(kept, "_uid", "left_semi").dropDuplicates(["_uid"]).select(docs.columns)
 
 
-def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
-                 sketch_words: int = SKETCH_WORDS) -> DataFrame:
+def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS, samples: int = SAMPLES,
+                 sketch_words: int = SKETCH_WORDS, rounds: int = ROUNDS) -> DataFrame:
     """uid, n_shingles and component (smallest uid) of every row."""
     prepare(docs.sparkSession)
     n_bands = bands_for(percent / 100, rows)
-    limit = sketch_limit(percent / 100, n_bands * rows, 64 * sketch_words)
-    signed = cut_lineage(signatures(docs, n_words, n_bands, rows, sketch_words), "signatures")
+    limit = sketch_limit(percent / 100, max(samples, n_bands * rows), 64 * sketch_words)
+    signed = cut_lineage(signatures(docs, n_words, n_bands, rows, samples, sketch_words), "signatures")
     # classes of the same words; the smallest id stands for them
     lead = signed.where("digest is not null").groupBy("digest").agg(F.min("uid").alias("id"))
     classes = (signed.where("digest is not null").join(
@@ -206,9 +215,8 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
         .select("id", "bands", "sketch").dropDuplicates(["id"]))
     classes = cut_lineage(classes, "classes")
     keyed = classes.select("id", F.explode("bands").alias("key"))
-    first = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    shared = cut_lineage(keyed.join(first.select("key", "first"), "key").select("key", "id", "first"), "bands")
-
+    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    member = cut_lineage(keyed.join(shared, "key").select("key", "id", F.col("id").alias("label")), "members")
     sketches = classes.select("id", "sketch")
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -217,32 +225,55 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
         far = bit_distance(F.col("xa"), F.col("xb"), sketch_words)
         return pairs.join(a, "a").join(b, "b").where(far <= limit).select("a", "b")
 
-    star = shared.where("id != first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    links = cut_lineage(_confirm(cut_lineage(close(star), "pairs"), docs, n_words, percent), "links")
+    found = None
+    for number in range(rounds):
+        pairs = cut_lineage(close(_one_each(member, number)), "pairs")
+        if pairs.isEmpty():
+            break
+        found, member = _join(found, _confirm(pairs, docs, n_words, percent), member)
+    more = cut_lineage(_all_between(member, sketches, sketch_words, limit), "pairs")
+    if not more.isEmpty():
+        found, member = _join(found, _confirm(more, docs, n_words, percent), member)
+
+    ids = lead.select("digest", F.col("id").alias("c")) if found is None else lead.join(
+        found, "id", "left").select("digest", F.coalesce("component", "id").alias("c"))
+    return signed.select("uid", "n_shingles", "digest").join(ids, "digest", "left").select(
+        "uid", "n_shingles", F.coalesce("c", "uid").alias("component"))
+
+
+def _one_each(member: DataFrame, number: int) -> DataFrame:
+    """A pair (a, b) for each class that shares a key with another component:
+    the class of the lowest hash of this round."""
+    one = F.struct(F.xxhash64("id", F.lit(number)).alias("h"), "id", "label")
+    first = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(one).alias("m1"))
+             .where("lo < hi").select("key", "m1"))
+    mixed = member.join(first, "key")
+    second = mixed.where("label != m1.label").groupBy("key").agg(F.min(one).alias("m2"))
+    mate = F.when(F.col("label") != F.col("m1.label"), F.col("m1")).otherwise(F.col("m2"))
+    mates = mixed.join(second, "key").groupBy("id").agg(F.min(mate).alias("mate"))
+    return mates.select(F.greatest("id", "mate.id").alias("a"), F.least("id", "mate.id").alias("b")).distinct()
+
+
+def _join(found: DataFrame | None, links: DataFrame, member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components with the new links, and the members with their new labels."""
+    if found is not None:
+        links = links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
     found = cut_lineage(components(links), "components")
+    label = F.coalesce("component", "label").alias("label")
+    return found, cut_lineage(member.join(found, "id", "left").select("key", "id", label), "members")
 
-    # classes of one key in different components
-    label = F.coalesce("component", F.col("id")).alias("label")
-    member = cut_lineage(shared.join(found, "id", "left").select("key", "id", "first", label), "members")
-    mixed = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .where("lo < hi").select("key"))
-    member = member.join(mixed, "key").join(sketches, "id")
-    home = member.where("id = first").select("key", F.col("label").alias("home"))
-    member = cut_lineage(member.join(home, "key"), "members")
-    # every such pair has a class outside the component of the key's first class
+
+def _all_between(member: DataFrame, sketches: DataFrame, sketch_words: int, limit: int) -> DataFrame:
+    """All pairs of one key and different components with close sketches."""
+    mixed = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                       F.min(F.struct(F.xxhash64("id"), "label"))["label"].alias("home"))
+             .where("lo < hi").select("key", "home"))
+    member = cut_lineage(member.join(mixed, "key").join(sketches, "id"), "members")
+    # every such pair has a class outside the component of the key's lowest hash
     a = member.where("label != home").select(
         "key", F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("xa"))
-    b = member.where("id != first").select(
-        "key", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("home").alias("hb"), F.col("sketch").alias("xb"))
+    b = member.select("key", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("home").alias("hb"),
+                      F.col("sketch").alias("xb"))
     once = (F.col("a") < F.col("b")) | (F.col("lb") == F.col("hb"))
-    more = a.join(b, "key").where((F.col("la") != F.col("lb")) & once).where(
+    return a.join(b, "key").where((F.col("la") != F.col("lb")) & once).where(
         bit_distance(F.col("xa"), F.col("xb"), sketch_words) <= limit).select("a", "b").distinct()
-    more = cut_lineage(more, "pairs")
-    if not more.isEmpty():
-        late = _confirm(more, docs, n_words, percent)
-        stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        found = cut_lineage(components(stars.unionByName(late)), "components")
-
-    ids = lead.join(found, "id", "left").select("digest", F.coalesce("component", "id").alias("c"))
-    return signed.select("uid", "n_shingles", "digest").join(ids, "digest", "left").select(
-        "uid", "n_shingles", F.coalesce("c", "uid").alias("component"))
