@@ -7,10 +7,10 @@ high similarity.  Classes that share a band key are candidates; those whose
 sketches are too far apart for the wanted similarity are dropped, and the
 rest are confirmed on their full shingle sets.
 
-In each of some rounds, a class is compared with one other class of its keys,
-drawn at random among those in another component.  What these links join needs
-no more comparing: at last all classes of one key that are still in different
-components are compared.  So a group of thousands of near copies costs about
+In each of some rounds, a class is confirmed with one other: the closest by
+sketch among a few of its keys' classes in other components, drawn at random.
+What these links join needs no more comparing: at last all classes of one key
+that are still in different components are compared.  So a group of thousands of near copies costs about
 as many comparisons as it has members, and no link between components is
 lost.
 """
@@ -36,7 +36,10 @@ ROWS = 5           # MinHash samples of a band
 SAMPLES = 256      # MinHash samples of a sketch (at least those of the bands)
 SKETCH_WORDS = 16  # 64-bit words of an odd sketch
 #: Rounds of one comparison a class, before the rest is compared in full.
-ROUNDS = 3
+ROUNDS = 4
+MATES = 8
+#: Classes of a block; a tile compares two blocks.
+TILE = 128
 #: Chance that a pair at the wanted similarity shares no band, and chance
 #: that its sketches are further apart than the limit.
 MISSED = 1e-6
@@ -202,7 +205,7 @@ def deduplicate(docs: DataFrame, n_words: int = WORDS, percent: int = SIMILAR, *
 
 
 def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS, samples: int = SAMPLES,
-                 sketch_words: int = SKETCH_WORDS, rounds: int = ROUNDS) -> DataFrame:
+                 sketch_words: int = SKETCH_WORDS, rounds: int = ROUNDS, mates: int = MATES) -> DataFrame:
     """uid, n_shingles and component (smallest uid) of every row."""
     prepare(docs.sparkSession)
     n_bands = bands_for(percent / 100, rows)
@@ -219,21 +222,15 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
     member = cut_lineage(keyed.join(shared, "key").select("key", "id", F.col("id").alias("label")), "members")
     sketches = classes.select("id", "sketch")
 
-    def close(pairs: DataFrame) -> DataFrame:
-        a = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("xa"))
-        b = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("xb"))
-        far = bit_distance(F.col("xa"), F.col("xb"), sketch_words)
-        return pairs.join(a, "a").join(b, "b").where(far <= limit).select("a", "b")
-
     found = None
     for number in range(rounds):
-        pairs = cut_lineage(close(_one_each(member, number)), "pairs")
+        pairs = cut_lineage(_nearest(member, sketches, number, sketch_words, limit, mates), "pairs")
         if pairs.isEmpty():
             break
         found, member = _join(found, _confirm(pairs, docs, n_words, percent), member)
-    more = cut_lineage(_all_between(member, sketches, sketch_words, limit), "pairs")
-    if not more.isEmpty():
-        found, member = _join(found, _confirm(more, docs, n_words, percent), member)
+    links = cut_lineage(_between(member, sketches, docs, n_words, percent, limit), "pairs")
+    if not links.isEmpty():
+        found, member = _join(found, links, member)
 
     ids = lead.select("digest", F.col("id").alias("c")) if found is None else lead.join(
         found, "id", "left").select("digest", F.coalesce("component", "id").alias("c"))
@@ -241,17 +238,23 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
         "uid", "n_shingles", F.coalesce("c", "uid").alias("component"))
 
 
-def _one_each(member: DataFrame, number: int) -> DataFrame:
-    """A pair (a, b) for each class that shares a key with another component:
-    the class of the lowest hash of this round."""
-    one = F.struct(F.xxhash64("id", F.lit(number)).alias("h"), "id", "label")
-    first = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(one).alias("m1"))
-             .where("lo < hi").select("key", "m1"))
-    mixed = member.join(first, "key")
-    second = mixed.where("label != m1.label").groupBy("key").agg(F.min(one).alias("m2"))
-    mate = F.when(F.col("label") != F.col("m1.label"), F.col("m1")).otherwise(F.col("m2"))
-    mates = mixed.join(second, "key").groupBy("id").agg(F.min(mate).alias("mate"))
-    return mates.select(F.greatest("id", "mate.id").alias("a"), F.least("id", "mate.id").alias("b")).distinct()
+def _nearest(member: DataFrame, sketches: DataFrame, number: int, sketch_words: int, limit: int,
+             mates: int) -> DataFrame:
+    """A pair (a, b) for each class: with the one whose sketch is closest
+    among some of each of its keys' classes that are in other components.
+    Which ones is drawn anew each round, at most ``mates`` a key."""
+    mixed = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+             .where("lo < hi").select("key"))
+    mixed = cut_lineage(member.join(mixed, "key").join(sketches, "id"), "members")
+    h = F.xxhash64("id", F.lit(number))
+    some = mixed.groupBy("key", F.pmod(h, F.lit(mates)).alias("m")).agg(
+        F.min(F.struct(h.alias("h"), "id", "label")).alias("x")).select(
+        "key", F.col("x.id").alias("mate"), F.col("x.label").alias("mate_label"))
+    some = some.join(sketches.select(F.col("id").alias("mate"), F.col("sketch").alias("mate_sketch")), "mate")
+    far = bit_distance(F.col("sketch"), F.col("mate_sketch"), sketch_words)
+    best = (mixed.join(some, "key").where(F.col("label") != F.col("mate_label")).where(far <= limit)
+            .groupBy("id").agg(F.min(F.struct(far.alias("far"), "mate")).alias("x")))
+    return best.select(F.greatest("id", "x.mate").alias("a"), F.least("id", "x.mate").alias("b")).distinct()
 
 
 def _join(found: DataFrame | None, links: DataFrame, member: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -263,17 +266,83 @@ def _join(found: DataFrame | None, links: DataFrame, member: DataFrame) -> tuple
     return found, cut_lineage(member.join(found, "id", "left").select("key", "id", label), "members")
 
 
-def _all_between(member: DataFrame, sketches: DataFrame, sketch_words: int, limit: int) -> DataFrame:
-    """All pairs of one key and different components with close sketches."""
+def _between(member: DataFrame, sketches: DataFrame, docs: DataFrame, n_words: int, percent: int,
+             limit: int) -> DataFrame:
+    """Links (a, b) that join all components which have a similar pair of
+    classes under one key.
+
+    The classes of all mixed keys whose lowest-hash class is in one component
+    form an arena.  An arena is dealt into blocks, and pairs of blocks are
+    tiles: a tile compares sketches, confirms close pairs on their full sets,
+    and sends only links that join components, not the pairs.  Two classes of
+    an arena's own component need no comparing.
+    """
     mixed = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                        F.min(F.struct(F.xxhash64("id"), "label"))["label"].alias("home"))
              .where("lo < hi").select("key", "home"))
-    member = cut_lineage(member.join(mixed, "key").join(sketches, "id"), "members")
-    # every such pair has a class outside the component of the key's lowest hash
-    a = member.where("label != home").select(
-        "key", F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("xa"))
-    b = member.select("key", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("home").alias("hb"),
-                      F.col("sketch").alias("xb"))
-    once = (F.col("a") < F.col("b")) | (F.col("lb") == F.col("hb"))
-    return a.join(b, "key").where((F.col("la") != F.col("lb")) & once).where(
-        bit_distance(F.col("xa"), F.col("xb"), sketch_words) <= limit).select("a", "b").distinct()
+    arena = cut_lineage(member.join(mixed, "key").select(
+        "home", "id", "label", (F.col("label") == F.col("home")).alias("own")).distinct(), "arenas")
+    sizes = arena.groupBy("home").agg(
+        F.ceil(F.count_if("own") / TILE).cast("int").alias("n_own"),
+        F.ceil(F.count_if(~F.col("own")) / TILE).cast("int").alias("n_other"))
+    sets = shingle_sets(docs, cut_lineage(arena.select("id").distinct(), "ids"), n_words)
+    number = F.when(F.col("own"), F.col("n_own")).otherwise(F.col("n_other"))
+    rows = arena.join(sizes, "home").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), number).cast("int"))
+    # some TILE rows each
+    blocks = cut_lineage(rows.join(sketches, "id").join(sets, "id").groupBy("home", "own", "block").agg(
+        F.collect_list(F.struct("id", "label", "sketch", "shingles")).alias("rows")), "blocks")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    others = sizes.where("n_other > 0").withColumn("block", upto("n_other"))
+    cells = others.where("n_own > 0").withColumn("mate", upto("n_own")).withColumn("own", F.lit(True)).unionByName(
+        others.withColumn("mate", upto("n_other")).withColumn("own", F.lit(False)).where("block <= mate"))
+    left = blocks.where("NOT own").select("home", "block", F.col("rows").alias("a"))
+    right = blocks.select("home", "own", F.col("block").alias("mate"), F.col("rows").alias("b"))
+    tiles = (cells.select("home", "block", "mate", "own").join(left, ["home", "block"])
+             .join(right, ["home", "own", "mate"]).select("a", "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
+                links = tile_links(_side(a.values), _side(b.values), percent, limit)
+                yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()),
+                                       pa.array([x for _, x in links], pa.int64())], names=["a", "b"])
+
+    return tiles.mapInArrow(run, "a long, b long")
+
+
+def _side(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """ids, labels, sketches and sorted shingles of a block."""
+    get = {rows.type.field(i).name: c for i, c in enumerate(rows.flatten())}
+    sketch = np.array([x.values.to_numpy() for x in get["sketch"]]).view(np.uint64)
+    return (get["id"].to_numpy(), get["label"].to_numpy(), sketch,
+            [np.sort(x.values.to_numpy()) for x in get["shingles"]])
+
+
+def tile_links(a: tuple, b: tuple, percent: int, limit: int) -> list[tuple[int, int]]:
+    """Confirmed links between two blocks, closest sketches first; pairs whose
+    components are joined already are passed over."""
+    far = np.zeros((len(a[0]), len(b[0])), np.uint16)
+    for w in range(a[2].shape[1]):
+        far += np.bitwise_count(a[2][:, None, w] ^ b[2][None, :, w])
+    i, j = np.nonzero((far <= limit) & (a[1][:, None] != b[1][None, :]))
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    links = []
+    for k in np.argsort(far[i, j], kind="stable"):
+        x, y = i[k], j[k]
+        p, q = top(int(a[1][x])), top(int(b[1][y]))
+        if p == q:
+            continue
+        u, v = a[3][x], b[3][y]
+        if 100 * min(len(u), len(v)) < percent * max(len(u), len(v)):
+            continue
+        common = len(np.intersect1d(u, v, assume_unique=True))
+        if 100 * common >= percent * (len(u) + len(v) - common):
+            links.append((int(a[0][x]), int(b[0][y])))
+            root[p] = q
+    return links
