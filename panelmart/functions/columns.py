@@ -52,18 +52,22 @@ def ieee_div(a, b) -> Column:
     return nan_to_null(q)
 
 
+#: Texts that stand for no code.
+NO_CODE = ("", "nan", "none", "null", "inf", "-inf", "infinity", "-infinity")
+
+
 def normalize_code(c) -> Column:
     """Entity code -> canonical string ('3204'), keeping NULL as NULL.
 
-    Works for numeric and text input alike: the value is read as a number
-    (3204, 3204.0 and '3204.0' all give '3204', truncating toward zero), and
-    anything that is not a finite number ('nan', 'None', '', NaN) is NULL.
+    Works for numeric and text input alike.  What reads as a number is its
+    whole part without loss (3204, 3204.0 and '3204.0' all give '3204',
+    truncating toward zero); other text is kept as it is, trimmed; the
+    spellings of no value are NULL.
     """
-    parsed = F.trim(col(c).cast("string")).try_cast("double")
-    return F.when(
-        ~F.isnan(parsed) & (F.abs(parsed) != F.lit(POS_INF)),
-        parsed.cast("long").cast("string"),
-    )
+    text = F.trim(col(c).cast("string"))
+    number = text.try_cast("decimal(38,6)")
+    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+    return F.when(~F.lower(text).isin(*NO_CODE), F.coalesce(whole.cast("string"), text))
 
 
 def any_null(columns) -> Column:

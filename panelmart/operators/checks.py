@@ -89,7 +89,7 @@ def enforce(results: DataFrame) -> DataFrame:
     if failed:
         lines = [f"{r['check']} on {r['table']}: metric {r['metric']}, threshold {r['threshold']}"
                  for r in failed]
-        raise ValueError("VALIDATION FAILED:\n" + "\n".join(lines))
+        raise ValueError("staging checks not met:\n" + "\n".join(lines))
     return results
 
 

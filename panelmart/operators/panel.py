@@ -7,37 +7,15 @@ from pyspark.sql import functions as F
 
 from panelmart.config import PanelConfig
 from panelmart.functions.columns import any_null
-from panelmart.operators.joins import broadcast_if_small
-
-# geometry is joined per (entity, period) while the range has at most this
-# many periods (yearly or monthly panels); beyond, on the entity alone
-GEO_EXPAND_MAX_PERIODS = 400
-
 
 def assemble(health: DataFrame, demography: DataFrame, environment: DataFrame,
-             geo: DataFrame, cfg: PanelConfig, max_geo_broadcast_rows: int | None = None,
-             geo_probe: DataFrame | None = None) -> DataFrame:
+             geo: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Health drives the grain; demography and environment join on
     (entity, period), geometry on the entity.  All inputs are keep-first
-    deduplicated, so no join fans out and row count = health rows.
-
-    ``health`` is expected as staged (periods within the configured range,
-    as ``clean.stage_health`` leaves them): geometry is then attached per
-    (entity, period) of that range.  Pass ``max_geo_broadcast_rows`` to join
-    geometry on the entity alone instead."""
+    deduplicated, so no join fans out and row count = health rows."""
     e, p = cfg.entity, cfg.period
-    g = geo.select(e, "latitude", "longitude")
     joined = health.join(demography, [e, p], "left").join(environment, [e, p], "left")
-    if max_geo_broadcast_rows is None and cfg.n_years <= GEO_EXPAND_MAX_PERIODS:
-        # The joins above leave the panel hash-partitioned by (entity,
-        # period).  Joining geometry on the entity alone would shuffle the
-        # whole panel again when geometry is too big to broadcast; instead
-        # the narrow geometry rows are repeated for each configured period
-        # (a generator, bounded by the year range) and joined on both keys,
-        # so only that side moves.  Health rows all lie in the range.
-        g = g.withColumn(p, F.explode(F.sequence(F.lit(cfg.year_start), F.lit(cfg.year_end))))
-        return joined.join(g, [e, p], "left")
-    return joined.join(broadcast_if_small(g, max_geo_broadcast_rows, probe=geo_probe), e, "left")
+    return joined.join(geo.select(e, "latitude", "longitude"), e, "left")
 
 
 def donor_table(spark, cfg: PanelConfig) -> DataFrame:

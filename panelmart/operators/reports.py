@@ -2,7 +2,9 @@
 
 Sort order follows the source SQL: PostgreSQL sorts NULLs first for DESC,
 so ``desc_nulls_first`` where the source has a bare DESC, and an explicit
-NULLS LAST where it says so.
+NULLS LAST where it says so.  The keys follow the measure in each sort: the
+order is total, and many rows with one measure (or none) can be split over
+sort partitions.
 """
 
 from __future__ import annotations
@@ -25,13 +27,12 @@ def _named(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> DataFrame:
 def surge_trend(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> DataFrame:
     """Q1: growth > 50 and rain z > 1.5 -> 'HIGH RISK', else 'Normal'
     (NULL comparisons fall to 'Normal'); by growth desc, NULLs last."""
-    f = _named(fact, dim_r, cfg)
+    f = _named(fact, dim_r, cfg).orderBy(F.col("yoy_growth_rate").desc_nulls_last(), cfg.entity, cfg.period)
     flag = F.when((F.col("yoy_growth_rate") > C.SURGE_GROWTH_ABOVE)
                   & (F.col("rainfall_zscore") > C.SURGE_ZSCORE_ABOVE), F.lit(C.SURGE_LABEL)) \
         .otherwise(F.lit(C.SURGE_NORMAL_LABEL))
     return (f.select("nama_kabupaten_kota", F.col(cfg.period).alias("tahun"), "incidence_rate",
-                     "yoy_growth_rate", "rainfall_zscore", flag.alias("surge_flag"))
-            .orderBy(F.col("yoy_growth_rate").desc_nulls_last()))
+                     "yoy_growth_rate", "rainfall_zscore", flag.alias("surge_flag")))
 
 
 def vulnerability_map(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -41,7 +42,7 @@ def vulnerability_map(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> Da
     return (f.groupBy("nama_kabupaten_kota", "latitude", "longitude")
             .agg(F.avg("composite_vulnerability_index").alias("avg_cvi"),
                  F.sum("jumlah_kasus_dbd").cast("long").alias("total_kasus"))
-            .orderBy(F.col("avg_cvi").desc_nulls_first()))
+            .orderBy(F.col("avg_cvi").desc_nulls_first(), "nama_kabupaten_kota", "latitude", "longitude"))
 
 
 def event_period_compare(fact: DataFrame, dim_p: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -60,10 +61,10 @@ def latest_pin_map(fact: DataFrame, dim_r: DataFrame, cfg: PanelConfig) -> DataF
     subquery), by incidence desc, NULLs first."""
     p = cfg.period
     latest = fact.agg(F.max(p)).scalar()
-    f = _named(fact.where(F.col(p) == latest), dim_r, cfg)
+    f = _named(fact.where(F.col(p) == latest), dim_r, cfg).orderBy(
+        F.col("incidence_rate").desc_nulls_first(), cfg.entity)
     return (f.select("nama_kabupaten_kota", "latitude", "longitude", F.col(p).alias("tahun"),
-                     "jumlah_kasus_dbd", "incidence_rate", "composite_vulnerability_index")
-            .orderBy(F.col("incidence_rate").desc_nulls_first()))
+                     "jumlah_kasus_dbd", "incidence_rate", "composite_vulnerability_index"))
 
 
 def run_quality_report(runs: DataFrame, limit: int = 10) -> DataFrame:

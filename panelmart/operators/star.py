@@ -59,12 +59,12 @@ def run_record(fact: DataFrame, dim_r: DataFrame, dim_p: DataFrame, cfg: PanelCo
     dimension counts as scalar subqueries."""
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     rid = run_id if run_id is not None else uuid.uuid4().int >> 65
-    f = fact.agg(F.count(F.lit(1)).cast("int").alias("fact_rows"),
-                 F.count_if(F.col("is_imputed")).cast("int").alias("imputed_rows"),
-                 F.count_if(F.col("incidence_rate").isNull()).cast("int").alias("null_ir_rows"))
+    f = fact.agg(F.count(F.lit(1)).alias("fact_rows"),
+                 F.count_if(F.col("is_imputed")).alias("imputed_rows"),
+                 F.count_if(F.col("incidence_rate").isNull()).alias("null_ir_rows"))
     out = f.withColumns({
-        "n_regions": dim_r.agg(F.count(F.lit(1)).cast("int")).scalar(),
-        "n_years": dim_p.agg(F.count(F.lit(1)).cast("int")).scalar()})
+        "n_regions": dim_r.agg(F.count(F.lit(1))).scalar(),
+        "n_years": dim_p.agg(F.count(F.lit(1))).scalar()})
     return out.select(
         F.lit(rid).cast("long").alias("run_id"),
         F.lit(run_at).cast("timestamp").alias("run_at"),

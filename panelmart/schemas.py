@@ -34,16 +34,6 @@ STG_GEO = _s(("kode_bps", S), ("nama_geo", S), ("latitude", D), ("longitude", D)
 DIM_REGION = _s(("kode_bps", S), ("nama_kabupaten_kota", S), ("kode_provinsi", S),
                 ("nama_provinsi", S), ("latitude", D), ("longitude", D))
 DIM_PERIOD = _s(("tahun", I), ("covid_dummy", I), ("keterangan_periode", S))
-FACT_COLUMNS = (
-    "kode_bps", "tahun", "jumlah_kasus_dbd", "incidence_rate",
-    "kepadatan_penduduk", "luas_km2", "rainfall_mm", "rainfall_zscore",
-    "lst_celsius", "lst_quartile_rank", "ndvi", "ndvi_class",
-    "ndmi", "water_body_density_tier",
-    "lag1_rainfall", "lag2_rainfall", "lag3_rainfall",
-    "composite_vulnerability_index", "yoy_growth_rate",
-    "kepadatan_quartile", "density_tier",
-    "is_imputed", "ir_q", "endemic_persistence_score",
-)
 FACT_PANEL = _s(
     ("fact_id", L), ("kode_bps", S), ("tahun", I), ("jumlah_kasus_dbd", I),
     ("incidence_rate", D), ("kepadatan_penduduk", D), ("luas_km2", D), ("rainfall_mm", D),
@@ -53,9 +43,11 @@ FACT_PANEL = _s(
     ("yoy_growth_rate", D), ("kepadatan_quartile", S), ("density_tier", S),
     ("is_imputed", B), ("ir_q", I), ("endemic_persistence_score", I),
 )
+#: The fact without its surrogate key.
+FACT_COLUMNS = tuple(f.name for f in FACT_PANEL.fields if f.name != "fact_id")
 PIPELINE_RUNS = _s(
-    ("run_id", L), ("run_at", TS), ("year_start", I), ("year_end", I), ("n_regions", I),
-    ("n_years", I), ("fact_rows", I), ("imputed_rows", I), ("null_ir_rows", I), ("status", S),
+    ("run_id", L), ("run_at", TS), ("year_start", I), ("year_end", I), ("n_regions", L),
+    ("n_years", L), ("fact_rows", L), ("imputed_rows", L), ("null_ir_rows", L), ("status", S),
 )
 
 # GeoJSON: coordinates kept as JSON text, parsed per geometry type later
@@ -65,7 +57,7 @@ GEOJSON_FEATURE_COLLECTION = StructType([
         StructType([
             StructField("type", S),
             StructField("properties", StructType([
-                StructField("ID_KAB", D), StructField("KABKOT", S)])),
+                StructField("ID_KAB", S), StructField("KABKOT", S)])),
             StructField("geometry", StructType([
                 StructField("type", S), StructField("coordinates", S)])),
         ]))),

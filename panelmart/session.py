@@ -82,6 +82,9 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     if sc is not None:
         base = base or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if "dir" not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK["dir"] = tempfile.mkdtemp(prefix="panelmart-ckpt-")
         base = _LOCAL_FALLBACK["dir"]

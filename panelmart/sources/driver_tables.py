@@ -117,7 +117,7 @@ def geo_features(df: DataFrame, id_col, name_col, x, y, s, multi) -> DataFrame:
     second = F.array(_square(x + s * 2.0, y, s / 2.0))
     coords = F.when(multi, F.to_json(F.array(poly, second))).otherwise(F.to_json(poly))
     return df.select(
-        F.struct(id_col.cast("double").alias("ID_KAB"), name_col.alias("KABKOT")).alias("properties"),
+        F.struct(id_col.cast("string").alias("ID_KAB"), name_col.alias("KABKOT")).alias("properties"),
         F.struct(F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")).alias("type"),
                  coords.alias("coordinates")).alias("geometry"))
 

@@ -6,9 +6,9 @@ matched by name (case-insensitively for CSV headers) and cast once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegralType, StructType
 
 from panelmart.functions.columns import nan_to_null_all
 from panelmart.schemas import GEOJSON_FEATURE_COLLECTION
@@ -37,6 +37,14 @@ def input_order() -> F.Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
+def _cast(name: str, kind: DataType) -> Column:
+    """``try_cast``; a whole number may be written as a float (2019.0)."""
+    if isinstance(kind, IntegralType):
+        number = F.col(name).try_cast("decimal(38,6)")
+        return F.when(number == F.floor(number), number).try_cast(kind)
+    return F.col(name).try_cast(kind)
+
+
 def conform(df: DataFrame, schema: StructType, lowercase: bool = False,
             keep=()) -> DataFrame:
     """Select the schema's columns by name and cast each once.
@@ -50,7 +58,7 @@ def conform(df: DataFrame, schema: StructType, lowercase: bool = False,
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
     out = df.select(*[
-        F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields
+        _cast(f.name, f.dataType).alias(f.name) for f in schema.fields
     ], *keep)
     return nan_to_null_all(out)
 

@@ -26,6 +26,8 @@ def test_normalize_code_t6(spark):
     assert got == [None, "3204", None, None, None, "3217"]
     d = spark.createDataFrame([(None,), (3204.0,), (float("nan"),), (3204.9,)], "c double")
     assert [r[0] for r in d.select(normalize_code("c")).collect()] == [None, "3204", None, "3204"]
+    codes = spark.createDataFrame([("ID-A1",), ("9007199254740993",), ("-7.0",), ("32x",)], "c string")
+    assert [r[0] for r in codes.select(normalize_code("c")).collect()] == ["ID-A1", "9007199254740993", "-7", "32x"]
     i = spark.createDataFrame([(3204,)], "c int")
     assert i.select(normalize_code("c")).first()[0] == "3204"
 

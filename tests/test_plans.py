@@ -56,25 +56,18 @@ def test_period_statistics_are_partial_aggregates(spark):
     assert "partial_avg" in s and "Window" not in s
 
 
-def test_assembly_keeps_the_panel_partitioning(spark):
-    """With broadcasts off (as at scale), no join after the dedups
-    re-shuffles the panel: the only entity-keyed exchanges are the keep-first
-    dedups' (entity, period) ones and the small geometry side."""
+def test_geometry_joins_whatever_the_period(spark):
+    """Geometry is joined on the entity: a row outside the configured periods
+    has its coordinates like any other."""
     from panelmart.operators import panel
-    from panelmart.plans import pipeline as pl
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        raw = dt.sources(spark, SF, "customer")
-        cfg = dt.config_for("customer")
-        stg = pl.build_staging(raw, cfg)
-        s = _plan(panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
-    top = s.splitlines()[0:3]
-    assert any("SortMergeJoin" in ln and "tahun" in ln for ln in top)
-    # no exchange keyed by the entity alone on the panel side
-    assert not re.search(r"^:  \+- Exchange hashpartitioning\(kode_bps#\d+, \d+\)", s, re.M)
+    cfg = dt.config_for("nation")
+    e, p = cfg.entity, cfg.period
+    health = spark.createDataFrame([("1", cfg.year_start - 50, 3), ("1", cfg.year_start, 4), ("2", cfg.year_start, 5)],
+                                   f"{e} string, {p} int, jumlah_kasus_dbd int")
+    demography = spark.createDataFrame([], f"{e} string, {p} int, kepadatan_penduduk double, luas_km2 double")
+    environment = spark.createDataFrame([], f"{e} string, {p} int, rainfall_annual double")
+    geo = spark.createDataFrame([("1", 1.5, 2.5)], f"{e} string, latitude double, longitude double")
+    rows = panel.assemble(health, demography, environment, geo, cfg).select("jumlah_kasus_dbd", "latitude").collect()
+    assert sorted(map(tuple, rows), key=str) == [(3, 1.5), (4, 1.5), (5, None)]
+
+

@@ -15,9 +15,9 @@ SECOND = [[[10, 0], [12, 0], [12, 2], [10, 2], [10, 0]]]
 
 
 def _features(spark, feats):
-    rows = [({"ID_KAB": k, "KABKOT": n}, {"type": t, "coordinates": json.dumps(c)})
+    rows = [({"ID_KAB": str(k), "KABKOT": n}, {"type": t, "coordinates": json.dumps(c)})
             for k, n, t, c in feats]
-    return spark.createDataFrame(rows, "properties struct<ID_KAB:double,KABKOT:string>, "
+    return spark.createDataFrame(rows, "properties struct<ID_KAB:string,KABKOT:string>, "
                                        "geometry struct<type:string,coordinates:string>")
 
 
