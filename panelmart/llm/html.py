@@ -26,6 +26,9 @@ from panelmart.llm.common import cut_lineage, prepare
 
 #: A subtree on this many different pages of a host is part of its template.
 MIN_PAGES = 5
+#: Hashes of deleted subtrees that are broadcast at most (8 bytes each); more
+#: are joined with the pages by a shuffle.
+BROADCAST_HASHES = 1_000_000
 #: Deepest nesting that is followed.
 DEPTH = 256
 
@@ -231,6 +234,10 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     here = (found.select("page_id", "host", "subtree").join(template, ["host", "subtree"])
             .groupBy("page_id", "host").agg(F.collect_set("subtree").alias("gone"))
             .select(F.col("page_id").alias("id"), F.col("host").alias("at"), "gone"))
+    # templates are few hashes: the pages' texts move only where they aren't
+    here = cut_lineage(here, "templates")
+    hashes = here.agg(F.sum(F.size("gone"))).first()[0] or 0
+    here = F.broadcast(here) if hashes <= BROADCAST_HASHES else here
     out = parsed.join(here, parsed["page_id"].eqNullSafe(here["id"]) & (parsed["host"] == here["at"]), "left")
     kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["subtrees"], F.col("gone")))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
