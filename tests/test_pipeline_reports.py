@@ -43,7 +43,7 @@ def test_checks_collect_all_failures(spark):
     assert ("duplicate_keys", "stg_health") in failed and ("null_keys", "stg_environment") in failed
     assert ("entity_count", "stg_geo") in failed and ("orphan_codes", "stg_health") in failed
     assert ("min_rows", "stg_health") in failed  # 4 < int(2 * 6 * 0.8) = 9
-    with pytest.raises(ValueError, match="VALIDATION FAILED"):
+    with pytest.raises(ValueError, match="checks not met"):
         checks.enforce(res)
     orphan = {r["kode_bps"] for r in checks.orphan_codes(h, g, "kode_bps").collect()}
     assert orphan == {"9", None}
