@@ -103,9 +103,10 @@ def shingle_hashes(tokens: list[bytes], n: int) -> np.ndarray:
     h = word_hashes(tokens)
     n = min(n, len(h))
     acc = np.full(len(h) - n + 1, np.uint64(n), np.uint64)
-    for i in range(n):
-        acc = mix64(acc * _MIX[0] + h[i:len(h) - n + 1 + i])
-    return np.unique(acc)
+    for i in range(n):  # a polynomial over the words' hashes
+        acc *= _MIX[0]
+        acc += h[i:len(h) - n + 1 + i]
+    return np.unique(mix64(acc))
 
 
 def bit_distance(a: Column, b: Column, words64: int) -> Column:

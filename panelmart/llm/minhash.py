@@ -9,8 +9,9 @@ rest are confirmed on their full shingle sets.
 
 In each of some rounds, a class is confirmed with one other: the closest by
 sketch among a few of its keys' classes in other components, drawn at random.
-What these links join needs no more comparing: at last all classes of one key
-that are still in different components are compared.  So a group of thousands of near copies costs about
+Rounds end when few of their pairs are similar.  What these links join needs
+no more comparing: at last all classes of one key that are still in different
+components are compared.  So a group of thousands of near copies costs about
 as many comparisons as it has members, and no link between components is
 lost.
 """
@@ -37,9 +38,13 @@ SAMPLES = 256      # MinHash samples of a sketch (at least those of the bands)
 SKETCH_WORDS = 16  # 64-bit words of an odd sketch
 #: Rounds of one comparison a class, before the rest is compared in full.
 ROUNDS = 4
+#: Rounds go on while one in so many of their pairs is similar.
+WORTH = 8
 MATES = 8
 #: Classes of a block; a tile compares two blocks.
 TILE = 128
+#: Shingles that are hashed at once, so that the values stay in a core's cache.
+PART = 256
 #: Chance that a pair at the wanted similarity shares no band, and chance
 #: that its sketches are further apart than the limit.
 MISSED = 1e-6
@@ -85,20 +90,23 @@ class Sketcher:
         self.bands, self.rows, self.bits = bands, rows, 64 * sketch_words
         n = max(samples, bands * rows)
         rng = np.random.default_rng(seed)
-        self.mul = (rng.integers(1, 1 << 63, n, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-        self.add = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        self.mul = (rng.integers(0, 1 << 32, (n, 1), dtype=np.uint32)) | np.uint32(1)
+        self.add = rng.integers(0, 1 << 32, (n, 1), dtype=np.uint32)
+        self.part = np.empty((n, PART), np.uint32)
         self.salt = rng.integers(0, 1 << 63, n, dtype=np.uint64)
         self.band_salt = rng.integers(0, 1 << 63, bands, dtype=np.uint64)
 
     def samples(self, shingles: np.ndarray) -> np.ndarray:
-        """The smallest value of each hash function over the set."""
-        least = np.full(len(self.mul), np.iinfo(np.uint64).max)
-        for at in range(0, len(shingles), 512):
-            part = shingles[at:at + 512]
-            value = part * self.mul[:, None] + self.add[:, None]
-            value ^= value >> np.uint64(32)
+        """The smallest value of each hash function over the set.  32 bits of
+        the shingles do: candidates are confirmed on the whole hashes."""
+        short = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.mul), np.iinfo(np.uint32).max)
+        for at in range(0, len(short), PART):
+            part = short[at:at + PART]
+            value = np.multiply(part, self.mul, out=self.part[:, :len(part)])
+            value += self.add
             np.minimum(least, value.min(axis=1), out=least)
-        return least
+        return least.astype(np.uint64)
 
     def sketch(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(band keys, odd sketch as 64-bit words), both signed."""
@@ -153,8 +161,9 @@ def signatures(docs: DataFrame, n_words: int, bands: int, rows: int = ROWS, samp
         run, "uid long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int) -> DataFrame:
-    """id and shingles (distinct hashes) of the documents in ``ids``."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int, repeats: bool) -> DataFrame:
+    """id and shingles (distinct hashes) of the documents in ``ids``; one row
+    an id, for which the sets are only shuffled if documents repeat ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_hashes(words(t.as_py()), n_words).view(np.int64) for t in batch.column("text")]
@@ -165,13 +174,14 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int) -> DataFrame:
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     found = with_ids(docs).join(ids, "uid", "left_semi")
-    return found.mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
+    sets = found.mapInArrow(run, "id long, shingles array<long>")
+    return sets.dropDuplicates(["id"]) if repeats else sets
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int, repeats: bool) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    sets = cut_lineage(shingle_sets(docs, ids, n_words), "shingles")
+    sets = cut_lineage(shingle_sets(docs, ids, n_words, repeats), "shingles")
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     # sizes first: the smaller set bounds the intersection
@@ -211,14 +221,16 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
     n_bands = bands_for(percent / 100, rows)
     limit = sketch_limit(percent / 100, max(samples, n_bands * rows), 64 * sketch_words)
     signed = cut_lineage(signatures(docs, n_words, n_bands, rows, samples, sketch_words), "signatures")
+    repeats = not signed.groupBy("uid").count().where("count > 1").isEmpty()
     # classes of the same words; the smallest id stands for them
-    lead = signed.where("digest is not null").groupBy("digest").agg(F.min("uid").alias("id"))
-    classes = (signed.where("digest is not null").join(
-        lead.select(F.col("digest").alias("d"), "id"), (F.col("digest") == F.col("d")) & (F.col("uid") == F.col("id")))
-        .select("id", "bands", "sketch").dropDuplicates(["id"]))
+    classes = signed.where("digest is not null").groupBy("digest").agg(
+        F.min("uid").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes, "classes")
+    lead = classes.select("digest", "id")
+    if repeats:
+        classes = cut_lineage(classes.dropDuplicates(["id"]), "classes")
     keyed = classes.select("id", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     member = cut_lineage(keyed.join(shared, "key").select("key", "id", F.col("id").alias("label")), "members")
     sketches = classes.select("id", "sketch")
 
@@ -227,8 +239,11 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
         pairs = cut_lineage(_nearest(member, sketches, number, sketch_words, limit, mates), "pairs")
         if pairs.isEmpty():
             break
-        found, member = _join(found, _confirm(pairs, docs, n_words, percent), member)
-    links = cut_lineage(_between(member, sketches, docs, n_words, percent, limit), "pairs")
+        links = cut_lineage(_confirm(pairs, docs, n_words, percent, repeats), "confirmed")
+        found, member = _join(found, links, member)
+        if links.count() * WORTH < pairs.count():
+            break
+    links = cut_lineage(_between(member, sketches, docs, n_words, percent, limit, repeats), "pairs")
     if not links.isEmpty():
         found, member = _join(found, links, member)
 
@@ -267,15 +282,17 @@ def _join(found: DataFrame | None, links: DataFrame, member: DataFrame) -> tuple
 
 
 def _between(member: DataFrame, sketches: DataFrame, docs: DataFrame, n_words: int, percent: int,
-             limit: int) -> DataFrame:
+             limit: int, repeats: bool) -> DataFrame:
     """Links (a, b) that join all components which have a similar pair of
     classes under one key.
 
     The classes of all mixed keys whose lowest-hash class is in one component
-    form an arena.  An arena is dealt into blocks, and pairs of blocks are
-    tiles: a tile compares sketches, confirms close pairs on their full sets,
-    and sends only links that join components, not the pairs.  Two classes of
-    an arena's own component need no comparing.
+    form an arena.  An arena's own classes (of that component) and its other
+    classes are dealt into blocks.  Two blocks are a tile, but for two own
+    ones, whose classes need no comparing; a block of others has its tile with
+    itself together with that of the first own block.  A tile compares
+    sketches, confirms close pairs on their full sets, and sends only links
+    that join components, not the pairs.
     """
     mixed = (member.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                        F.min(F.struct(F.xxhash64("id"), "label"))["label"].alias("home"))
@@ -285,25 +302,34 @@ def _between(member: DataFrame, sketches: DataFrame, docs: DataFrame, n_words: i
     sizes = arena.groupBy("home").agg(
         F.ceil(F.count_if("own") / TILE).cast("int").alias("n_own"),
         F.ceil(F.count_if(~F.col("own")) / TILE).cast("int").alias("n_other"))
-    sets = shingle_sets(docs, cut_lineage(arena.select("id").distinct(), "ids"), n_words)
+    sets = shingle_sets(docs, cut_lineage(arena.select("id").distinct(), "ids"), n_words, repeats)
     number = F.when(F.col("own"), F.col("n_own")).otherwise(F.col("n_other"))
-    rows = arena.join(sizes, "home").withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), number).cast("int"))
-    # some TILE rows each
-    blocks = cut_lineage(rows.join(sketches, "id").join(sets, "id").groupBy("home", "own", "block").agg(
-        F.collect_list(F.struct("id", "label", "sketch", "shingles")).alias("rows")), "blocks")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    others = sizes.where("n_other > 0").withColumn("block", upto("n_other"))
-    cells = others.where("n_own > 0").withColumn("mate", upto("n_own")).withColumn("own", F.lit(True)).unionByName(
-        others.withColumn("mate", upto("n_other")).withColumn("own", F.lit(False)).where("block <= mate"))
-    left = blocks.where("NOT own").select("home", "block", F.col("rows").alias("a"))
-    right = blocks.select("home", "own", F.col("block").alias("mate"), F.col("rows").alias("b"))
-    tiles = (cells.select("home", "block", "mate", "own").join(left, ["home", "block"])
-             .join(right, ["home", "own", "mate"]).select("a", "b"))
+    rows = arena.join(sizes.where("n_other > 0"), "home").withColumn(
+        "block", F.pmod(F.xxhash64("id", F.lit(1)), number).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    tile = lambda x, y, own, second: F.struct(
+        x.alias("x"), y.alias("y"), own.alias("own"), second.alias("second"))
+    block, no, yes = F.col("block"), F.lit(False), F.lit(True)
+    with_own = F.transform(upto("n_other"), lambda x: F.when(
+        block == 0, tile(x, x, no, yes)).otherwise(tile(x, block, yes, yes)))
+    with_others = F.concat(
+        F.transform(upto("n_other"), lambda y: tile(F.least(block, y), F.greatest(block, y), no, y < block)),
+        F.when(F.col("n_own") > 1, F.transform(
+            F.sequence(F.lit(1), F.col("n_own") - 1), lambda y: tile(block, y, yes, no))).otherwise(F.array()))
+    placed = (rows.join(sketches, "id").join(sets, "id")
+              .withColumn("t", F.explode(F.when(F.col("own"), with_own).otherwise(with_others))))
+    # some 2 x TILE rows each
+    tiles = placed.groupBy("home", "t.x", "t.y", F.col("t.own").alias("beside")).agg(
+        F.collect_list(F.struct("id", "label", "sketch", "shingles", "t.second")).alias("rows")).select(
+        (F.expr("NOT beside AND x = y")).alias("all"), "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                links = tile_links(_side(a.values), _side(b.values), percent, limit)
+            for every, rows in zip(batch.column("all"), batch.column("rows"), strict=True):
+                second = rows.values.field("second").to_numpy(zero_copy_only=False)
+                a = _side(rows.values.filter(pa.array(~second)))
+                b = _side(rows.values if every.as_py() else rows.values.filter(pa.array(second)))
+                links = tile_links(a, b, percent, limit) if len(a[0]) and len(b[0]) else []
                 yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()),
                                        pa.array([x for _, x in links], pa.int64())], names=["a", "b"])
 
