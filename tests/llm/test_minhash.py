@@ -52,7 +52,7 @@ def test_odd_rows(odd_docs, no_docs, clashing):
     assert set(minhash.deduplicate(clashing).columns) == set(clashing.columns)
 
 
-def test_near_copies_all_ways(spark):
+def near_copies(spark):
     """Groups of edited copies of varying distance: chains, rims, strangers."""
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(400)]
@@ -64,13 +64,24 @@ def test_near_copies_all_ways(spark):
             for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 14])):
                 copy[rng.randrange(150)] = rng.choice(vocabulary)
             rows.append((1000 * g + i, " ".join(copy)))
-    docs = spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_near_copies_all_ways(spark):
+    docs = near_copies(spark)
     compare(docs, 3, 85)
     compare(docs, 3, 85, rounds=0)  # the tiles alone find every link
     kept = minhash.deduplicate(docs, 3, 85)
     assert kept.count() == len({c for *_, c in brute(docs.collect(), 3, 85)})
 
 
+def test_many_blocks_of_an_arena(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 16)
+    docs = near_copies(spark)
+    compare(docs, 3, 85, rounds=0)  # one own block, many others
+    compare(docs, 3, 85, rounds=1)  # many own blocks
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     sketcher = minhash.Sketcher(26, 5, 256, 16)
