@@ -80,9 +80,6 @@ class PanelConfig:
     # the period (the evident intent); "reference": always null
     tier_guard: str = "distinct_values"
     growth_pad: bool = True
-    # exact quantile method: "sort" (distributed ranks), "agg" (percentile
-    # aggregate) or "approx" (percentile_approx)
-    quantile_method: str = "sort"
 
     def __post_init__(self):
         if self.year_start > self.year_end:
@@ -92,8 +89,6 @@ class PanelConfig:
                              f"{self.on_duplicate_edges!r}")
         if self.tier_guard not in ("distinct_values", "reference"):
             raise ValueError(f"tier_guard must be distinct_values or reference: {self.tier_guard!r}")
-        if self.quantile_method not in ("sort", "agg", "approx"):
-            raise ValueError(f"quantile_method must be sort, agg or approx: {self.quantile_method!r}")
         if not 0.0 <= self.min_row_fraction <= 1.0:
             raise ValueError(f"min_row_fraction must be within [0, 1]: {self.min_row_fraction}")
         targets = [t for t, _ in self.donors]

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from panelmart.config import PanelConfig
 from panelmart.functions.columns import nan_to_null_all, normalize_code
-from panelmart.operators.joins import broadcast_if_small
 from panelmart.sources.readers import INPUT_ORDER, lowercase_columns
 
 
@@ -68,39 +67,40 @@ def stage_health(raw: DataFrame, cfg: PanelConfig, cases_col: str = "jumlah_kasu
 def stage_demography(density: DataFrame, area: DataFrame, cfg: PanelConfig,
                      order_by=None) -> DataFrame:
     """stg_demography: density left-join area on (code, year) - before the
-    dedup, as in the source pipeline - then keep-first."""
+    dedup, as in the source pipeline - then keep-first: of several area rows
+    for one density row, the first of the area files, else the smallest."""
     e, p = cfg.entity, cfg.period
     d = (density.withColumn(e, normalize_code(e))
          .transform(lambda x: filter_periods(x, p, cfg.year_start, cfg.year_end)))
     a = (area.withColumn(e, normalize_code(e))
          .transform(lambda x: filter_periods(x, p, cfg.year_start, cfg.year_end))
-         .select(e, p, "luas_km2"))
+         .select(e, p, "luas_km2", *[F.col(c).alias("_area_order") for c in _order_cols(area)]))
+    ties = ["_area_order"] if "_area_order" in a.columns else []
+    if order_by is None and _order_cols(density):
+        order_by = [*_order_cols(density), *(ties or ["luas_km2"])]
     df = d.join(a, [e, p], "left").select(
         e, F.col(p).cast("int").alias(p),
         F.col("kepadatan_penduduk").cast("double").alias("kepadatan_penduduk"),
-        F.col("luas_km2").cast("double").alias("luas_km2"), *_order_cols(density))
-    return dedup_keep_first(nan_to_null_all(df), [e, p], order_by)
+        F.col("luas_km2").cast("double").alias("luas_km2"), *_order_cols(density), *ties)
+    return dedup_keep_first(nan_to_null_all(df), [e, p], order_by).drop("_area_order")
 
 
-def map_names(df: DataFrame, mapping: DataFrame, name_col: str, code_col: str,
-              max_broadcast_rows: int | None = None) -> DataFrame:
+def map_names(df: DataFrame, mapping: DataFrame, name_col: str, code_col: str) -> DataFrame:
     """Attach codes to names (left join).  A name mapped to two codes
     gives one row per code (T8); NULL names never match (T7).  The mapping
-    is broadcast only behind a size check: by default adaptive execution's
-    run-time check of its measured size, or an explicit row bound
-    (``max_broadcast_rows``); beyond it the join shuffles."""
+    is broadcast only behind adaptive execution's run-time check of its
+    measured size; beyond it the join shuffles."""
     m = mapping.select(F.col(name_col), normalize_code(code_col).alias(code_col)) \
         .where(F.col(name_col).isNotNull()).distinct()
-    return df.join(broadcast_if_small(m, max_broadcast_rows, probe=mapping), name_col, "left")
+    return df.join(m, name_col, "left")
 
 
 def unmatched_names(df: DataFrame, mapping: DataFrame, name_col: str,
-                    max_broadcast_rows: int | None = None) -> DataFrame:
-    """Distinct names with no code (NULL names included), as rows."""
-    m = mapping.select(name_col).where(F.col(name_col).isNotNull()).distinct()
-    return (df.select(name_col)
-            .join(broadcast_if_small(m, max_broadcast_rows, probe=mapping), name_col, "left_anti")
-            .distinct())
+                    code_col: str = "kode_bps") -> DataFrame:
+    """Distinct names with no code (NULL names included), as rows; a
+    name mapped only to something that is no code counts as one."""
+    m = mapping.where(normalize_code(code_col).isNotNull()).select(name_col)
+    return df.select(name_col).distinct().join(m, name_col, "left_anti")
 
 
 def rename_environment(raw: DataFrame) -> DataFrame:

@@ -6,15 +6,10 @@ is ``v[floor(h)] + (v[ceil(h)] - v[floor(h)]) * (h - floor(h))`` over the
 sorted values.  Bins are right-closed with the lowest edge included, which
 is ``pd.qcut`` / ``pd.cut(include_lowest=True)``; this is *not* ``ntile``.
 
-Methods:
-
-* ``"sort"`` (default): one range-partitioned sort of all binned columns
-  together, per-partition counts turned into global ranks, then only the
-  rows at the needed ranks are picked.  Exact, and no group - however
-  large or skewed - is ever gathered into one task.
-* ``"agg"``: Spark's exact ``percentile`` aggregate (partial aggregation,
-  but the final merge of a group keeps a value->count map of the group).
-* ``"approx"``: ``percentile_approx`` (bounded memory, not exact).
+Method: one range-partitioned sort of all binned columns together,
+per-partition counts turned into global ranks, then only the rows at the
+needed ranks are picked.  Exact, and no group - however large or skewed - is
+ever gathered into one task.
 """
 
 from __future__ import annotations
@@ -75,7 +70,9 @@ def _probs_col(specs) -> F.Column:
     return out
 
 
-def _edges_sort(df: DataFrame, specs, tiebreak=None) -> DataFrame:
+def edge_arrays(df: DataFrame, specs, tiebreak=None) -> DataFrame:
+    """One row per (spec, group): (_s, _k, _n, _es = array of edges)."""
+    specs = list(specs)
     long = _long_values(df, specs, tiebreak)
     # Range partitioning splits every group - also one holding a third of
     # the rows, the row hash spreads even a single hot value - over many
@@ -116,43 +113,19 @@ def _edges_sort(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     def edge(h):
         lo = F.element_at("_m", F.floor(h).cast("long"))
         hi = F.element_at("_m", F.ceil(h).cast("long"))
-        return lo + (hi - lo) * (h - F.floor(h))
+        # equal neighbours may both be infinite: their difference is no number
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (h - F.floor(h)))
 
     return (groups.join(vals, ["_s", "_k"], "left")
             .select("_s", "_k", "_n", F.transform("_h", edge).alias("_es")))
 
 
-def _edges_agg(df: DataFrame, specs, approx: bool) -> DataFrame:
-    long = _long_values(df, specs)
-    # probabilities differ per spec, so aggregate each spec separately
-    parts = []
-    for i, s in enumerate(specs):
-        ps = F.array(*[F.lit(float(p)) for p in s.probs])
-        agg = (F.percentile_approx("_v", ps, 100000) if approx else F.percentile("_v", ps))
-        parts.append(long.where(F.col("_s") == i).groupBy("_s", "_k")
-                     .agg(agg.alias("_es"), F.count(F.lit(1)).alias("_n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("_s", "_k", "_n", "_es")
-
-
-def edge_arrays(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
-    """One row per (spec, group): (_s, _k, _n, _es = array of edges)."""
-    specs = list(specs)
-    if method == "sort":
-        return _edges_sort(df, specs, tiebreak)
-    if method in ("agg", "approx"):
-        return _edges_agg(df, specs, approx=(method == "approx"))
-    raise ValueError(f"unknown quantile method {method!r}")
-
-
-def quantile_edges(df: DataFrame, specs, method: str = "sort", tiebreak=None) -> DataFrame:
+def quantile_edges(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     """Long table (_s spec index, _k group key, _i edge index, _n, _e edge).
 
     ``tiebreak``: columns that identify a row (e.g. entity, period) for the
-    "sort" method's ordering of equal values; default all columns."""
-    return (edge_arrays(df, specs, method, tiebreak)
+    order of equal values; default all columns."""
+    return (edge_arrays(df, specs, tiebreak)
             .select("_s", "_k", "_n", F.posexplode("_es").alias("_i", "_e")))
 
 
@@ -201,7 +174,7 @@ def bin_label(spec: BinSpec, on_duplicate: str = "error") -> F.Column:
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
-def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "sort",
+def add_bins(df: DataFrame, specs, on_duplicate: str = "error",
              extra_by_period: DataFrame | None = None, period: str | None = None,
              tiebreak=None, guards: dict | None = None) -> DataFrame:
     """Add one label column per spec.  Edge tables are joined by broadcast:
@@ -212,7 +185,7 @@ def add_bins(df: DataFrame, specs, on_duplicate: str = "error", method: str = "s
     ``extra_by_period``): where it is false the label is NULL and the bins
     are never evaluated, so a guarded-off group cannot raise."""
     specs = list(specs)
-    edges = edge_arrays(df, specs, method, tiebreak)
+    edges = edge_arrays(df, specs, tiebreak)
     out = df
     bys = sorted({s.by for s in specs if s.by is not None})
     for by in bys:

@@ -38,13 +38,13 @@ def dim_period(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
                     .alias("keterangan_periode")))
 
 
-def fact_table(features: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """The 24 fact columns, is_imputed NULL -> false, and a stable
+def fact_table(features: DataFrame, cfg: PanelConfig, columns=FACT_COLUMNS) -> DataFrame:
+    """The fact columns (all, or ``columns``), is_imputed NULL -> false, and a stable
     surrogate key ``fact_id = xxhash64(entity, period)`` (no sequence)."""
     e, p = cfg.entity, cfg.period
     types = {f.name: f.dataType for f in FACT_PANEL.fields}
     cols = []
-    for c in FACT_COLUMNS:
+    for c in columns:
         src = {"kode_bps": e, "tahun": p}.get(c, c)
         x = F.col(src)
         if c == "is_imputed":

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelmart.functions.columns import normalize_code, round_doubles
 from panelmart.operators import checks, clean, features, panel, reports, spatial, star
 from panelmart.plans import pipeline as pl
+from panelmart.schemas import FACT_COLUMNS
 from panelmart.sources import driver_tables as dt
 
 # fixed run timestamp of the registered run-record queries (a run parameter)
@@ -50,35 +51,44 @@ class Ctx:
     def panel(self) -> DataFrame:
         return self._get("panel", lambda: panel.impute_from_donor(self.panel0, self.cfg))
 
+    def feat(self, *only) -> DataFrame:
+        """The panel with the named features, or with all."""
+        return self._get(("feat", only), lambda: features.add_features(self.panel, self.cfg, only or None))
+
+    def fact(self, *only) -> DataFrame:
+        """The fact table, or the columns of it that a report reads."""
+        return self._get(("fact", only), lambda: star.fact_table(
+            self.feat(*only), self.cfg, [*KEYS, *only] if only else FACT_COLUMNS))
+
+    # both dimensions come from the panel: they need no features
     @property
-    def feat(self) -> DataFrame:
-        return self._get("feat", lambda: features.add_features(self.panel, self.cfg,
-                                                               checkpoint=False))
+    def dim_region(self) -> DataFrame:
+        return self._get("dim_region", lambda: star.dim_region(self.panel0, self.cfg))
 
     @property
-    def star(self) -> pl.Star:
-        return self._get("star", lambda: pl.build_star(self.feat, self.cfg))
+    def dim_period(self) -> DataFrame:
+        return self._get("dim_period", lambda: star.dim_period(self.panel0, self.cfg))
 
     def run_record(self) -> DataFrame:
-        s = self.star
-        return star.run_record(s.fact, s.dim_region, s.dim_period, self.cfg, run_at=RUN_AT, run_id=0)
+        return star.run_record(self.fact("is_imputed", "incidence_rate"), self.dim_region,
+                               self.dim_period, self.cfg, run_at=RUN_AT, run_id=0)
 
 
 KEYS = ["kode_bps", "tahun"]
 
 
 def _feat_cols(*cols):
-    return lambda spark, d: Ctx(spark, d).feat.select(*KEYS, *cols)
+    return lambda spark, d: Ctx(spark, d).feat(*cols).select(*KEYS, *cols)
 
 
 def q_water_tier_reference(spark, d):
     """T1 compatibility: the source pipeline's guard never passes."""
-    return Ctx(spark, d, tier_guard="reference").feat.select(*KEYS, "ndmi", "water_body_density_tier")
+    return Ctx(spark, d, tier_guard="reference").feat("water_body_density_tier").select(*KEYS, "ndmi", "water_body_density_tier")
 
 
 def q_yoy_growth_unpadded(spark, d):
     """T2 option: growth to the previous row without carrying NULLs."""
-    return Ctx(spark, d, growth_pad=False).feat.select(*KEYS, "incidence_rate", "yoy_growth_rate")
+    return Ctx(spark, d, growth_pad=False).feat("yoy_growth_rate").select(*KEYS, "incidence_rate", "yoy_growth_rate")
 
 
 def q_panel_assemble(spark, d):
@@ -87,7 +97,8 @@ def q_panel_assemble(spark, d):
 
 def q_surge_trend(spark, d, grain="nation"):
     c = Ctx(spark, d, grain)
-    return reports.surge_trend(c.star.fact, c.star.dim_region, c.cfg)
+    fact = c.fact("incidence_rate", "yoy_growth_rate", "rainfall_zscore")
+    return reports.surge_trend(fact, c.dim_region, c.cfg)
 
 
 def q_dedup_keep_first(spark, d):
@@ -149,11 +160,11 @@ def q_standardize_sample(spark, d):
 
 
 def q_dim(name):
-    return lambda spark, d: getattr(Ctx(spark, d).star, name)
+    return lambda spark, d: getattr(Ctx(spark, d), name)
 
 
 def q_fact_panel(spark, d, grain="nation"):
-    return Ctx(spark, d, grain).star.fact.drop("fact_id")
+    return Ctx(spark, d, grain).fact().drop("fact_id")
 
 
 def q_run_record(spark, d):
@@ -162,17 +173,19 @@ def q_run_record(spark, d):
 
 def q_vulnerability_map(spark, d):
     c = Ctx(spark, d)
-    return reports.vulnerability_map(c.star.fact, c.star.dim_region, c.cfg)
+    fact = c.fact("jumlah_kasus_dbd", "composite_vulnerability_index")
+    return reports.vulnerability_map(fact, c.dim_region, c.cfg)
 
 
 def q_event_period_compare(spark, d):
     c = Ctx(spark, d)
-    return reports.event_period_compare(c.star.fact, c.star.dim_period, c.cfg)
+    return reports.event_period_compare(c.fact("jumlah_kasus_dbd", "incidence_rate"), c.dim_period, c.cfg)
 
 
 def q_latest_pin_map(spark, d):
     c = Ctx(spark, d)
-    return reports.latest_pin_map(c.star.fact, c.star.dim_region, c.cfg)
+    fact = c.fact("jumlah_kasus_dbd", "incidence_rate", "composite_vulnerability_index")
+    return reports.latest_pin_map(fact, c.dim_region, c.cfg)
 
 
 def q_run_quality_report(spark, d):
@@ -222,19 +235,19 @@ def q_check_orphans(spark, d):
 def q_table_row_counts(spark, d):
     c = Ctx(spark, d)
     t = dict(_staging_dict(c))
-    t.update({"dim_region": c.star.dim_region, "dim_period": c.star.dim_period,
-              "fact_panel": c.star.fact})
+    t.update({"dim_region": c.dim_region, "dim_period": c.dim_period,
+              "fact_panel": c.fact("incidence_rate")})
     return reports.table_row_counts(t)
 
 
 def q_spatial_check(spark, d):
     c = Ctx(spark, d)
-    return reports.spatial_check(c.star.dim_region, c.cfg)
+    return reports.spatial_check(c.dim_region, c.cfg)
 
 
 def q_orphan_facts(spark, d):
     c = Ctx(spark, d)
-    return reports.orphan_facts(c.star.fact, c.star.dim_region, c.cfg)
+    return reports.orphan_facts(c.fact("incidence_rate"), c.dim_region, c.cfg)
 
 
 def q_centroids(spark, d):

@@ -1,7 +1,8 @@
 """The batch job: stage -> check -> panel -> features -> star -> run log.
 
 ``build_*`` functions return lazy DataFrames (one Catalyst plan each, so
-repeated sub-plans share their exchanges).  ``run`` materialises at the two
+repeated sub-plans share their exchanges); only binned features write the
+panel and its sorted values while they are built.  ``run`` materialises at the two
 points that every later step reads - staging and the feature panel - by
 writing them to the warehouse folder, which also cuts the lineage (a lost
 executor recomputes from those files, not from the raw sources).
@@ -15,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelmart.config import PanelConfig
 from panelmart.operators import checks, clean, features, panel, spatial, star
-from panelmart.session import cut_lineage
 from panelmart.sources.driver_tables import RawSources
 
 
@@ -42,10 +42,8 @@ def build_staging(raw: RawSources, cfg: PanelConfig) -> Staging:
 
 
 def build_panel0(stg: Staging, cfg: PanelConfig) -> DataFrame:
-    """The assembled panel, written once to the shared folder - the
-    donor self-join and every feature stage read it from there."""
-    p = panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg)
-    return cut_lineage(p, "panel0")
+    """The assembled panel (lazy; bins write it, see add_features)."""
+    return panel.assemble(stg.health, stg.demography, stg.environment, stg.geo, cfg)
 
 
 def build_panel(stg: Staging, cfg: PanelConfig) -> DataFrame:
@@ -54,8 +52,7 @@ def build_panel(stg: Staging, cfg: PanelConfig) -> DataFrame:
 
 
 def build_features(stg: Staging, cfg: PanelConfig) -> DataFrame:
-    # the imputed panel is a scan of the written panel plus a broadcast join
-    return features.add_features(build_panel(stg, cfg), cfg, checkpoint=False)
+    return features.add_features(build_panel(stg, cfg), cfg)
 
 
 @dataclass
@@ -71,7 +68,9 @@ def build_star(feat: DataFrame, cfg: PanelConfig) -> Star:
 
 def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
         enforce_checks: bool = True, run_at=None) -> dict:
-    """Full refresh: returns {'run_id', 'checks', 'status', 'load_status'}.
+    """Full refresh: returns {'run_id', 'checks', 'status', 'load_status',
+    'unmatched_names', 'imputation_leaks'}; the last two are DataFrames of
+    the rows that mapping and imputation left without a value.
 
     Staging is written under ``root/staging`` and checked (all failures in
     one error); the feature panel is written under ``root/work``; the star
@@ -103,4 +102,8 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     r = spark.read.parquet(f"{root}/pipeline_runs").where(f"run_id = {run_id}").first()
     load_status = (f"loaded|regions={r['n_regions']}|periods={r['n_years']}|fact={r['fact_rows']}"
                    f"|imputed={r['imputed_rows']}|null_ir={r['null_ir_rows']}")
-    return {"run_id": run_id, "checks": res, "status": status, "load_status": load_status}
+    unmatched = clean.unmatched_names(clean.rename_environment(raw.environment), raw.mapping,
+                                      "nama_env", cfg.entity)
+    return {"run_id": run_id, "checks": res, "status": status, "load_status": load_status,
+            "unmatched_names": unmatched,
+            "imputation_leaks": panel.imputation_leaks(build_panel0(stg, cfg), cfg)}

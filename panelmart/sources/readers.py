@@ -100,6 +100,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
     """
     if (table is None) == (query is None):
         raise ValueError("give exactly one of table / query")
+    if partition_column and None in (lower_bound, upper_bound, num_partitions):
+        raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
     r = spark.read.format("jdbc").option("url", url)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
@@ -117,7 +119,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
     if partition_column:
         r = (r.option("partitionColumn", partition_column)
              .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-             .option("numPartitions", str(num_partitions or 4)))
+             .option("numPartitions", str(num_partitions)))
     df = r.load()
     return conform(df, schema, lowercase=True) if schema is not None else df
 

@@ -101,3 +101,22 @@ def test_dedup_matches_pandas_keep_first(spark):
     exp = (pdf.sort_values(["o1", "i"], na_position="last", kind="stable")
            .drop_duplicates(["k", "y"], keep="first"))
     assert got == {(r.k, r.y): r.i for r in exp.itertuples()}
+
+
+def test_names_mapped_to_no_code_are_reported(spark):
+    env = spark.createDataFrame([("Bandung",), ("Cimahi",)], "nama_env string")
+    mapping = spark.createDataFrame([("3204", "Bandung"), ("nan", "Cimahi")], "kode_bps string, nama_env string")
+    assert [r[0] for r in clean.unmatched_names(env, mapping, "nama_env").collect()] == ["Cimahi"]
+
+
+def test_first_area_row_of_the_files_is_kept(spark):
+    order = "struct<file:string,block:bigint,row:bigint>"
+    d = spark.createDataFrame([("1", 2019, 5.0, ("d", 0, 0))],
+                              f"kode_bps string, tahun int, kepadatan_penduduk double, _input_order {order}")
+    for rows in ([300.0, 100.0], [100.0, 300.0]):
+        a = spark.createDataFrame([("1", 2019, x, ("a", 0, i)) for i, x in enumerate(rows)],
+                                  f"kode_bps string, tahun int, luas_km2 double, _input_order {order}")
+        for n in (1, 4):
+            out = clean.stage_demography(d, a.repartition(n), cfg())
+            assert out.columns == ["kode_bps", "tahun", "kepadatan_penduduk", "luas_km2"]
+            assert out.first()["luas_km2"] == rows[0]

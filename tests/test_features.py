@@ -86,11 +86,11 @@ def test_tier_guard_t1(spark):
     assert all(v[0] is None for v in ref.values())
 
 
-def _bins(spark, values, on_duplicate, method="sort"):
+def _bins(spark, values, on_duplicate):
     df = spark.createDataFrame([(str(i), 2019, float(v)) for i, v in enumerate(values)],
                                "kode_bps string, tahun int, x double")
     spec = quantiles.BinSpec("q", "x", "tahun", C.QUARTILE_LABELS)
-    out = quantiles.add_bins(df, [spec], on_duplicate=on_duplicate, method=method)
+    out = quantiles.add_bins(df, [spec], on_duplicate=on_duplicate)
     return [r["q"] for r in out.orderBy(F.col("kode_bps").cast("int")).collect()]
 
 
@@ -105,8 +105,7 @@ def test_quartile_ties_t4(spark):
     assert _bins(spark, [5], "null") == [None]
 
 
-@pytest.mark.parametrize("method", ["sort", "agg"])
-def test_bins_match_pandas_qcut(spark, method):
+def test_bins_match_pandas_qcut(spark):
     import numpy as np
     rnd = random.Random(7)
     rows = []
@@ -121,7 +120,7 @@ def test_bins_match_pandas_qcut(spark, method):
     spec = quantiles.BinSpec("q", "x", "tahun", C.QUARTILE_LABELS)
     pdf = pd.DataFrame(rows, columns=["k", "tahun", "x"])
     # edges equal numpy's linear quantiles in every group, hot one included
-    edges = quantiles.quantile_edges(df, [spec], method)
+    edges = quantiles.quantile_edges(df, [spec])
     got_e = {(r["_k"], r["_i"]): r["_e"] for r in edges.collect()}
     for year, g in pdf.groupby("tahun"):
         exp = np.quantile(g["x"].dropna().to_numpy(), spec.probs)
@@ -129,7 +128,7 @@ def test_bins_match_pandas_qcut(spark, method):
             assert got_e[(year, i)] == pytest.approx(e, rel=1e-12, abs=1e-12)
     # labels equal pd.qcut; groups where qcut raises get NULL under "null"
     got = {r["kode_bps"]: r["q"] for r in
-           quantiles.add_bins(df, [spec], on_duplicate="null", method=method).collect()}
+           quantiles.add_bins(df, [spec], on_duplicate="null").collect()}
 
     def qcut_or_none(s):
         try:
@@ -215,3 +214,25 @@ def test_tier_guard_prevents_duplicate_edge_error(spark):
             for i, (k, v) in enumerate(zip("ABCDEF", [1.0, 1.0, 1.0, 1.0, 2.0, 2.0]))]
     out = features.add_features(panel_df(spark, rows), cfg(on_duplicate_edges="error"))
     assert {r["water_body_density_tier"] for r in out.collect()} == {None}
+
+
+def test_infinite_values_keep_their_edges(spark):
+    df = spark.createDataFrame([(str(i), 2019, v) for i, v in enumerate([1.0, 2.0, math.inf, math.inf, math.inf])],
+                               "k string, tahun int, x double")
+    spec = quantiles.BinSpec("q", "x", "tahun", C.QUARTILE_LABELS)
+    got = [r["_e"] for r in quantiles.quantile_edges(df, [spec], ["k"]).orderBy("_i").collect()]
+    assert got == [1.0, 2.0, math.inf, math.inf, math.inf]
+
+
+def test_asked_for_features_equal_those_of_all(spark):
+    rnd = random.Random(9)
+    rows = [dict(kode_bps=str(k), tahun=y, jumlah_kasus_dbd=rnd.randint(1, 50), rainfall_annual=rnd.random(),
+                 lst_celsius=rnd.random(), ndvi=rnd.random(), ndmi=rnd.random()) for k in range(9) for y in (2019, 2020)]
+    p = panel_df(spark, rows)
+    names = ["ndvi_class", "rainfall_zscore", "yoy_growth_rate", "density_tier", "endemic_persistence_score",
+             "water_body_density_tier"]
+    whole = by_key(features.add_features(p, cfg()), *names)
+    for i, c in enumerate(names):
+        some = by_key(features.add_features(p, cfg(), [c]), c)
+        for k, v in whole.items():
+            assert some[k][0] == (pytest.approx(v[i], rel=1e-9) if isinstance(v[i], float) else v[i]), c

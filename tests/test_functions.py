@@ -42,7 +42,7 @@ def test_config_validation():
 
     from panelmart.config import PanelConfig
     for bad in (dict(year_start=2025, year_end=2024), dict(on_duplicate_edges="drop"),
-                dict(tier_guard="x"), dict(quantile_method="fast"), dict(min_row_fraction=1.5),
+                dict(tier_guard="x"), dict(min_row_fraction=1.5),
                 dict(donors=(("1", "2"), ("1", "3")))):
         with pytest.raises(ValueError):
             PanelConfig(**bad)

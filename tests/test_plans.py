@@ -71,3 +71,22 @@ def test_geometry_joins_whatever_the_period(spark):
     assert sorted(map(tuple, rows), key=str) == [(3, 1.5), (4, 1.5), (5, None)]
 
 
+@pytest.mark.parametrize("name", ["ndvi_class", "incidence_rate", "dim_period", "surge_trend"])
+def test_building_an_unbinned_query_writes_nothing(spark, name, monkeypatch):
+    from panelmart.operators import features, quantiles
+    E.queries()["stage_geo"](spark, SF)  # lands the sources
+
+    def refuse(df, name="table"):
+        raise AssertionError(f"wrote {name}")
+    monkeypatch.setattr(features, "cut_lineage", refuse)
+    monkeypatch.setattr(quantiles, "cut_lineage", refuse)
+    assert E.queries()[name](spark, SF).columns
+
+
+def test_tier_guard_shuffles_by_period_only(spark):
+    from panelmart.operators import features
+    df = spark.range(1000).selectExpr("cast(id % 4 as int) AS tahun", "rand(1) AS x")
+    s = _plan(features.three_values(df, "tahun", "x"))
+    assert "Exchange hashpartitioning(tahun" in s and "hashpartitioning(tahun#0, x" not in s
+    assert not re.search(r"hashpartitioning\([^)]*x#", s)
+

@@ -29,7 +29,7 @@ def test_edges_equal_numpy(spark, rows, hot, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         got = {(r["_s"], r["_k"], r["_i"]): r["_e"]
-               for r in quantiles.quantile_edges(df, SPECS, "sort", tiebreak=["k"]).collect()}
+               for r in quantiles.quantile_edges(df, SPECS, tiebreak=["k"]).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     exp = {}
@@ -48,20 +48,6 @@ def test_edges_equal_numpy(spark, rows, hot, parts):
         assert got[k] == pytest.approx(e, rel=1e-9, abs=1e-9), k
 
 
-def test_approx_method_close_to_exact(spark):
-    import random
-    rnd = random.Random(1)
-    data = [(str(i), i % 3, rnd.gauss(0, 1), rnd.random()) for i in range(3000)]
-    df = spark.createDataFrame(data, "k string, g int, x double, y double")
-    exact = {(r["_s"], r["_k"], r["_i"]): r["_e"] for r in
-             quantiles.quantile_edges(df, SPECS, "sort", tiebreak=["k"]).collect()}
-    approx = {(r["_s"], r["_k"], r["_i"]): r["_e"] for r in
-              quantiles.quantile_edges(df, SPECS, "approx").collect()}
-    assert exact.keys() == approx.keys()
-    for k in exact:
-        assert approx[k] == pytest.approx(exact[k], abs=0.01)
-
-
 def test_hot_value_spreads_over_range_partitions(spark):
     """A value held by a third of all rows must not land in one task."""
     from pyspark.sql import functions as F
