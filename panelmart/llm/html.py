@@ -2,12 +2,14 @@
 
 Each page is parsed once, by its elements' subtrees.  Spark counts how many
 different pages of a host hold each subtree (by a hash of its tags and
-text), and the subtrees that recur on many are deleted: menus, notices,
-footers and adverts that a site repeats.  What markup itself names as no
-article (scripts, navigation, forms, comments) goes on every page, so that a
-host with one page is cleaned too.  Paragraphs, headings and the like inside
-an article element are never deleted for recurring: copies of an article
-keep their text.
+text), and the subtrees that recur on many are deleted, wherever they are:
+menus, notices, footers and adverts that a site repeats.  Versions of one URL
+and near copies of a text (by MinHash of its word shingles) are one page, so
+that they keep the paragraphs they share.  What markup itself names as no
+article (scripts, navigation, forms, comments) goes on every page, since
+counts can't find what differs from page to page or a host with one page.
+If article or main elements hold at least half of the words that are left,
+they are the text, else all that is left.
 """
 
 from __future__ import annotations
@@ -22,13 +24,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmart.llm.common import cut_lineage, prepare
+from panelmart.llm.common import bit_distance, cut_lineage, prepare, shingle_hashes, words
+from panelmart.llm.components import components
+from panelmart.llm.minhash import ROWS, SAMPLES, SKETCH_WORDS, Sketcher, bands_for, sketch_limit
 
 #: A subtree on this many different pages of a host is part of its template.
 MIN_PAGES = 5
 #: Hashes of deleted subtrees that are broadcast at most (8 bytes each); more
 #: are joined with the pages by a shuffle.
 BROADCAST_HASHES = 1_000_000
+#: Pages of a host count as one if their texts' shingles agree to this percentage.
+SIMILAR = 80
+SHINGLE = 5
 #: Deepest nesting that is followed.
 DEPTH = 256
 
@@ -49,8 +56,6 @@ NAMED = re.compile(
     r"nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|header|footer|masthead|comments?|comment-?list|disqus|replies|"
     r"respond|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|search|"
     r"widgets?|toolbar|pagination|pager|navigation|complementary|contentinfo|alert|dialog)(?:$|[\s_-])", re.I)
-#: Inside an article these are its text, however often they recur.
-TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th tr dd dt figcaption caption".split())
 #: An opening tag of these ends an open paragraph; of these, an open one of the same kind.
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
@@ -60,6 +65,8 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: A word, or a letter of a script without blanks.
+_WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W\u3040-\u30ff\u3400-\u9fff]+")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -91,10 +98,9 @@ class Page:
         self.blocks: list[tuple[str, list[int], bool]] = []  # text, open elements, in an article
         self.names: list[str] = []      # of all block elements, in page order
         self.hashes: list[int] = []
-        self.free: list[bool] = []      # may be deleted for recurring
         self._parts: list[str] = []
         self._open: list[int] = []
-        self._state: list[tuple[bool, bool, bool]] = []  # dropped, in an article, in its text
+        self._state: list[tuple[bool, bool]] = []  # dropped, in an article
         self._hash: list[xxhash.xxh3_64] = []
         self._count: Counter[str] = Counter()
         self._read(source)
@@ -104,21 +110,18 @@ class Page:
     def _flush(self) -> None:
         text = " ".join(entities.unescape("".join(self._parts)).split())
         self._parts = []
-        dropped, article, _ = self._state[-1] if self._state else (False, False, False)
+        dropped, article = self._state[-1] if self._state else (False, False)
         if text and not dropped:
             self.blocks.append((text, list(self._open), article))
             if self._hash:
                 self._hash[-1].update(text.encode("utf-8", "surrogatepass") + b"\n")
 
     def _push(self, name: str, dropped: bool) -> None:
-        above = self._state[-1] if self._state else (False, False, False)
-        article = above[1] or name in ("article", "main")
-        textual = above[2] or (above[1] and name in TEXTUAL)
+        above = self._state[-1] if self._state else (False, False)
         self.names.append(name)
         self.hashes.append(0)
-        self.free.append(not textual and name not in ("html", "body", "article", "main"))
         self._open.append(len(self.names) - 1)
-        self._state.append((dropped or above[0], article, textual))
+        self._state.append((dropped or above[0], above[1] or name in ("article", "main")))
         self._hash.append(xxhash.xxh3_64(name.encode("utf-8", "surrogatepass")))
         self._count[name] += 1
 
@@ -185,35 +188,94 @@ class Page:
                     self._push(name, dropped)
         self._flush()
 
-    def result(self) -> tuple[list[str], list[list[int]], int]:
-        """Texts of the blocks, their deletable subtrees' hashes, and a hash of
-        all the text.  If the page has an article, only its blocks count."""
-        blocks = [b for b in self.blocks if b[2]] or self.blocks
-        free = [[self.hashes[e] for e in path if self.free[e]] for _, path, _ in blocks]
-        whole = xxhash.xxh3_64_intdigest("\n".join(b[0] for b in blocks).encode("utf-8", "surrogatepass"))
-        return [b[0] for b in blocks], free, whole - (1 << 63)
+    def result(self, gone: frozenset[int] = frozenset()) -> tuple[list[str], list[dict], list[int]]:
+        """Texts of the blocks that ``choose`` takes, all blocks, and the hashes
+        of the subtrees that hold them."""
+        held = sorted({e for _, path, _ in self.blocks for e in path if self.names[e] not in ("html", "body")})
+        number = {e: i for i, e in enumerate(held)}
+        blocks = [{"text": text, "within": [number[e] for e in path if e in number], "article": article}
+                  for text, path, article in self.blocks]
+        hashes = [self.hashes[e] for e in held]
+        return choose(blocks, hashes, gone), blocks, hashes
+
+
+def choose(blocks: list[dict], hashes: list[int], gone: frozenset[int] = frozenset()) -> list[str]:
+    """Texts of the blocks that are in no subtree of ``gone``; only those in
+    article or main elements, if these hold at least half of the words."""
+    cut = {i for i, h in enumerate(hashes) if h in gone}
+    left = [b for b in blocks if not cut.intersection(b["within"])]
+    size = [sum(1 for _ in _WORD.finditer(b["text"])) for b in left]
+    inside = sum(n for n, b in zip(size, left, strict=True) if b["article"])
+    if inside and 2 * inside >= sum(size):
+        left = [b for b in left if b["article"]]
+    return [b["text"] for b in left]
+
+
+BLOCK = "struct<text:string,within:array<int>,article:boolean>"
+_BLOCK = pa.struct([("text", pa.string()), ("within", pa.list_(pa.int32())), ("article", pa.bool_())])
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, whole (hash of the text) and blocks (text, subtrees)."""
+    """page_id, url, host and address (hashes; the address without fragment),
+    node (hash of host and text), hashes (of subtrees) and blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.list_(pa.struct([("text", pa.string()), ("subtrees", pa.list_(pa.int64()))]))
         for batch in batches:
-            whole, blocks = [], []
-            for source in batch.column("html"):
-                texts, free, digest = Page(source.as_py() or "").result()
-                whole.append(digest)
-                blocks.append([{"text": t, "subtrees": f} for t, f in zip(texts, free, strict=True)])
+            node, blocks, hashes = [], [], []
+            for host, source in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
+                texts, found, held = Page(source.as_py() or "").result()
+                whole = f"{host}\n" + "\n".join(texts)
+                node.append(xxhash.xxh3_64_intdigest(whole.encode("utf-8", "surrogatepass")) - (1 << 63))
+                blocks.append(found)
+                hashes.append(held)
             yield pa.record_batch(
-                [batch.column("page_id"), batch.column("url"), batch.column("host"),
-                 pa.array(whole, pa.int64()), pa.array(blocks, block)],
-                names=["page_id", "url", "host", "whole", "blocks"])
+                [*(batch.column(c) for c in ("page_id", "url", "host", "address")), pa.array(node, pa.int64()),
+                 pa.array(hashes, pa.list_(pa.int64())), pa.array(blocks, pa.list_(_BLOCK))],
+                names=["page_id", "url", "host", "address", "node", "hashes", "blocks"])
 
     prepare(pages.sparkSession)
     host = F.lower(F.regexp_extract("url", r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select("page_id", "url", F.coalesce(host, F.lit("")).alias("host"), "html").mapInArrow(
-        run, "page_id long, url string, host string, whole long, "
-             "blocks array<struct<text:string,subtrees:array<long>>>")
+    address = F.when(F.col("url").isNotNull(), F.xxhash64(F.regexp_replace("url", "#.*$", "")))
+    return pages.select("page_id", "url", F.xxhash64(F.coalesce(host, F.lit(""))).alias("host"),
+                        address.alias("address"), "html").mapInArrow(
+        run, f"page_id long, url string, host long, address long, node long, hashes array<long>, blocks array<{BLOCK}>")
+
+
+def same_pages(parsed: DataFrame) -> DataFrame:
+    """id and component of the nodes that are one page with others of their
+    host: by near the same text, or by one address."""
+    n_bands = bands_for(SIMILAR / 100)
+    limit = sketch_limit(SIMILAR / 100, max(SAMPLES, n_bands * ROWS), 64 * SKETCH_WORDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = Sketcher(n_bands, ROWS, SAMPLES, SKETCH_WORDS)
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            bands, sketch = [], []
+            for blocks, hashes in zip(batch.column("blocks"), batch.column("hashes"), strict=True):
+                tokens = words("\n".join(choose(blocks.as_py(), hashes.as_py())))
+                a, b = sketcher.sketch(shingle_hashes(tokens, SHINGLE)) if tokens else (None, None)
+                bands.append(a)
+                sketch.append(b)
+            yield pa.record_batch([batch.column("host"), batch.column("node"), pa.array(bands, longs),
+                                   pa.array(sketch, longs)], names=["host", "node", "bands", "sketch"])
+
+    texts = parsed.select("host", "node", "hashes", "blocks")
+    signed = cut_lineage(texts.mapInArrow(run, "host long, node long, bands array<long>, sketch array<long>")
+                         .where("bands is not null"), "sketches")
+    keyed = signed.select("host", "node", F.explode("bands").alias("key"))
+    # each with the first of its key; a page's rows of one text are one node
+    first = keyed.groupBy("host", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
+        "first < last").select("host", "key", "first")
+    pairs = keyed.join(first, ["host", "key"]).where("node != first").select("node", "first").distinct()
+    of = signed.groupBy("node").agg(F.first("sketch").alias("sketch"))
+    far = bit_distance(F.col("sa"), F.col("sb"), SKETCH_WORDS)
+    near = (pairs.join(of.select("node", F.col("sketch").alias("sa")), "node")
+            .join(of.select(F.col("node").alias("first"), F.col("sketch").alias("sb")), "first")
+            .where(far <= limit).select(F.col("node").alias("a"), F.col("first").alias("b")))
+    at = parsed.where("address is not null").select("host", "address", "node")
+    first = at.groupBy("host", "address").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
+    versions = at.join(first, ["host", "address"]).where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    return components(cut_lineage(near.unionByName(versions), "links"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -221,25 +283,34 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
     Reads page_id, url and html.  A null or empty html gives the empty text; a
     page without a host (null or relative url) counts with others of none.
-    Pages with the same text count once, so copies make no template.  Repeated
-    rows each give a row.
+    Copies, near copies and versions of one url count once, so they make no
+    template.  Repeated rows each give a row.
     """
     parsed = cut_lineage(parse(pages.select(F.col("page_id").cast("long"), "url", "html")), "pages")
-    found = parsed.select("page_id", "host", "whole", F.explode(F.array_distinct(
-        F.flatten(F.transform("blocks", lambda b: b["subtrees"])))).alias("subtree"))
+    found = parsed.select("host", "node", F.explode(F.array_distinct("hashes")).alias("subtree"))
+    # first by rows, of which there are at least as many as pages
+    often = found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    often = cut_lineage(found.join(often.select("host", "subtree"), ["host", "subtree"]).distinct(), "recurring")
+    same = same_pages(parsed.join(often.select("host").distinct(), "host", "left_semi"))
+    label = F.coalesce("component", "node").alias("label")
     # two steps of partial sums, so that a host with most pages is no one task
-    template = (found.groupBy("host", "subtree", "whole").agg(F.lit(1).alias("one"))
+    template = (often.join(same, often["node"] == same["id"], "left").select("host", "subtree", label).distinct()
                 .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
                 .where(F.col("n") >= min_pages).select("host", "subtree"))
-    here = (found.select("page_id", "host", "subtree").join(template, ["host", "subtree"])
-            .groupBy("page_id", "host").agg(F.collect_set("subtree").alias("gone"))
-            .select(F.col("page_id").alias("id"), F.col("host").alias("at"), "gone"))
+    here = often.join(template, ["host", "subtree"]).groupBy(F.col("node").alias("at")).agg(
+        F.collect_set("subtree").alias("gone"))
     # templates are few hashes: the pages' texts move only where they aren't
     here = cut_lineage(here, "templates")
     hashes = here.agg(F.sum(F.size("gone"))).first()[0] or 0
     here = F.broadcast(here) if hashes <= BROADCAST_HASHES else here
-    out = parsed.join(here, parsed["page_id"].eqNullSafe(here["id"]) & (parsed["host"] == here["at"]), "left")
-    kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["subtrees"], F.col("gone")))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return out.select("page_id", "url", text.alias("text")).withColumn(
-        "n_chars", F.char_length("text").cast("long"))
+    out = parsed.join(here, parsed["node"] == here["at"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ["\n".join(choose(blocks.as_py(), hashes.as_py(), frozenset(gone.as_py() or ())))
+                     for blocks, hashes, gone in zip(*(batch.column(c) for c in ("blocks", "hashes", "gone")), strict=True)]
+            yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+                                  names=["page_id", "url", "text"])
+
+    out = out.select("page_id", "url", "blocks", "hashes", "gone").mapInArrow(run, "page_id long, url string, text string")
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))

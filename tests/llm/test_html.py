@@ -50,3 +50,30 @@ def test_templates_go_and_articles_stay(spark):
     assert all(text[300 + i] == ["a copied page"] for i in range(8))
     assert text[None] == ["no url"] and text[400] == [""]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string, host int, blocks int")).count() == 0
+
+
+def texts(spark, rows):
+    out = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r.page_id: r.text for r in out}
+
+
+def words_of(i, n=60):
+    return " ".join(f"w{i}x{j}" for j in range(n))
+
+
+def test_counts_reach_into_articles(spark):
+    rows = [(i, f"https://a.example/{i}", f"<article><h1>Title {i}</h1><p>Read our other offers today</p>"
+             f"<p>{words_of(i)}</p></article>") for i in range(8)]
+    rows += [(100, "https://b.example/1", f"<div><h1>T</h1><p>{words_of(100)}</p></div><article><p>a teaser</p></article>")]
+    text = texts(spark, rows)
+    assert all(text[i] == f"Title {i}\n{words_of(i)}" for i in range(8))
+    assert words_of(100) in text[100]
+
+
+def test_copies_keep_what_they_share(spark):
+    # near copies at addresses of their own, without article tags
+    shared = "".join(f"<p>{words_of(k, 30)}</p>" for k in range(10))
+    rows = [(i, f"https://a.example/{i}", f"<div><h2>Copy {i}</h2>{shared}<p>edit {i}</p></div>") for i in range(8)]
+    rows += [(100 + i, f"https://a.example/o/{i}", f"<div><p>{words_of(100 + i)}</p></div>") for i in range(4)]
+    text = texts(spark, rows)
+    assert all(text[i].count("\n") == 11 for i in range(8))
