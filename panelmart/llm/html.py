@@ -46,16 +46,26 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre "
     "section summary table tbody td tfoot th thead tr ul".split())
-#: Elements that are no part of an article, and words of their class, id or
-#: role that say the same of any element.
+#: Elements that are no part of an article, and classes, ids and roles (whole
+#: ones, not parts of them) that say the same of any element.
 OUTSIDE = frozenset(
     "nav header footer aside form button select option script style textarea title noscript iframe "
     "noembed noframes xmp template head svg math canvas object audio video menu dialog label".split())
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?\w*|consent|gdpr|notices?|popup|modal|"
-    r"nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|header|footer|masthead|comments?|comment-?list|disqus|replies|"
-    r"respond|share|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|search|"
-    r"widgets?|toolbar|pagination|pager|navigation|complementary|contentinfo|alert|dialog)(?:$|[\s_-])", re.I)
+    r"ads?|adverts?|advertisements?|advertising|adsense|(?:ad|ads|advert)[_-](?:box|slot|unit|banner|container|wrapper)|"
+    r"sponsor(?:ed|s)?|promos?|promotions?|banner|(?:cookie|cookies|consent|gdpr)(?:[_-](?:bar|banner|notice|consent|"
+    r"popup|message))?|notices?|popup|modal|(?:(?:main|site|top|sub|page|primary|secondary|footer|header)[_-]?)?"
+    r"(?:nav|navbar|navigation|menu)|(?:nav|menu)[_-](?:bar|links?|menu|list|container|wrapper)|breadcrumbs?|"
+    r"(?:(?:left|right|primary|secondary|site|page)[_-]?)?sidebar|sidebar[_-](?:left|right|primary|secondary)|side|"
+    r"(?:(?:site|page|global|main)[_-]?)?(?:header|footer)|masthead|comments?|comments?[_-]?(?:list|section|area|form|"
+    r"thread)|disqus(?:_thread)?|replies|respond|share|sharing|(?:share|sharing|social)[_-](?:buttons?|links?|bar|icons?|"
+    r"media)|social|related(?:[_-](?:posts?|articles?|links?|content))?|recommended|newsletter(?:[_-](?:signup|form|box))?|"
+    r"subscribe|subscription|signup|login(?:[_-]form)?|search(?:[_-]?(?:form|box|bar))?|widgets?|widget[_-]area|toolbar|"
+    r"pagination|pager|complementary|contentinfo|alert|dialog", re.I)
+#: Elements whose tag says less than its text may.
+GUARDED = frozenset(["form", "header"])
+#: What is named as no article stays if it holds most of the words left and at least so many.
+SPARED = 25
 #: An opening tag of these ends an open paragraph; of these, an open one of the same kind.
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
@@ -70,20 +80,23 @@ _WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W\u3040-\u30ff\u3400-\u9fff
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _outside(name: str, attributes: str) -> bool:
-    """Whether the markup says that the element is no part of an article."""
-    if name in OUTSIDE:
-        return True
+def _outside(name: str, attributes: str, article: bool) -> str:
+    """Why the markup says that the element is no part of an article: "tag" or
+    "hidden", or "named", which its text can outweigh; else empty.  A header
+    in an article is part of it."""
+    if name in OUTSIDE and not (article and name == "header"):
+        return "named" if name in GUARDED else "tag"
+    named = False
     if attributes and name not in ("body", "html", "article", "main"):
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id", "role"):
-                if NAMED.search(value):
-                    return True
+                named = named or any(NAMED.fullmatch(x) and not (article and x.lower() == "header")
+                                     for x in value.split())
             elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
                     key == "style" and _HIDING.search(value)):
-                return True
-    return False
+                return "hidden"
+    return "named" if named else ""
 
 
 class Page:
@@ -97,6 +110,7 @@ class Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[str, list[int], bool]] = []  # text, open elements, in an article
         self.names: list[str] = []      # of all block elements, in page order
+        self.named: set[int] = set()    # those named as no part of an article
         self.hashes: list[int] = []
         self._parts: list[str] = []
         self._open: list[int] = []
@@ -116,12 +130,14 @@ class Page:
             if self._hash:
                 self._hash[-1].update(text.encode("utf-8", "surrogatepass") + b"\n")
 
-    def _push(self, name: str, dropped: bool) -> None:
+    def _push(self, name: str, why: str) -> None:
         above = self._state[-1] if self._state else (False, False)
         self.names.append(name)
         self.hashes.append(0)
         self._open.append(len(self.names) - 1)
-        self._state.append((dropped or above[0], above[1] or name in ("article", "main")))
+        if why == "named":
+            self.named.add(len(self.names) - 1)
+        self._state.append((why in ("tag", "hidden") or above[0], above[1] or name in ("article", "main")))
         self._hash.append(xxhash.xxh3_64(name.encode("utf-8", "surrogatepass")))
         self._count[name] += 1
 
@@ -177,15 +193,15 @@ class Page:
                 if block or name in OUTSIDE:
                     self._close({name})
                 continue
-            dropped = _outside(name, attributes)
-            if block or dropped:
+            why = _outside(name, attributes, bool(self._state) and self._state[-1][1])
+            if block or why:
                 if name in BLOCKS and name not in ("html", "body"):
                     self._close({"p"}, SCOPES - {"div", "section"})
                 if name in SAME:
                     self._close(SAME[name], SCOPES)
                 self._flush()
-                if name not in VOID and (len(self._open) < DEPTH or dropped):
-                    self._push(name, dropped)
+                if name not in VOID and (len(self._open) < DEPTH or why):
+                    self._push(name, why)
         self._flush()
 
     def result(self, gone: frozenset[int] = frozenset()) -> tuple[list[str], list[dict], list[int]]:
@@ -193,26 +209,35 @@ class Page:
         of the subtrees that hold them."""
         held = sorted({e for _, path, _ in self.blocks for e in path if self.names[e] not in ("html", "body")})
         number = {e: i for i, e in enumerate(held)}
-        blocks = [{"text": text, "within": [number[e] for e in path if e in number], "article": article}
+        blocks = [{"text": text, "within": [number[e] for e in path if e in number],
+                   "named": [number[e] for e in path if e in self.named], "article": article}
                   for text, path, article in self.blocks]
         hashes = [self.hashes[e] for e in held]
         return choose(blocks, hashes, gone), blocks, hashes
 
 
 def choose(blocks: list[dict], hashes: list[int], gone: frozenset[int] = frozenset()) -> list[str]:
-    """Texts of the blocks that are in no subtree of ``gone``; only those in
-    article or main elements, if these hold at least half of the words."""
+    """Texts of the blocks that are in no subtree of ``gone``, and in no element
+    named as no article unless that holds most of the words left; only those
+    in article or main elements, if these hold at least half of the words."""
     cut = {i for i, h in enumerate(hashes) if h in gone}
     left = [b for b in blocks if not cut.intersection(b["within"])]
     size = [sum(1 for _ in _WORD.finditer(b["text"])) for b in left]
+    held: Counter[int] = Counter()
+    for b, n in zip(left, size, strict=True):
+        held.update(dict.fromkeys(b["named"], n))
+    spared = {e for e, n in held.items() if n >= SPARED and 2 * n > sum(size)}
+    both = [(b, n) for b, n in zip(left, size, strict=True) if spared.issuperset(b["named"])]
+    left, size = [b for b, _ in both], [n for _, n in both]
     inside = sum(n for n, b in zip(size, left, strict=True) if b["article"])
     if inside and 2 * inside >= sum(size):
         left = [b for b in left if b["article"]]
     return [b["text"] for b in left]
 
 
-BLOCK = "struct<text:string,within:array<int>,article:boolean>"
-_BLOCK = pa.struct([("text", pa.string()), ("within", pa.list_(pa.int32())), ("article", pa.bool_())])
+BLOCK = "struct<text:string,within:array<int>,named:array<int>,article:boolean>"
+_BLOCK = pa.struct([("text", pa.string()), ("within", pa.list_(pa.int32())),
+                    ("named", pa.list_(pa.int32())), ("article", pa.bool_())])
 
 
 def parse(pages: DataFrame) -> DataFrame:

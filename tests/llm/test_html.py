@@ -77,3 +77,19 @@ def test_copies_keep_what_they_share(spark):
     rows += [(100 + i, f"https://a.example/o/{i}", f"<div><p>{words_of(100 + i)}</p></div>") for i in range(4)]
     text = texts(spark, rows)
     assert all(text[i].count("\n") == 11 for i in range(8))
+
+
+@pytest.mark.parametrize("value", [
+    "content has-sidebar", "post no-comments", "type-post comments-open", "layout-right-sidebar", "search-result-body",
+    "social-science", "article-header"])
+def test_parts_of_names_drop_nothing(value):
+    for source in (f"<div class='{value}'><h1>T</h1><p>text</p></div>",
+                   f"<article><div class='{value}'><h1>T</h1></div><p>text</p></article>"):
+        assert Page(source).result()[0] == ["T", "text"]
+
+
+def test_names_do_not_drop_most_of_a_page():
+    whole = f"<div class='content sidebar'><article><header><h1>T</h1></header><p>{words_of(1)}</p></article></div>"
+    assert Page(f"{whole}<p>else</p>").result()[0] == ["T", words_of(1)]
+    assert Page(f"<form><p>{words_of(1)}</p><div class=ad>buy</div></form>").result()[0] == [words_of(1)]
+    assert Page("<div class='x sidebar'><p>s</p></div><div class='site-footer'>f</div><p>a b</p>").result()[0] == ["a b"]
