@@ -2,8 +2,9 @@
 
 Each page is parsed once, by its elements' subtrees.  Spark counts how many
 different pages of a host hold each subtree (by a hash of its tags and
-text), and the subtrees that recur on many are deleted, wherever they are:
-menus, notices, footers and adverts that a site repeats.  Versions of one URL
+text), and the subtrees on at least ``MIN_PAGES`` and ``SHARE`` of them are
+deleted, wherever they are: menus, notices, footers and adverts that a site
+repeats, but not a heading or table cell that some of its pages have.  Versions of one URL
 and near copies of a text (by MinHash of its word shingles) are one page, so
 that they keep the paragraphs they share.  What markup itself names as no
 article (scripts, navigation, forms, comments) goes on every page, since
@@ -21,21 +22,25 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmart.llm.common import bit_distance, cut_lineage, prepare, shingle_hashes, words
 from panelmart.llm.components import components
 from panelmart.llm.minhash import ROWS, SAMPLES, SKETCH_WORDS, Sketcher, bands_for, sketch_limit
 
-#: A subtree on this many different pages of a host is part of its template.
+#: A subtree on this many different pages of a host, and on this share of all
+#: of them, is part of its template.
 MIN_PAGES = 5
+SHARE = 0.1
 #: Hashes of deleted subtrees that are broadcast at most (8 bytes each); more
 #: are joined with the pages by a shuffle.
 BROADCAST_HASHES = 1_000_000
 #: Pages of a host count as one if their texts' shingles agree to this percentage.
 SIMILAR = 80
 SHINGLE = 5
+#: Chance that two pages at just that share no band.
+MISSED = 1e-3
 #: Deepest nesting that is followed.
 DEPTH = 256
 
@@ -209,15 +214,20 @@ class Page:
         of the subtrees that hold them."""
         held = sorted({e for _, path, _ in self.blocks for e in path if self.names[e] not in ("html", "body")})
         number = {e: i for i, e in enumerate(held)}
-        blocks = [{"text": text, "within": [number[e] for e in path if e in number],
+        blocks: list[dict] = [{"text": text, "within": [number[e] for e in path if e in number],
                    "named": [number[e] for e in path if e in self.named], "article": article}
                   for text, path, article in self.blocks]
         hashes = [self.hashes[e] for e in held]
-        return choose(blocks, hashes, gone), blocks, hashes
+        taken = choose(blocks, hashes, gone)
+        for b in blocks:
+            b["taken"] = False
+        for b in taken:
+            b["taken"] = True
+        return [b["text"] for b in taken], blocks, hashes
 
 
-def choose(blocks: list[dict], hashes: list[int], gone: frozenset[int] = frozenset()) -> list[str]:
-    """Texts of the blocks that are in no subtree of ``gone``, and in no element
+def choose(blocks: list[dict], hashes: list[int], gone: frozenset[int] = frozenset()) -> list[dict]:
+    """The blocks that are in no subtree of ``gone``, and in no element
     named as no article unless that holds most of the words left; only those
     in article or main elements, if these hold at least half of the words."""
     cut = {i for i, h in enumerate(hashes) if h in gone}
@@ -232,12 +242,13 @@ def choose(blocks: list[dict], hashes: list[int], gone: frozenset[int] = frozens
     inside = sum(n for n, b in zip(size, left, strict=True) if b["article"])
     if inside and 2 * inside >= sum(size):
         left = [b for b in left if b["article"]]
-    return [b["text"] for b in left]
+    return left
 
 
-BLOCK = "struct<text:string,within:array<int>,named:array<int>,article:boolean>"
+BLOCK = "struct<text:string,within:array<int>,named:array<int>,article:boolean,taken:boolean>"
 _BLOCK = pa.struct([("text", pa.string()), ("within", pa.list_(pa.int32())),
-                    ("named", pa.list_(pa.int32())), ("article", pa.bool_())])
+                    ("named", pa.list_(pa.int32())), ("article", pa.bool_()),
+                    ("taken", pa.bool_())])
 
 
 def parse(pages: DataFrame) -> DataFrame:
@@ -265,10 +276,15 @@ def parse(pages: DataFrame) -> DataFrame:
         run, f"page_id long, url string, host long, address long, node long, hashes array<long>, blocks array<{BLOCK}>")
 
 
+def text_of(blocks: str = "blocks") -> Column:
+    """The text of a page that nothing is gone from."""
+    return F.array_join(F.transform(F.filter(blocks, lambda b: b["taken"]), lambda b: b["text"]), "\n")
+
+
 def same_pages(parsed: DataFrame) -> DataFrame:
     """id and component of the nodes that are one page with others of their
     host: by near the same text, or by one address."""
-    n_bands = bands_for(SIMILAR / 100)
+    n_bands = bands_for(SIMILAR / 100, missed=MISSED)
     limit = sketch_limit(SIMILAR / 100, max(SAMPLES, n_bands * ROWS), 64 * SKETCH_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,22 +292,23 @@ def same_pages(parsed: DataFrame) -> DataFrame:
         longs = pa.list_(pa.int64())
         for batch in batches:
             bands, sketch = [], []
-            for blocks, hashes in zip(batch.column("blocks"), batch.column("hashes"), strict=True):
-                tokens = words("\n".join(choose(blocks.as_py(), hashes.as_py())))
+            for text in batch.column("text"):
+                tokens = words(text.as_py())
                 a, b = sketcher.sketch(shingle_hashes(tokens, SHINGLE)) if tokens else (None, None)
                 bands.append(a)
                 sketch.append(b)
             yield pa.record_batch([batch.column("host"), batch.column("node"), pa.array(bands, longs),
                                    pa.array(sketch, longs)], names=["host", "node", "bands", "sketch"])
 
-    texts = parsed.select("host", "node", "hashes", "blocks")
+    texts = parsed.select("host", "node", text_of().alias("text"))
     signed = cut_lineage(texts.mapInArrow(run, "host long, node long, bands array<long>, sketch array<long>")
                          .where("bands is not null"), "sketches")
-    keyed = signed.select("host", "node", F.explode("bands").alias("key"))
+    keyed = signed.select("node", F.explode("bands").alias("key"), "host").select(
+        "node", F.xxhash64("host", "key").alias("key"))
     # each with the first of its key; a page's rows of one text are one node
-    first = keyed.groupBy("host", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
-        "first < last").select("host", "key", "first")
-    pairs = keyed.join(first, ["host", "key"]).where("node != first").select("node", "first").distinct()
+    first = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
+        "first < last").select("key", "first")
+    pairs = keyed.join(first, "key").where("node != first").select("node", "first").distinct()
     of = signed.groupBy("node").agg(F.first("sketch").alias("sketch"))
     far = bit_distance(F.col("sa"), F.col("sb"), SKETCH_WORDS)
     near = (pairs.join(of.select("node", F.col("sketch").alias("sa")), "node")
@@ -303,7 +320,7 @@ def same_pages(parsed: DataFrame) -> DataFrame:
     return components(cut_lineage(near.unionByName(versions), "links"))
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row.
 
     Reads page_id, url and html.  A null or empty html gives the empty text; a
@@ -313,15 +330,30 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """
     parsed = cut_lineage(parse(pages.select(F.col("page_id").cast("long"), "url", "html")), "pages")
     found = parsed.select("host", "node", F.explode(F.array_distinct("hashes")).alias("subtree"))
-    # first by rows, of which there are at least as many as pages
-    often = found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    often = cut_lineage(found.join(often.select("host", "subtree"), ["host", "subtree"]).distinct(), "recurring")
-    same = same_pages(parsed.join(often.select("host").distinct(), "host", "left_semi"))
+    # first by rows, of which there are at least as many as texts, then by texts
+    often = (found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"),
+                                                  F.max("node").alias("hi"))
+             .where((F.col("n") >= min_pages) & (F.col("lo") < F.col("hi"))).select("host", "subtree"))
+    often = cut_lineage(found.join(often, ["host", "subtree"]).distinct(), "recurring")
+    many = often.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    # texts without any of these are pages of their own; they alone may be too
+    # many for a subtree's share, and near copies matter only among the rest
+    nodes = parsed.select("host", "node").distinct().join(often.select("host").distinct(), "host", "left_semi")
+    alone = (nodes.join(often.join(many, ["host", "subtree"], "left_semi").select("node").distinct(), "node", "left_anti")
+             .groupBy("host").agg(F.count(F.lit(1)).alias("alone")))
+    many = many.join(alone, "host", "left").where(
+        F.col("n") >= share * F.coalesce("alone", F.lit(0))).select("host", "subtree")
+    often = cut_lineage(often.join(many, ["host", "subtree"]), "recurring")
+    same = same_pages(parsed.join(often.select("node").distinct(), "node", "left_semi"))
     label = F.coalesce("component", "node").alias("label")
+    nodes = nodes.join(often.select("host").distinct(), "host", "left_semi")
+    all_pages = (nodes.join(same, F.col("node") == same["id"], "left")
+                 .select("host", label).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages")))
     # two steps of partial sums, so that a host with most pages is no one task
     template = (often.join(same, often["node"] == same["id"], "left").select("host", "subtree", label).distinct()
                 .groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= min_pages).select("host", "subtree"))
+                .join(all_pages, "host").where((F.col("n") >= min_pages) & (F.col("n") >= share * F.col("pages")))
+                .select("host", "subtree"))
     here = often.join(template, ["host", "subtree"]).groupBy(F.col("node").alias("at")).agg(
         F.collect_set("subtree").alias("gone"))
     # templates are few hashes: the pages' texts move only where they aren't
@@ -332,10 +364,12 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ["\n".join(choose(blocks.as_py(), hashes.as_py(), frozenset(gone.as_py() or ())))
+            texts = ["\n".join(b["text"] for b in choose(blocks.as_py(), hashes.as_py(), frozenset(gone.as_py())))
                      for blocks, hashes, gone in zip(*(batch.column(c) for c in ("blocks", "hashes", "gone")), strict=True)]
             yield pa.record_batch([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                   names=["page_id", "url", "text"])
 
-    out = out.select("page_id", "url", "blocks", "hashes", "gone").mapInArrow(run, "page_id long, url string, text string")
+    cleaned = out.where("gone is not null").select("page_id", "url", "blocks", "hashes", "gone").mapInArrow(
+        run, "page_id long, url string, text string")
+    out = out.where("gone is null").select("page_id", "url", text_of().alias("text")).unionByName(cleaned)
     return out.withColumn("n_chars", F.char_length("text").cast("long"))

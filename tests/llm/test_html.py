@@ -93,3 +93,16 @@ def test_names_do_not_drop_most_of_a_page():
     assert Page(f"{whole}<p>else</p>").result()[0] == ["T", words_of(1)]
     assert Page(f"<form><p>{words_of(1)}</p><div class=ad>buy</div></form>").result()[0] == [words_of(1)]
     assert Page("<div class='x sidebar'><p>s</p></div><div class='site-footer'>f</div><p>a b</p>").result()[0] == ["a b"]
+
+
+def test_large_hosts_keep_short_blocks(spark):
+    copied = "".join(f"<p>{words_of(k, 30)}</p>" for k in range(10))
+    rows = [(i, f"https://a.example/{i}", "<div><p>Site menu</p></div>" + ("<h2>Introduction</h2>" if i % 25 == 0 else "")
+             + f"<table><tr><td>n{i}</td><td>{0 if i % 20 == 0 else i}</td></tr></table><p>{words_of(i)}</p>")
+            for i in range(1000, 1400)]
+    rows += [(i, f"https://a.example/c/{i}", f"<div><p>Site menu</p></div><div>{copied}<p>edit {i}</p></div>")
+             for i in range(2000, 2060)]
+    text = texts(spark, rows)
+    assert text[1000] == f"Introduction\nn1000\n0\n{words_of(1000)}"
+    assert text[1001] == f"n1001\n1001\n{words_of(1001)}"
+    assert all(text[i].count("\n") == 10 and "menu" not in text[i] for i in range(2000, 2060))
