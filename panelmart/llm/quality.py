@@ -2,11 +2,15 @@
 
 Two generative models over hashed byte n-grams, one of target texts (labelled
 good) and one of all raw texts, give each document the mean log ratio of its
+n-grams.  The mean of a short text is noisy, so it is shrunk towards that of
+the held-out good texts, by how much their means spread at its number of
 n-grams.  That times ``SHARPNESS`` is its log importance weight, as if every
 text had so many n-grams.  Documents are sampled without replacement by
 those weights with the Gumbel top-k trick: the k highest sums of log weight
-and Gumbel noise are kept.  k is the number of documents at or above the log
-ratio that all but ``LOSS`` of the held-out good texts reach.
+and Gumbel noise are kept.  k is the number of documents at or above the shrunk
+log ratio that all but ``LOSS`` of the held-out good texts reach, in all and
+in each language (column lang, if there is one) and length class of at least
+``CLASS`` of them.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +29,8 @@ GRAM = 4
 BITS = 18
 SHARPNESS = 400.0
 LOSS = 0.01
+#: Held-out good texts of a language or length class that is calibrated by itself.
+CLASS = 100
 SEED = 11
 #: Labelled rows that are used at most, half to fit, half to calibrate: the
 #: bounded sample of the fit.  The raw model counts all documents.
@@ -83,9 +89,13 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return (np.log(p / p.sum()) - np.log(q / q.sum())).astype(np.float32)
 
 
-def score(docs: DataFrame, ratios: np.ndarray, name: str, n: int = GRAM, bits: int = BITS) -> DataFrame:
+def score(docs: DataFrame, ratios: np.ndarray, name: str, n: int = GRAM, bits: int = BITS,
+          number: str | None = None) -> DataFrame:
     """``docs`` with the mean log ratio of each text's n-grams as ``name``
-    (null for a null or empty text)."""
+    (null for a null or empty text), and how many they are as ``number``."""
+    added = [T.StructField(name, T.DoubleType())]
+    if number is not None:
+        added.append(T.StructField(number, T.LongType()))
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,11 +107,36 @@ def score(docs: DataFrame, ratios: np.ndarray, name: str, n: int = GRAM, bits: i
             mean = (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
             # rounded, so that a text scores alike wherever in a batch it is
             col = pa.array(np.round(mean, 9), pa.float64(), mask=sizes == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, name])
-
-    if name in docs.columns:
-        raise ValueError(f"the table already has a column {name}")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+            cols = [col, pa.array(sizes, pa.int64())][:len(names)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])
+
+    names = [f.name for f in added]
+    for x in names:
+        if x in docs.columns:
+            raise ValueError(f"the table already has a column {x}")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+
+
+def spread(mean: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
+    """(centre, a, b): means of good texts with n n-grams vary about the centre
+    by a + b / n, fitted as the variances of a normal law."""
+    centre = float(np.median(mean))
+    square, x = (mean - centre) ** 2, 1.0 / np.maximum(n, 1)
+    a, b = max(float(np.median(square[n >= np.median(n)])) * 2.2, 1e-12), 0.0
+    for _ in range(50):
+        w = 1.0 / (a + b * x) ** 2
+        sw, sx, sxx, sy, sxy = w.sum(), (w * x).sum(), (w * x * x).sum(), (w * square).sum(), (w * x * square).sum()
+        det = sw * sxx - sx * sx
+        if det <= 1e-12 * sw * sxx:  # all texts have one length
+            return centre, a, 0.0
+        b = max((sw * sxy - sx * sy) / det, 0.0)
+        a = max((sy - b * sx) / sw, 1e-12)
+    return centre, a, b
+
+
+def shrunk(mean: Column, n: Column, centre: float, a: float, b: float) -> Column:
+    """The mean of n n-grams, shrunk to the spread of a long text's."""
+    return F.lit(centre) + (mean - F.lit(centre)) * F.sqrt(F.lit(a) / (F.lit(a) + F.lit(b) / n))
 
 
 def gumbel(seed: int = SEED):
@@ -134,10 +169,11 @@ def kth_highest(keys: DataFrame, column: str, k: int) -> float:
 
 
 class Model:
-    """Fitted models: ``ratios``, and ``cut``, the key of the k-th document."""
+    """Fitted models: ``ratios``, ``cut``, the key of the k-th document, and
+    ``law``, the spread of good texts' means."""
 
-    def __init__(self, ratios: np.ndarray, cut: float):
-        self.ratios, self.cut = ratios, cut
+    def __init__(self, ratios: np.ndarray, cut: float, law: tuple[float, float, float] = (0.0, 1.0, 0.0)):
+        self.ratios, self.cut, self.law = ratios, cut, law
 
 
 def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, sharpness: float = SHARPNESS,
@@ -148,7 +184,8 @@ def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, sharpness: float =
     most are used.  Without any, nothing is rejected but texts without text.
     """
     prepare(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    docs = docs.select("doc_id", "text", lang.alias("lang"))
     sample = (good.select("doc_id").where("doc_id is not null").distinct()
               .withColumn("h", F.xxhash64("doc_id", F.lit(seed + 1))).orderBy("h", "doc_id").limit(labelled))
     sample = cut_lineage(sample, "labelled")  # at most ``labelled`` rows
@@ -158,21 +195,34 @@ def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, sharpness: float =
     if not target.any():
         return Model(np.zeros(len(raw), np.float32), -np.inf)
     ratios = log_ratios(target, raw)
-    scored = cut_lineage(score(docs, ratios, "log_ratio").select(
-        "doc_id", "log_ratio", (F.col("log_ratio") * sharpness + gumbel(seed)).alias("key"))
-        .where("log_ratio is not null"), "scores")
+    scored = cut_lineage(score(docs, ratios, "log_ratio", number="n").select(
+        "doc_id", "log_ratio", "n", "lang").where("log_ratio is not null"), "scores")
     held = scored.join(F.broadcast(sample.where(F.pmod("h", F.lit(2)) == 1).select("doc_id")), "doc_id", "left_semi")
-    held = [r[0] for r in held.groupBy("doc_id").agg(F.max("log_ratio")).select("max(log_ratio)").collect()]
+    # at most ``labelled`` rows, one a document
+    held = held.groupBy("doc_id").agg(F.max(F.struct("log_ratio", "n", "lang")).alias("x")).select("x.*").collect()
     if not held:
         return Model(ratios, -np.inf)
-    k = scored.where(F.col("log_ratio") >= float(np.quantile(held, loss))).count()
-    return Model(ratios, kth_highest(scored, "key", max(k, 1)))
+    mean, n = (np.array(x, np.float64) for x in list(zip(*held, strict=True))[:2])
+    law = spread(mean, n)
+    centre, a, b = law
+    good_at = centre + (mean - centre) * np.sqrt(a / (a + b / n))
+    classes: dict = {None: range(len(held))}
+    for i, row in enumerate(held):
+        for x in (("lang", row["lang"]), ("length", int(np.log2(row["n"])) // 2)):
+            classes.setdefault(x, []).append(i)
+    least = min(float(np.quantile(good_at[list(x)], loss)) for name, x in classes.items()
+                if name is None or len(x) >= CLASS)
+    scored = cut_lineage(scored.withColumn("shrunk", shrunk(F.col("log_ratio"), F.col("n"), *law)).withColumn(
+        "key", F.col("shrunk") * sharpness + gumbel(seed)).select("shrunk", "key"), "keys")
+    k = scored.where(F.col("shrunk") >= least).count()
+    return Model(ratios, kth_highest(scored, "key", max(k, 1)), law)
 
 
 def keyed(docs: DataFrame, model: Model, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
     """``docs`` with quality_log_ratio and quality_key (log weight plus noise)."""
-    return score(docs, model.ratios, "quality_log_ratio").withColumn(
-        "quality_key", F.col("quality_log_ratio") * sharpness + gumbel(seed))
+    out = score(docs, model.ratios, "quality_log_ratio", number="quality_n")
+    weight = shrunk(F.col("quality_log_ratio"), F.greatest("quality_n", F.lit(1)), *model.law) * sharpness
+    return out.withColumn("quality_key", weight + gumbel(seed)).drop("quality_n")
 
 
 def resample(docs: DataFrame, good: DataFrame, **options) -> DataFrame:

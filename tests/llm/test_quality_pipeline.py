@@ -91,3 +91,13 @@ def test_nothing_else_imports_the_operators():
     import pathlib
     root = pathlib.Path(sys.modules["panelmart.llm"].__file__).parent.parent
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and "panelmart.llm" in p.read_text()]
+
+
+def test_clean_texts_of_all_lengths_and_languages_stay(spark):
+    from pyspark.sql import functions as F
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    size = docs.select("doc_id", "lang", F.size(F.split(F.trim("text"), r"\s+")).alias("size"))
+    out = quality.resample(docs, quality.good_labels(labels)).join(labels, "doc_id").join(size, "doc_id").toPandas()
+    clean, junk = out[(out.quality == 1) & (out.toxic == 0)], out[out.quality == 0]
+    assert clean[clean["size"] < 20].kept.mean() >= 0.98 and junk.kept.mean() <= 0.05
+    assert (clean.groupby("lang").kept.mean() >= 0.97).all()
