@@ -4,7 +4,7 @@ Vectors are packed into blocks.  A block holds its vectors' int8 codes, their
 scales and exact quantisation errors.  Every block of queries meets every
 block of candidates in a tile: one matrix product of codes gives all cosines
 of the tile up to a bound.  A candidate whose upper bound is below a query's
-k-th highest lower bound can't be near; the survivors are computed again from
+k-th highest lower bound of different vec_ids can't be near; the survivors are computed again from
 the original vectors in double precision.  Heaps merge a query's hits over
 the tiles of a task, and a window over the tasks.  The result is exact.
 """
@@ -97,8 +97,12 @@ def tile(q: Block, c: Block, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]
     bound = q.errors[:, None] + (1 + q.errors[:, None]) * c.errors[None, :] + 1e-9
     own = q.ids[:, None] == c.ids[None, :]
     low = np.where(own, -np.inf, about - bound)
-    floor = (np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
-             if low.shape[1] > k else np.full(len(low), -np.inf))
+    # the best of each vec_id: rows that repeat one are one candidate
+    order = np.argsort(c.ids, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(c.ids[order]) != 0))
+    best = low if len(starts) == low.shape[1] else np.maximum.reduceat(low[:, order], starts, axis=1)
+    floor = (np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k]
+             if best.shape[1] > k else np.full(len(low), -np.inf))
     i, j = np.nonzero((about + bound >= floor[:, None]) & ~own)
     score = cosine(q.vectors[i], c.vectors[j])
     cuts = np.searchsorted(i, np.arange(len(q.ids) + 1))

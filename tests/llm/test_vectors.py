@@ -91,3 +91,20 @@ def test_threshold_keeps_recall():
     rng = np.random.default_rng(0)
     hits = (np.abs(rng.standard_normal((20_000, embeddup.PROJECTIONS))) <= embeddup.WINDOW).sum(axis=1)
     assert (hits >= t).mean() > 0.999
+
+
+def test_repeated_ids_do_not_prune_others():
+    from panelmart.llm.neighbours import Block, encode, tile
+    from panelmart.llm.vectors import unit
+    rng = np.random.default_rng(5)
+    q = rng.standard_normal((1, 32))
+    x = np.vstack([q + 0.01 * rng.standard_normal((6, 32)), rng.standard_normal((20, 32))])
+
+    def block(ids, v):
+        codes, scale, error = encode(unit(v))
+        return Block(len(v), 32, np.array(ids, np.int64).tobytes(), codes.tobytes(), scale.tobytes(),
+                     error.tobytes(), v.tobytes())
+
+    [(_, ids, score)] = tile(block([99], q), block([7] * 6 + list(range(100, 120)), x), 5)
+    true = np.argsort(-(unit(x[6:]) @ unit(q)[0]))[:4] + 100
+    assert {7, *true.tolist()} <= set(ids.tolist())
