@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmart.llm import (
-    chat, embeddup, html, minhash, mixing, neighbours, packing, quality, sharding, tokencount,
+    chat, embeddup, html, minhash, mixing, neighbours, nnlspacking, packing, quality, sharding, tokencount,
 )
 from panelmart.llm.common import cut_lineage, table
 
@@ -68,12 +68,17 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("mix_size") * F.size("mix_draws")).alias("taken"))
 
 
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nnlspacking.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_sharding, op4_nearest_neighbours,
         op5_minhash_near_dedup, op6_embedding_near_dedup, op7_token_counts, op8_quality_classifier, op9_chat_formatting,
-        op10_source_mixing)}
+        op10_source_mixing, op11_nnls_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
