@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmart.llm import (
-    chat, embeddup, html, minhash, mixing, neighbours, nnlspacking, packing, quality, sharding, tokencount,
+    chat, embeddup, fptree, hardneg, html, minhash, mixing, neighbours, nnlspacking, packing, quality, sharding, tokencount,
 )
 from panelmart.llm.common import cut_lineage, table
 
@@ -73,17 +73,28 @@ def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hardneg.mine(hardneg.with_noise(vectors, F.col("vec_id") % 50 == 0))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query for each operator."""
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_html_extraction, op3_sharding, op4_nearest_neighbours,
         op5_minhash_near_dedup, op6_embedding_near_dedup, op7_token_counts, op8_quality_classifier, op9_chat_formatting,
-        op10_source_mixing, op11_nnls_packing)}
+        op10_source_mixing, op11_nnls_packing, op12_lexical_search,
+        op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the operators that SQL can express."""
-    return {"op4_nearest_neighbours": OP4, "op6_embedding_near_dedup": OP6, "op5_minhash_near_dedup": OP5, "op9_chat_formatting": OP9}
+    return {"op4_nearest_neighbours": OP4, "op6_embedding_near_dedup": OP6, "op5_minhash_near_dedup": OP5, "op9_chat_formatting": OP9,
+            "op12_lexical_search": OP12, "op13_hard_negatives": OP13}
 
 
 #: Escaping adds one character for each control string or escape character.
@@ -166,3 +177,47 @@ WITH RECURSIVE {VECTORS}, l AS (
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM c LEFT JOIN n USING (vec_id)
 """
+
+#: Every document that shares a term with an item, scored.
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), i AS (
+  SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark
+), q AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(t) AS term FROM i) GROUP BY ALL
+), c AS (
+  SELECT count(*) FILTER (len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d
+), p AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p CROSS JOIN c GROUP BY term
+), s AS (
+  SELECT item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) CROSS JOIN c GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+#: All inner products of anchors and rows, exact in doubles.
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+), p AS (
+  SELECT a, b AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5
+)
+SELECT s.a AS anchor_id, p AS positive_id, CAST(row_number() OVER (PARTITION BY s.a, p ORDER BY score DESC, b) AS INTEGER) AS rank,
+  b AS negative_id, ps AS positive_score, score AS negative_score
+FROM s JOIN p ON s.a = p.a WHERE NOT same AND 50 * ps <= 100 * score AND 100 * score <= 95 * ps QUALIFY rank <= 3
+"""
