@@ -80,6 +80,9 @@ class PanelConfig:
     # the period (the evident intent); "reference": always null
     tier_guard: str = "distinct_values"
     growth_pad: bool = True
+    # how quantile edges are found: "sort" and "count" exactly, "sketch"
+    # approximately (see operators.quantiles.add_bins)
+    quantiles: str = "sort"
 
     def __post_init__(self):
         if self.year_start > self.year_end:
@@ -89,6 +92,8 @@ class PanelConfig:
                              f"{self.on_duplicate_edges!r}")
         if self.tier_guard not in ("distinct_values", "reference"):
             raise ValueError(f"tier_guard must be distinct_values or reference: {self.tier_guard!r}")
+        if self.quantiles not in ("sort", "count", "sketch"):
+            raise ValueError(f"quantiles must be sort, count or sketch: {self.quantiles!r}")
         if not 0.0 <= self.min_row_fraction <= 1.0:
             raise ValueError(f"min_row_fraction must be within [0, 1]: {self.min_row_fraction}")
         targets = [t for t, _ in self.donors]

@@ -69,18 +69,60 @@ def orphans(health: DataFrame, geo: DataFrame, key: str) -> DataFrame:
     return _result(m, "orphan_codes", "stg_health", F.lit(0), F.col("metric") == 0)
 
 
+def summarize(staging: dict, cfg: PanelConfig) -> DataFrame:
+    """One row with all numbers of V1-V6: rows, rows without an entity and
+    repeated keys of each table, and entities of the health table that the
+    geometry table lacks.
+
+    Each staging table is read once, its key columns only.  Rows are counted
+    by (table, entity, period), these counts by entity, and those added up:
+    both shuffles move counts that are combined before."""
+    e, p = cfg.entity, cfg.period
+    tables = list(staging)
+    rows = reduce(DataFrame.unionByName, [
+        df.select(F.lit(i).alias("t"), F.col(e).cast("string").alias("e"),
+                  (F.col(p).cast("long") if p in df.columns else F.lit(None).cast("long")).alias("p"))
+        for i, df in enumerate(staging.values())])
+    keys = rows.groupBy("t", "e", "p").agg(F.count(F.lit(1)).alias("n"))
+    mine = lambda i: F.col("t") == i
+    by_entity = keys.groupBy("e").agg(
+        *[F.sum(F.when(mine(i), F.col("n"))).alias(f"n{i}") for i in range(len(tables))],
+        *[F.count_if(mine(i) & (F.col("n") > 1)).alias(f"d{i}") for i in range(len(tables))])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = []
+    for i, t in enumerate(tables):
+        out += [total(f"n{i}").alias(f"{t}_rows"), total(f"d{i}").alias(f"{t}_repeated"),
+                total(F.when(F.col("e").isNull(), F.col(f"n{i}"))).alias(f"{t}_null")]
+    health, geo = (F.col(f"n{tables.index(t)}") for t in ("stg_health", "stg_geo"))
+    lost = health.isNotNull() & (geo.isNull() | F.col("e").isNull())
+    return by_entity.agg(*out, F.count_if(lost).alias("orphans"))
+
+
+def results(summary: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """The rows of V1-V5 (check, table, metric, threshold, passed)."""
+    three = ("stg_health", "stg_demography", "stg_environment")
+    least = F.floor(F.col("stg_geo_rows") * F.lit(cfg.n_years) * F.lit(cfg.min_row_fraction))
+    expected = F.lit(cfg.expected_entities) if cfg.expected_entities is not None else F.col("stg_geo_rows")
+    none = F.lit(0)
+    found = [*[("duplicate_keys", t, F.col(f"{t}_repeated"), none, F.col(f"{t}_repeated") == 0) for t in three],
+             *[("null_keys", t, F.col(f"{t}_null"), none, F.col(f"{t}_null") == 0) for t in three],
+             ("min_rows", "stg_health", F.col("stg_health_rows"), least, F.col("stg_health_rows") >= least),
+             ("entity_count", "stg_geo", F.col("stg_geo_rows"), expected, F.col("stg_geo_rows") == expected),
+             ("orphan_codes", "stg_health", F.col("orphans"), none, F.col("orphans") == 0)]
+    return summary.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), metric.cast("long").alias("metric"),
+                 limit.cast("long").alias("threshold"), ok.alias("passed")) for check, table, metric, limit, ok in found])))
+
+
 def run_checks(staging: dict, cfg: PanelConfig) -> DataFrame:
     """V1-V5 over the staging tables (stg_health, stg_demography,
-    stg_environment, stg_geo)."""
-    e, p = cfg.entity, cfg.period
-    three = {k: staging[k] for k in ("stg_health", "stg_demography", "stg_environment")}
-    return reduce(DataFrame.unionByName, [
-        duplicate_keys(three, [e, p]),
-        null_keys(three, e),
-        min_rows(staging["stg_health"], staging["stg_geo"], cfg),
-        entity_count(staging["stg_geo"], cfg),
-        orphans(staging["stg_health"], staging["stg_geo"], e),
-    ])
+    stg_environment, stg_geo), in one pass over each."""
+    return results(summarize(staging, cfg), cfg)
+
+
+def status_of(summary: dict, staging: dict) -> str:
+    """V6: one summary line with the staging row counts."""
+    return "valid|" + "|".join(f"{t}={summary[f'{t}_rows']}" for t in staging)
 
 
 def enforce(results: DataFrame) -> DataFrame:

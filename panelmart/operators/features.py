@@ -127,8 +127,8 @@ def add_features(panel: DataFrame, cfg: PanelConfig, only=None) -> DataFrame:
     if cfg.tier_guard == "reference":
         names.discard("_ndmi_tier")
     specs = [s for s in bin_specs(cfg) if s.name in names]
-    if specs:
-        # the quantile sort, the period statistics and the final projection
+    if specs and cfg.quantiles != "sketch":
+        # the quantile passes, the period statistics and the final projection
         # all read the panel: write it once (shared checkpoint folder) so its
         # joins run once and a lost executor restarts from the files
         df = cut_lineage(df, "panel")
@@ -146,7 +146,7 @@ def add_features(panel: DataFrame, cfg: PanelConfig, only=None) -> DataFrame:
         guards = {"_ndmi_tier": F.col("_ndmi_three")}
     if specs:
         df = add_bins(df, specs, on_duplicate=cfg.on_duplicate_edges, extra_by_period=stats,
-                      period=p, tiebreak=[e, p], guards=guards)
+                      period=p, tiebreak=[e, p], guards=guards, method=cfg.quantiles)
     elif stats is not None:
         df = df.join(F.broadcast(stats), p, "left")  # one row per period
     if "water_body_density_tier" in wanted:                                           # W6

@@ -42,6 +42,11 @@ def _edge_col(spec: BinSpec, i: int) -> str:
     return f"_{spec.name}_e{i}"
 
 
+def long_values(df: DataFrame, specs) -> DataFrame:
+    """All binned values stacked into (_s, _k, _v); one row per value."""
+    return _long_values(df, specs, [specs[0].value]).drop("_t")
+
+
 def _long_values(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     """All binned values stacked into (_s, _k, _v, _t); one row per value.
 
@@ -120,6 +125,19 @@ def edge_arrays(df: DataFrame, specs, tiebreak=None) -> DataFrame:
             .select("_s", "_k", "_n", F.transform("_h", edge).alias("_es")))
 
 
+def find_edges(df: DataFrame, specs, method: str, tiebreak=None) -> DataFrame:
+    """Edges (_s, _k, _n, _es) by one of the three methods."""
+    from panelmart.operators.selection import edge_arrays_by_counting
+    from panelmart.operators.sketches import edge_arrays_by_sketch
+    if method == "sort":
+        return edge_arrays(df, specs, tiebreak)
+    if method == "count":
+        return edge_arrays_by_counting(df, specs)
+    if method == "sketch":
+        return edge_arrays_by_sketch(df, specs)
+    raise ValueError(f"unknown method {method!r}")
+
+
 def quantile_edges(df: DataFrame, specs, tiebreak=None) -> DataFrame:
     """Long table (_s spec index, _k group key, _i edge index, _n, _e edge).
 
@@ -176,8 +194,9 @@ def bin_label(spec: BinSpec, on_duplicate: str = "error") -> F.Column:
 
 def add_bins(df: DataFrame, specs, on_duplicate: str = "error",
              extra_by_period: DataFrame | None = None, period: str | None = None,
-             tiebreak=None, guards: dict | None = None) -> DataFrame:
-    """Add one label column per spec.  Edge tables are joined by broadcast:
+             tiebreak=None, guards: dict | None = None, method: str = "sort") -> DataFrame:
+    """Add one label column per spec.  ``method`` finds the edges: "sort" and
+    "count" (:mod:`selection`) exactly, "sketch" (:mod:`sketches`) approximately.  Edge tables are joined by broadcast:
     they have one row per group, and groups are periods (bounded by the
     configured year range) or the single global group.
 
@@ -185,7 +204,7 @@ def add_bins(df: DataFrame, specs, on_duplicate: str = "error",
     ``extra_by_period``): where it is false the label is NULL and the bins
     are never evaluated, so a guarded-off group cannot raise."""
     specs = list(specs)
-    edges = edge_arrays(df, specs, tiebreak)
+    edges = find_edges(df, specs, method, tiebreak)
     out = df
     bys = sorted({s.by for s in specs if s.by is not None})
     for by in bys:

@@ -1,99 +1,198 @@
 """Region centroid from GeoJSON geometry (G1) and code from property.
 
-Planar area-weighted centroid in source coordinates, holes subtracted, over
-all parts of a (Multi)Polygon.  Each ring's signed area and first moments
-come from the shoelace formula evaluated with ``aggregate`` over the ring's
-points (JVM-side higher-order functions, no UDF).  Shells count positive
-and holes negative whatever their winding, as the common geometry
-libraries do.  One feature is one row and all work is per row: no shuffle.
+Planar centroid in source coordinates, of every geometry type.  The parts of
+the highest dimension count: areas (holes subtracted), else lengths, else
+points.  A polygon without area counts by the length of its rings, a line
+without length as a point, a collection by all that it holds.
+
+A geometry becomes an array of paths (points, lines and rings); each ring's
+signed area and first moments come from the shoelace formula evaluated with
+``aggregate`` over its points (JVM-side higher-order functions).  Shells count
+positive and holes negative whatever their winding, as the common geometry
+libraries do.  Sums are taken about the geometry's first vertex, so that a
+small region far from the origin keeps its digits.  One feature is one row
+and all work is per row: no shuffle.
 """
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from panelmart.functions.columns import normalize_code
+from panelmart.session import ship_package
 from panelmart.sources.readers import INPUT_ORDER
 
-_RING = ArrayType(ArrayType(DoubleType()))
+_POINT = ArrayType(DoubleType())
+_RING = ArrayType(_POINT)
 _POLY = ArrayType(_RING)
 _MULTI = ArrayType(_POLY)
+_PARTS = ArrayType(StructType([StructField("type", StringType()), StructField("coordinates", StringType())]))
 
+#: Kinds of paths.
+POINT, LINE, RING = range(3)
+#: A ring's area counts when it is more than this share of its squared length:
+#: rounding gives collinear rings areas of this size.
+FLAT = 1e-14
 
-def polygons(geometry_type, coordinates) -> F.Column:
-    """array<polygon> for Polygon or MultiPolygon JSON coordinates."""
-    t, c = F.col(geometry_type), F.col(coordinates)
-    return (F.when(t == "MultiPolygon", F.from_json(c, _MULTI))
-            .when(t == "Polygon", F.array(F.from_json(c, _POLY))))
 
+def flat_parts(geometries: str | None) -> list[dict] | None:
+    """The simple geometries in the JSON text of a collection's members, in
+    order, collections in collections at any depth included."""
+    if geometries is None:
+        return None
+    todo, out = [json.loads(geometries)], []
+    while todo:
+        g = todo.pop()
+        if isinstance(g, list):
+            todo.extend(reversed(g))
+        elif isinstance(g, dict) and g.get("geometries") is not None:
+            todo.append(g["geometries"])
+        elif isinstance(g, dict) and g.get("coordinates") is not None:
+            out.append({"type": g.get("type"), "coordinates": json.dumps(g["coordinates"])})
+    return out
 
-def _ring_sums(ring: F.Column) -> F.Column:
-    """struct(a, mx, my): twice the signed area and 6x first moments."""
-    n = F.size(ring)
-    idx = F.sequence(F.lit(0), n - 1)
 
-    def step(acc, i):
-        j = F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
-        x0, y0 = ring[i][0], ring[i][1]
-        x1, y1 = ring[j][0], ring[j][1]
-        cr = x0 * y1 - x1 * y0
-        return F.struct(
-            (acc["a"] + cr).alias("a"),
-            (acc["mx"] + (x0 + x1) * cr).alias("mx"),
-            (acc["my"] + (y0 + y1) * cr).alias("my"),
-        )
+def parts(features: DataFrame, geometry: str = "geometry") -> F.Column:
+    """array<type, coordinates text> of a feature's geometry.  Only
+    collections, whose nesting has no bound, go through Python."""
+    one = F.array(F.struct(F.col(f"{geometry}.type").alias("type"), F.col(f"{geometry}.coordinates").alias("coordinates")))
+    if "geometries" not in features.schema[geometry].dataType.names:
+        return one
+    ship_package(features.sparkSession)
+
+    @F.pandas_udf(_PARTS)
+    def flat(texts: pd.Series) -> pd.Series:
+        return texts.map(flat_parts)
+
+    inner = F.when(F.col(f"{geometry}.type") == "GeometryCollection", F.col(f"{geometry}.geometries"))
+    return F.when(inner.isNotNull(), flat(inner)).otherwise(one)
+
+
+def _at(values, i) -> F.Column:
+    """Element of an array, NULL where there is none."""
+    return F.get(values, F.lit(i) if isinstance(i, int) else i)
+
+
+def _path(kind: int, points, sign=None) -> F.Column:
+    return F.struct(F.lit(kind).alias("kind"), (F.lit(0.0) if sign is None else sign).alias("sign"), points.alias("points"))
+
+
+def _rings(poly) -> F.Column:
+    return F.transform(poly, lambda r, i: _path(RING, r, F.when(i == 0, 1.0).otherwise(-1.0)))
 
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    return F.aggregate(idx, zero, step)
 
+def paths(parts_col) -> F.Column:
+    """array<kind, sign, points> of the parts; empty ones are left out."""
+    def of(p):
+        t, c = p["type"], p["coordinates"]
+        read = lambda kind: F.from_json(c, kind)
+        return (F.when(t == "MultiPolygon", F.flatten(F.transform(read(_MULTI), _rings)))
+                .when(t == "Polygon", _rings(read(_POLY)))
+                .when(t == "MultiLineString", F.transform(read(_POLY), lambda x: _path(LINE, x)))
+                .when(t == "LineString", F.array(_path(LINE, read(_RING))))
+                .when(t == "MultiPoint", F.transform(read(_RING), lambda x: _path(POINT, F.array(x))))
+                .when(t == "Point", F.array(_path(POINT, F.array(read(_POINT))))))
 
-def _add(acc, x):
-    return F.struct((acc["a"] + x["a"]).alias("a"), (acc["mx"] + x["mx"]).alias("mx"),
-                    (acc["my"] + x["my"]).alias("my"))
+    found = F.flatten(F.array_compact(F.transform(parts_col, of)))
+    return F.filter(found, lambda p: p["points"].isNotNull() & (F.size(_at(p["points"], 0)) > 1))
 
 
-def _zero():
-    return F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _sums(**zero: float) -> F.Column:
+    return F.struct(*[F.lit(v).alias(k) for k, v in zero.items()])
 
 
-def _adjust(r, ri):
-    """Shell (ring 0) positive, holes negative, whatever their winding.
-    ``r`` is a lambda variable, so its fields are read, not recomputed."""
-    sign = F.when(ri == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-    orient = F.signum(r["a"])
-    return F.struct((F.abs(r["a"]) * sign).alias("a"), (r["mx"] * orient * sign).alias("mx"),
-                    (r["my"] * orient * sign).alias("my"))
+def _plus(acc, **more) -> F.Column:
+    return F.struct(*[(acc[k] + v).alias(k) for k, v in more.items()])
 
 
-def with_centroid(df: DataFrame, polys: F.Column, lat: str = "latitude",
-                  lon: str = "longitude") -> DataFrame:
-    """Add planar centroid columns for an array of polygons.
+def _about(points, i, o) -> tuple[F.Column, F.Column]:
+    """A point of a path, seen from ``o``."""
+    return _at(_at(points, i), 0) - _at(o, 0), _at(_at(points, i), 1) - _at(o, 1)
 
-    Evaluated per row with higher-order functions (no shuffle) in three
-    projections, so every ring's sums are computed once and then read."""
-    rings = F.transform(polys, lambda poly: F.transform(poly, _ring_sums))
-    adj = F.flatten(F.transform(F.col("_rings"),
-                                lambda poly: F.transform(poly, lambda r, ri: _adjust(r, ri))))
-    tot = F.col("_tot")
-    area3 = F.nullif(tot["a"] * F.lit(3.0), F.lit(0.0))
-    return (df.withColumn("_rings", rings)
-            .withColumn("_tot", F.aggregate(adj, _zero(), _add))
-            .withColumns({lat: tot["my"] / area3, lon: tot["mx"] / area3})
-            .drop("_rings", "_tot"))
+
+def _ring_area(path, o) -> F.Column:
+    """struct(a, mx, my): twice the area and 6x first moments about ``o``,
+    shells positive, holes negative, whatever their winding."""
+    ring = path["points"]
+    n = F.size(ring)
+
+    def step(acc, i):
+        j = F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
+        (x0, y0), (x1, y1) = _about(ring, i, o), _about(ring, j, o)
+        cross = x0 * y1 - x1 * y0
+        return _plus(acc, a=cross, mx=(x0 + x1) * cross, my=(y0 + y1) * cross)
+
+    def signed(s):
+        turn = F.signum(s["a"]) * path["sign"]
+        return F.struct((s["a"] * turn).alias("a"), (s["mx"] * turn).alias("mx"), (s["my"] * turn).alias("my"))
+
+    return F.aggregate(F.sequence(F.lit(0), n - 1), _sums(a=0.0, mx=0.0, my=0.0), step, signed)
+
+
+def _length(path, o) -> F.Column:
+    """struct(len, lx, ly, closed): a path's length, the sums of its segments'
+    lengths times their middles about ``o``, and the squared length of a ring;
+    rings are closed."""
+    points = path["points"]
+    n = F.size(points)
+    last = F.when(path["kind"] == RING, n - 1).otherwise(n - 2)
+
+    def step(acc, i):
+        j = F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
+        (x0, y0), (x1, y1) = _about(points, i, o), _about(points, j, o)
+        d = F.hypot(x1 - x0, y1 - y0)
+        return _plus(acc, len=d, lx=d * (x0 + x1) / 2.0, ly=d * (y0 + y1) / 2.0)
+
+    steps = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    closed = lambda s: F.struct(s["len"].alias("len"), s["lx"].alias("lx"), s["ly"].alias("ly"), F.when(
+        path["kind"] == RING, s["len"] * s["len"]).otherwise(0.0).alias("closed"))
+    return F.aggregate(steps, _sums(len=0.0, lx=0.0, ly=0.0), step, closed)
+
+
+def with_centroid(df: DataFrame, parts_col, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Add planar centroid columns for an array of simple geometries.
+
+    Evaluated per row in a few projections, so that each sum is computed
+    once and then read; lengths only where the areas don't decide."""
+    p, o = F.col("_paths"), F.col("_origin")
+    area = F.transform(F.filter(p, lambda x: x["kind"] == RING), lambda x: _ring_area(x, o))
+    total = F.aggregate(area, _sums(a=0.0, mx=0.0, my=0.0), lambda acc, s: _plus(acc, a=s["a"], mx=s["mx"], my=s["my"]))
+    lengths = F.transform(F.filter(p, lambda x: x["kind"] != POINT), lambda x: _length(x, o))
+    length = F.aggregate(F.col("_lengths"), _sums(len=0.0, lx=0.0, ly=0.0, closed=0.0),
+                         lambda acc, s: _plus(acc, len=s["len"], lx=s["lx"], ly=s["ly"], closed=s["closed"]))
+    # where no path has a length, each is a point
+    point = F.aggregate(p, _sums(n=0.0, px=0.0, py=0.0), lambda acc, x: _plus(
+        acc, n=F.lit(1.0), px=_about(x["points"], 0, o)[0], py=_about(x["points"], 0, o)[1]))
+    t, ln, pt = F.col("_total"), F.col("_length"), F.col("_point")
+
+    def at(axis: int, m: str, l: str, q: str) -> F.Column:  # noqa: E741
+        return _at(o, axis) + (F.when(F.col("_flat"), F.when(ln["len"] > 0, ln[l] / ln["len"]).when(pt["n"] > 0, pt[q] / pt["n"]))
+                          .otherwise(t[m] / (t["a"] * 3.0)))
+
+    out = (df.withColumn("_paths", paths(parts_col)).withColumn("_origin", _at(_at(p, 0)["points"], 0))
+           .withColumn("_total", total)
+           .withColumn("_lengths", lengths).withColumn("_length", length)
+           .withColumn("_flat", F.abs(t["a"]) <= FLAT * ln["closed"])
+           .withColumn("_point", F.when(F.col("_flat") & (ln["len"] == 0), point)))
+    return (out.withColumns({lat: at(1, "my", "ly", "py"), lon: at(0, "mx", "lx", "px")})
+            .drop("_paths", "_origin", "_total", "_lengths", "_length", "_flat", "_point"))
 
 
 def centroids(features: DataFrame, id_field: str = "ID_KAB", name_field: str = "KABKOT",
               code_col: str = "kode_bps", name_col: str = "nama_geo") -> DataFrame:
-    """features(properties, geometry{type, coordinates}) ->
-    (code, name, latitude, longitude).  A feature without area gets NULLs.
+    """features(properties, geometry{type, coordinates, geometries}) ->
+    (code, name, latitude, longitude).  A feature without a geometry, or with
+    an empty one, gets NULLs; ``geometries`` (text) may be left out.
     A recorded ``_input_order`` is passed through (stg_geo keeps the first
     feature per code as the file lists it)."""
     keep = [INPUT_ORDER] if INPUT_ORDER in features.columns else []
     base = features.select(
         normalize_code(F.col(f"properties.{id_field}")).alias(code_col),
         F.col(f"properties.{name_field}").alias(name_col),
-        polygons("geometry.type", "geometry.coordinates").alias("_polys"), *keep)
-    return with_centroid(base, F.col("_polys")).select(code_col, name_col, "latitude", "longitude",
-                                                       *keep)
+        parts(features).alias("_parts"), *keep)
+    return with_centroid(base, F.col("_parts")).select(code_col, name_col, "latitude", "longitude", *keep)

@@ -58,7 +58,7 @@ def run_record(fact: DataFrame, dim_r: DataFrame, dim_p: DataFrame, cfg: PanelCo
     """One row describing the load: one aggregate over the fact, the
     dimension counts as scalar subqueries."""
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    rid = run_id if run_id is not None else uuid.uuid4().int >> 65
+    rid = run_id if run_id is not None else new_run_id()
     f = fact.agg(F.count(F.lit(1)).alias("fact_rows"),
                  F.count_if(F.col("is_imputed")).alias("imputed_rows"),
                  F.count_if(F.col("incidence_rate").isNull()).alias("null_ir_rows"))
@@ -90,43 +90,134 @@ def ensure_tables(spark: SparkSession, database: str, location: str) -> None:
         spark.sql(stmt)
 
 
+class PublishConflict(RuntimeError):
+    """Another run published since this one began."""
+
+
+def new_run_id() -> int:
+    return uuid.uuid4().int >> 65
+
+
+def run_folder(root: str, run_id: int) -> str:
+    """Folder of everything one run writes: no two runs share a path."""
+    return f"{root.rstrip('/')}/runs/{run_id}"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its Path class (the one that
+    Spark's own readers and writers use)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    kind = jvm.org.apache.hadoop.fs.Path
+    return kind(path).getFileSystem(conf), kind
+
+
+def _chain(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
+
+
+def versions(spark: SparkSession, root: str, last: int | None = None) -> list[tuple[int, int]]:
+    """(version, run id) of all publishes, or the ``last`` ones, oldest
+    first: one small file each, whose text is the run id."""
+    fs, path = _filesystem(spark, root)
+    if not fs.exists(path(_chain(root))):
+        return []
+    names = sorted(n for n in (s.getPath().getName() for s in fs.listStatus(path(_chain(root)))) if n[:1] == "v")
+    out = []
+    for name in names[-last:] if last else names:
+        stream = fs.open(path(f"{_chain(root)}/{name}"))
+        try:
+            out.append((int(name[1:]), stream.readLong()))
+        finally:
+            stream.close()
+    return out
+
+
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the newest publish; 0 before the first."""
+    newest = versions(spark, root, 1)
+    return newest[-1][0] if newest else 0
+
+
+def commit(spark: SparkSession, root: str, run_id: int, read: int) -> int:
+    """Make a run the newest version, if version ``read`` still is.
+
+    The version's file is written under another name and renamed, which
+    fails where it exists: of two runs that began from one version the first
+    wins, the other gets :class:`PublishConflict` and stays unseen."""
+    fs, path = _filesystem(spark, root)
+    if current_version(spark, root) != read:
+        raise PublishConflict(f"version {read} is no longer the newest")
+    fs.mkdirs(path(_chain(root)))
+    draft, final = path(f"{_chain(root)}/draft-{run_id}"), path(f"{_chain(root)}/v{read + 1:012d}")
+    stream = fs.create(draft, True)
+    try:
+        stream.writeLong(run_id)
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(final).toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(final), none)
+    except Exception as e:
+        fs.delete(draft, False)
+        raise PublishConflict(f"version {read + 1} is taken by another run") from e
+    return read + 1
+
+
 def publish(spark: SparkSession, root: str, tables: dict, run_id: int | None = None,
-            partition_by: dict | None = None) -> int:
+            partition_by: dict | None = None, read: int | None = None) -> int:
     """K2: write every warehouse table of one run under ``root/runs/<id>``,
-    then append the run id to ``root/_published``.  Readers resolve the
-    newest published run, so they never see a half-written load (the
-    switch is the single append, committed after all tables are written).
+    then make the run the newest version.  Readers resolve the newest
+    version, so they never see a half-written load.
 
+    ``read`` is the version that the run began from (default: the newest
+    now): if another run was published in between, this one is not.
     ``partition_by`` maps a table to its partition columns (the fact by
     period: a handful of directories, and period filters - also the
     latest-period subquery - prune files at scan time)."""
-    rid = run_id if run_id is not None else uuid.uuid4().int >> 65
-    base = f"{root.rstrip('/')}/runs/{rid}"
+    rid = run_id if run_id is not None else new_run_id()
+    read = current_version(spark, root) if read is None else read
+    base = run_folder(root, rid)
     partition_by = partition_by or {}
     for name, df in tables.items():
         cols = partition_by.get(name)
         if cols:
             df = df.sortWithinPartitions(*cols)  # one open file per task at a time
         write_table(df, f"{base}/{name}", mode="overwrite", partition_by=cols)
-    marker = spark.createDataFrame(
-        [(rid, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-        "run_id long, published_at timestamp")
-    write_table(marker.coalesce(1), f"{root.rstrip('/')}/_published", mode="append")
+    commit(spark, root, rid, read)
     return rid
 
 
 def latest_run_id(spark: SparkSession, root: str) -> int:
-    row = (spark.read.parquet(f"{root.rstrip('/')}/_published")
-           .orderBy(F.col("published_at").desc(), F.col("run_id").desc()).first())
-    if row is None:
+    newest = versions(spark, root, 1)
+    if not newest:
         raise FileNotFoundError(f"nothing published under {root}")
-    return row["run_id"]
+    return newest[-1][1]
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read table ``name`` of the newest published run."""
-    rid = latest_run_id(spark, root)
-    return spark.read.parquet(f"{root.rstrip('/')}/runs/{rid}/{name}")
+    return spark.read.parquet(f"{run_folder(root, latest_run_id(spark, root))}/{name}")
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2, grace_hours: float = 24.0) -> list[int]:
+    """Delete the folders of runs that are neither among the ``keep`` newest
+    versions nor younger than ``grace_hours`` (a run may still be writing, a
+    reader may still read).  The run ids deleted are returned."""
+    fs, path = _filesystem(spark, root)
+    runs = path(f"{root.rstrip('/')}/runs")
+    if not fs.exists(runs):
+        return []
+    kept = {run for _, run in versions(spark, root, keep)} if keep else set()
+    limit = _dt.datetime.now().timestamp() * 1000 - grace_hours * 3.6e6
+    gone = []
+    for status in fs.listStatus(runs):
+        run = status.getPath().getName()
+        if run.isdigit() and int(run) not in kept and status.getModificationTime() <= limit:
+            fs.delete(status.getPath(), True)
+            gone.append(int(run))
+    return gone
 
 
 def append_run_log(run: DataFrame, root: str) -> None:

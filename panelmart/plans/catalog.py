@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmart.functions.columns import normalize_code, round_doubles
-from panelmart.operators import checks, clean, features, panel, reports, spatial, star
+from panelmart.operators import checks, clean, features, keys, panel, reports, sketches, spatial, star
 from panelmart.plans import pipeline as pl
 from panelmart.schemas import FACT_COLUMNS
 from panelmart.sources import driver_tables as dt
@@ -159,6 +159,35 @@ def q_standardize_sample(spark, d):
     return out.select(*KEYS, *[features.zscore_samp(x).alias(f"z_{x}") for x in cols])
 
 
+BINNED = ("lst_quartile_rank", "water_body_density_tier", "ir_q", "kepadatan_quartile")
+
+
+def q_binned_by_counting(spark, d):
+    """A11, W4, W6, W10, W12 with edges found by counting, customer panel."""
+    return Ctx(spark, d, "customer", quantiles="count").feat(*BINNED).select(*KEYS, *BINNED)
+
+
+def _sketched(*cols):
+    return lambda spark, d: Ctx(spark, d, quantiles="sketch").feat(*cols[1:]).select(*KEYS, *cols)
+
+
+def q_quantile_sketch_error(spark, d):
+    """Per binned column and group of the customer panel: values, and whether
+    every sketched edge keeps the sketch's rank error (three times the error
+    that it keeps with 99 % confidence)."""
+    c = Ctx(spark, d, "customer")
+    specs = features.bin_specs(c.cfg)
+    base = c.panel.withColumn("incidence_rate", features.incidence_rate(
+        "jumlah_kasus_dbd", "kepadatan_penduduk", "luas_km2"))
+    edges = sketches.edge_arrays_by_sketch(base, specs)
+    names = F.array(*[F.lit(s.name.lstrip("_")) for s in specs])
+    worst = (sketches.rank_errors(base, specs, edges).groupBy("_s", "_k")
+             .agg(F.max("_error").alias("_error")))
+    return edges.join(worst, ["_s", "_k"]).select(
+        names[F.col("_s")].alias("bin"), F.col("_k").alias("tahun"), F.col("_n").alias("n"),
+        (F.col("_error") <= 3 * sketches.rank_error()).alias("within"))
+
+
 def q_dim(name):
     return lambda spark, d: getattr(Ctx(spark, d), name)
 
@@ -232,6 +261,28 @@ def q_check_orphans(spark, d):
     return checks.orphans(c.stg.health, c.stg.geo, "kode_bps")
 
 
+def q_checks_one_pass(spark, d):
+    """V1-V5 together, each staging table read once."""
+    c = Ctx(spark, d)
+    return checks.run_checks(_staging_dict(c), c.cfg)
+
+
+def q_stable_fact_keys(spark, d):
+    """The facts of the first years get numbers, then all facts do; the
+    first ones keep theirs."""
+    c = Ctx(spark, d, "customer")
+    grain = c.stg.health.select(*KEYS)
+    first = keys.extend(grain.where("tahun <= 1998"), None, KEYS)
+    return keys.attach(grain, keys.extend(grain, first, KEYS), KEYS).select(*KEYS, "fact_id")
+
+
+def q_published_fact_keys(spark, d):
+    """D4 in the batch job: the ids in the published fact after two runs."""
+    c, root = _published_run(spark, d)
+    pl.run(spark, c.raw, c.cfg, root, run_at=RUN_AT)
+    return star.read_published(spark, root, "fact_panel").select(*KEYS, "fact_id")
+
+
 def q_table_row_counts(spark, d):
     c = Ctx(spark, d)
     t = dict(_staging_dict(c))
@@ -254,6 +305,28 @@ def q_centroids(spark, d):
     return spatial.centroids(Ctx(spark, d, "customer").raw.features)
 
 
+def q_centroids_all_types(spark, d):
+    """G1 for points, lines, flat rings and nested collections: one geometry
+    of each kind in turn, drawn from the customers' columns."""
+    c = dt.table(spark, d, "customer")
+    x, y = F.col("c_nationkey").cast("double"), F.col("c_acctbal") / 1000.0
+    s, i = F.lit(1.0) + F.col("c_nationkey") / 5.0, F.col("c_custkey") % 6
+    at = lambda *pts: F.array(*[F.array(x + s * a, y + s * b) for a, b in pts])
+    json_of = lambda kind, coords: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), F.to_json(coords), F.lit("}"))
+    kinds = ["Point", "MultiPoint", "LineString", "MultiLineString", "Polygon"]
+    coords = [F.array(x, y), at((0, 0), (1, 0), (0, 1)), at((0, 0), (1, 0), (1, 2)),
+              F.array(at((0, 0), (1, 0)), at((0, 1), (0, 3))), F.array(at((0, 0), (1, 0), (2, 0), (0, 0)))]
+    square = json_of("Polygon", F.array(at((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))))
+    members = F.concat(F.lit("["), json_of("Point", F.array(x - 9.0, y)), F.lit(',{"type":"GeometryCollection","geometries":['),
+                       json_of("LineString", at((0, 0), (7, 7))), F.lit(","), square, F.lit("]}]"))
+    kind, text = F.lit("GeometryCollection"), F.lit(None).cast("string")
+    for n, (k, v) in enumerate(zip(kinds, coords, strict=True)):
+        kind, text = F.when(i == n, k).otherwise(kind), F.when(i == n, F.to_json(v)).otherwise(text)
+    return spatial.centroids(c.select(
+        F.struct(F.col("c_custkey").cast("string").alias("ID_KAB"), F.col("c_name").alias("KABKOT")).alias("properties"),
+        F.struct(kind.alias("type"), text.alias("coordinates"), F.when(i == 5, members).alias("geometries")).alias("geometry")))
+
+
 def q_csv_source_roundtrip(spark, d):
     """S1 + K5: the raw environment table (mixed-case headers) exported as
     CSV to the shared folder, read back with an explicit schema and
@@ -286,6 +359,63 @@ def q_geojson_source_roundtrip(spark, d):
             .drop(readers.INPUT_ORDER))
 
 
+def q_geojson_collection(indent):
+    """S5 + G1/G2: the customer polygons as one FeatureCollection document,
+    on one line or indented, read in byte ranges and reduced to centroids."""
+    def run(spark, d):
+        import uuid
+
+        from panelmart.session import shared_dir
+        from panelmart.sources import readers
+        path = shared_dir(spark, f"exports/collection-{uuid.uuid4().hex}")
+        feats = Ctx(spark, d, "customer").raw.features
+        text = F.to_json(F.struct(F.lit("Feature").alias("type"), "properties", F.struct(
+            "geometry.type", F.parse_json("geometry.coordinates").alias("coordinates")).alias("geometry")),
+            {"pretty": str(bool(indent)).lower()})
+        ends = spark.createDataFrame([(0, '{"type": "FeatureCollection", "features": ['), (2, "null]}")], "o int, value string")
+        # a stand-in document is one file: its parts are written one after another
+        (feats.select(F.lit(1).alias("o"), F.concat(text, F.lit(",")).alias("value")).unionByName(ends)
+         .coalesce(1).sortWithinPartitions("o").select("value")
+         .write.mode("overwrite").option("lineSep", "\n" if indent else " ").text(path))
+        return spatial.centroids(readers.read_geojson(spark, path)).drop(readers.INPUT_ORDER)
+    return run
+
+
+def _exported(spark, df, name):
+    """``df`` written as CSV to a fresh folder of the shared store."""
+    import uuid
+
+    from panelmart.session import shared_dir
+    from panelmart.sources import readers
+    path = shared_dir(spark, f"exports/{name}-{uuid.uuid4().hex}")
+    readers.write_csv(df, path)
+    return path
+
+
+def q_csv_inferred_schema(spark, d):
+    """Types and cell kinds found in a CSV export of the orders."""
+    from panelmart.sources import inference
+    o = dt.table(spark, d, "orders")
+    path = _exported(spark, o.select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("maybe_custkey"), "o_totalprice",
+        (F.col("o_orderstatus") == "F").alias("is_final"), "o_orderpriority",
+        F.when(F.col("o_orderstatus") == "O", F.lit("NA")).otherwise(F.col("o_totalprice").cast("string")).alias("price_text"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("n/a")).alias("all_missing")), "orders")
+    return inference.infer(inference.read_text(spark, path))
+
+
+def q_csv_rejected_cells(spark, d):
+    """Cells of a CSV export of the customers that don't parse where
+    whole balances, numeric segments and keys are declared."""
+    from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+
+    from panelmart.sources import inference
+    schema = StructType([StructField("c_custkey", LongType()), StructField("c_acctbal", IntegerType()),
+                         StructField("c_mktsegment", DoubleType())])
+    raw = inference.read_text(spark, _exported(spark, dt.table(spark, d, "customer"), "customer"))
+    return inference.rejected_cells(raw, schema).select("column", "text", "expected")
+
+
 def _published_run(spark, d):
     """The whole batch job into a fresh warehouse folder on the shared store."""
     import uuid
@@ -361,6 +491,8 @@ QUERIES = {
     "fact_panel": q_fact_panel,
     "run_record": q_run_record,
     "published_fact": q_published_fact,
+    "published_fact_keys": q_published_fact_keys,
+    "stable_fact_keys": q_stable_fact_keys,
     "published_quality_report": q_published_quality_report,
     # step 7: reports
     "vulnerability_map": q_vulnerability_map,
@@ -374,14 +506,25 @@ QUERIES = {
     "check_min_rows": q_check_min_rows,
     "check_entity_count": q_check_entity_count,
     "check_orphans": q_check_orphans,
+    "checks_one_pass": q_checks_one_pass,
     "table_row_counts": q_table_row_counts,
     "spatial_check": q_spatial_check,
     "orphan_facts": q_orphan_facts,
     # step 9: geometry; densify option
     "centroids": q_centroids,
+    "centroids_all_types": q_centroids_all_types,
     "csv_source_roundtrip": q_csv_source_roundtrip,
+    "geojson_collection_line": q_geojson_collection(False),
+    "geojson_collection_indented": q_geojson_collection(True),
+    "csv_inferred_schema": q_csv_inferred_schema,
+    "csv_rejected_cells": q_csv_rejected_cells,
     "geojson_source_roundtrip": q_geojson_source_roundtrip,
     "densify": q_densify,
+    # step 10: edges by counting and by sketches
+    "binned_by_counting": q_binned_by_counting,
+    "lst_quartile_sketched": _sketched("lst_celsius", "lst_quartile_rank"),
+    "density_quartile_sketched": _sketched("kepadatan_penduduk", "kepadatan_quartile"),
+    "quantile_sketch_error": q_quantile_sketch_error,
     # trap options
     "water_tier_reference": q_water_tier_reference,
     "yoy_growth_unpadded": q_yoy_growth_unpadded,

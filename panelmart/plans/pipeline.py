@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from panelmart.config import PanelConfig
-from panelmart.operators import checks, clean, features, panel, spatial, star
+from panelmart.operators import checks, clean, features, keys, panel, spatial, star
 from panelmart.sources.driver_tables import RawSources
 
 
@@ -67,41 +67,53 @@ def build_star(feat: DataFrame, cfg: PanelConfig) -> Star:
 
 
 def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
-        enforce_checks: bool = True, run_at=None) -> dict:
+        enforce_checks: bool = True, run_at=None, keep_runs: int = 2) -> dict:
     """Full refresh: returns {'run_id', 'checks', 'status', 'load_status',
     'unmatched_names', 'imputation_leaks'}; the last two are DataFrames of
     the rows that mapping and imputation left without a value.
 
-    Staging is written under ``root/staging`` and checked (all failures in
-    one error); the feature panel is written under ``root/work``; the star
-    tables are published atomically (see ``star.publish``); the run record
-    is appended to ``root/pipeline_runs`` only after a successful publish.
+    All that a run writes lies under ``root/runs/<id>``, so that runs never
+    touch each other's files.  Staging is written there and checked in one
+    pass (all failures in one error), then the feature panel, then the star
+    tables.  The fact's ids come from the key map of the version the run
+    began from, with new keys added; they stay the same from run to run.  The
+    run becomes the newest version only if no other was published meanwhile
+    (else ``star.PublishConflict``); then the run record is appended to
+    ``root/pipeline_runs`` and runs older than the ``keep_runs`` newest expire.
     """
     root = root.rstrip("/")
+    began = star.versions(spark, root, 1)
+    read = began[-1][0] if began else 0
+    run_id = star.new_run_id()
+    base = star.run_folder(root, run_id)
     stg = build_staging(raw, cfg)
     for name, df in stg.as_dict().items():
-        df.write.mode("overwrite").parquet(f"{root}/staging/{name}")
-    stg = Staging(*[spark.read.parquet(f"{root}/staging/{n}")
+        df.write.parquet(f"{base}/staging/{name}")
+    stg = Staging(*[spark.read.parquet(f"{base}/staging/{n}")
                     for n in ("stg_health", "stg_demography", "stg_environment", "stg_geo")])
-    res = checks.run_checks(stg.as_dict(), cfg)  # a few rows; recomputed from staging files
+    one = checks.summarize(stg.as_dict(), cfg).first().asDict()  # a single row of counts
+    res = checks.results(spark.createDataFrame([one], ", ".join(f"{c} long" for c in one)), cfg)
     if enforce_checks:
         checks.enforce(res)
-    status = checks.status_line(stg.as_dict())
+    status = checks.status_of(one, stg.as_dict())
     feat = build_features(stg, cfg)
-    feat.write.mode("overwrite").parquet(f"{root}/work/panel_features")
-    feat = spark.read.parquet(f"{root}/work/panel_features")
+    feat.write.parquet(f"{base}/work/panel_features")
+    feat = spark.read.parquet(f"{base}/work/panel_features")
     s = build_star(feat, cfg)
-    run_id = star.publish(spark, root, {"dim_region": s.dim_region, "dim_period": s.dim_period,
-                                        "fact_panel": s.fact},
-                          partition_by={"fact_panel": [cfg.period]})
-    fact = star.read_published(spark, root, "fact_panel")
-    rec = star.run_record(fact, star.read_published(spark, root, "dim_region"),
-                          star.read_published(spark, root, "dim_period"), cfg,
+    on = ["kode_bps", "tahun"]  # the fact's names of entity and period
+    known = spark.read.parquet(f"{star.run_folder(root, began[-1][1])}/fact_keys") if began else None
+    keys.extend(s.fact, known, on).write.parquet(f"{base}/fact_keys")
+    fact = keys.attach(s.fact, spark.read.parquet(f"{base}/fact_keys"), on)
+    star.publish(spark, root, {"dim_region": s.dim_region, "dim_period": s.dim_period, "fact_panel": fact},
+                 run_id=run_id, partition_by={"fact_panel": [cfg.period]}, read=read)
+    mine = lambda name: spark.read.parquet(f"{base}/{name}")
+    rec = star.run_record(mine("fact_panel"), mine("dim_region"), mine("dim_period"), cfg,
                           run_at=run_at, run_id=run_id)
     star.append_run_log(rec, root)
     r = spark.read.parquet(f"{root}/pipeline_runs").where(f"run_id = {run_id}").first()
     load_status = (f"loaded|regions={r['n_regions']}|periods={r['n_years']}|fact={r['fact_rows']}"
                    f"|imputed={r['imputed_rows']}|null_ir={r['null_ir_rows']}")
+    star.expire(spark, root, keep=keep_runs)
     unmatched = clean.unmatched_names(clean.rename_environment(raw.environment), raw.mapping,
                                       "nama_env", cfg.entity)
     return {"run_id": run_id, "checks": res, "status": status, "load_status": load_status,

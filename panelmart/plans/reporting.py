@@ -14,7 +14,7 @@ def published_reports(spark: SparkSession, root: str, cfg: PanelConfig) -> dict[
     dim_r = star.read_published(spark, root, "dim_region")
     dim_p = star.read_published(spark, root, "dim_period")
     runs = spark.read.parquet(f"{root.rstrip('/')}/pipeline_runs")
-    staging = {n: spark.read.parquet(f"{root.rstrip('/')}/staging/{n}")
+    staging = {n: star.read_published(spark, root, f"staging/{n}")
                for n in ("stg_health", "stg_demography", "stg_environment", "stg_geo")}
     return {
         "surge_trend": reports.surge_trend(fact, dim_r, cfg),

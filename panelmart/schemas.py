@@ -50,7 +50,8 @@ PIPELINE_RUNS = _s(
     ("n_years", L), ("fact_rows", L), ("imputed_rows", L), ("null_ir_rows", L), ("status", S),
 )
 
-# GeoJSON: coordinates kept as JSON text, parsed per geometry type later
+# GeoJSON: coordinates (and a collection's members) kept as JSON text, parsed
+# per geometry type later
 GEOJSON_FEATURE_COLLECTION = StructType([
     StructField("type", S),
     StructField("features", ArrayType(
@@ -59,7 +60,8 @@ GEOJSON_FEATURE_COLLECTION = StructType([
             StructField("properties", StructType([
                 StructField("ID_KAB", S), StructField("KABKOT", S)])),
             StructField("geometry", StructType([
-                StructField("type", S), StructField("coordinates", S)])),
+                StructField("type", S), StructField("coordinates", S),
+                StructField("geometries", S)])),
         ]))),
 ])
 

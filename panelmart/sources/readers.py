@@ -37,7 +37,7 @@ def input_order() -> F.Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
-def _cast(name: str, kind: DataType) -> Column:
+def cast_cell(name: str, kind: DataType) -> Column:
     """``try_cast``; a whole number may be written as a float (2019.0)."""
     if isinstance(kind, IntegralType):
         number = F.col(name).try_cast("decimal(38,6)")
@@ -58,7 +58,7 @@ def conform(df: DataFrame, schema: StructType, lowercase: bool = False,
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
     out = df.select(*[
-        _cast(f.name, f.dataType).alias(f.name) for f in schema.fields
+        cast_cell(f.name, f.dataType).alias(f.name) for f in schema.fields
     ], *keep)
     return nan_to_null_all(out)
 
@@ -125,12 +125,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str | None = None, query: st
 
 
 def read_geojson(spark: SparkSession, path, per_line: bool = False,
-                 schema: StructType = GEOJSON_FEATURE_COLLECTION) -> DataFrame:
+                 schema: StructType = GEOJSON_FEATURE_COLLECTION, split: bool = True) -> DataFrame:
     """GeoJSON features -> one row per feature.
 
-    A FeatureCollection document is one multi-line JSON value (one task per
-    file), so at scale give many files or ``per_line=True`` (one feature per
-    line, fully splittable).  Coordinates stay JSON text here; the spatial
+    A FeatureCollection document is cut into byte ranges that many tasks
+    read (:mod:`feature_collection`; its chunks are written to the shared folder).
+    ``per_line=True`` reads one feature per line; ``split=False`` gives a
+    whole document to one task and writes nothing.  Coordinates stay JSON text here; the spatial
     operator parses them per geometry type.  Output columns: ``properties``
     (struct), ``geometry`` (struct<type, coordinates>) and ``_input_order``.
     """
@@ -138,6 +139,9 @@ def read_geojson(spark: SparkSession, path, per_line: bool = False,
         feat_schema = schema["features"].dataType.elementType
         df = spark.read.schema(feat_schema).json(path)
         return df.select("properties", "geometry", input_order().alias(INPUT_ORDER))
+    if split:
+        from panelmart.sources.feature_collection import read_feature_collection
+        return read_feature_collection(spark, path, schema["features"].dataType.elementType)
     df = spark.read.schema(schema).option("multiLine", "true").json(path)
     # one document is read by one task: rebalance the exploded features so
     # the per-feature work is spread over many tasks (AQE sizes the split);

@@ -19,7 +19,7 @@ def test_pipeline_run_publish_and_runlog(spark, tmp_root):
     assert r1["status"].startswith("valid|")
     assert r1["checks"].where(~F.col("passed")).count() == 0
     fact = star.read_published(spark, tmp_root, "fact_panel")
-    health_rows = spark.read.parquet(f"{tmp_root}/staging/stg_health").count()
+    health_rows = star.read_published(spark, tmp_root, "staging/stg_health").count()
     assert fact.count() == health_rows  # the panel keeps the health grain
     assert fact.select("fact_id").distinct().count() == health_rows
     r2 = pipeline.run(spark, raw, c, tmp_root, run_at=dt.datetime(2024, 2, 1))
