@@ -17,6 +17,7 @@ piece's address follows from its length and its number among equal lengths.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,27 +40,74 @@ TRIPLES = 512
 LEAST = 64
 #: Steps of the solver, and the gain of a step below which it stops.
 STEPS, GAIN = 300, 1e-4
-#: Bytes of remembered words in a worker, and of text worked on at a time.
-REMEMBERED_BYTES = 48_000_000
+#: Bytes of remembered words in a worker, counting ``ENTRY`` for each one's
+#: objects, and of text worked on at a time.
+REMEMBERED_BYTES, ENTRY = 192_000_000, 170
 SLICE = 4_000_000
 
+#: Two-byte UTF-8 letters: the lower-case ones up to U+00FF and all Latin
+#: letters from U+0100 to U+024F.
+_LETTER = rb"\xc3[\x9f-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f]"
+
+
+def _patterns(letter: bytes) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """The tokenizer's pre-tokens of lower-case words of ASCII characters and
+    these letters; texts without other characters; and the units of a text
+    with others, the words that hold them first."""
+    pre = rb"(?:[a-z]++" + letter + rb")++|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@\[-`{-~]++"
+    return (re.compile(pre), re.compile(rb"(?:[\t-\r !-~]++" + letter + rb")*+"),
+            re.compile(rb"(?:[!-~]++" + letter + rb")*+[^\s!-~]\S*|" + pre))
+
+
+PRE_ASCII, ALL_ASCII, UNITS_ASCII = _patterns(b"")
+PRE_LATIN, ALL_LATIN, UNITS_LATIN = _patterns(b"|" + _LETTER)
+#: Bytes of characters from U+0280 on; white space; how special strings begin.
+FAR, GAP, MARK = re.compile(rb"[\xca-\xff]"), re.compile("[\t-\r ]"), "<|"
+#: Bytes as the vocabulary's characters: printable ones of Latin-1 as they
+#: are, the others from U+0100 on.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
 STORED = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, nth long"
 PLACED = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 # --- token ids ---------------------------------------------------------------
 
+@functools.lru_cache(maxsize=2)
+def remembered(vocabulary: str) -> Words:
+    """The worker's ``Words``, kept from task to task."""
+    return Words(vocabulary)
+
+
 @functools.lru_cache(maxsize=2)
 def _library(vocabulary: str) -> tokenizers.Tokenizer:
     return tokenizers.Tokenizer.from_file(public_tokenizers.path(vocabulary))
 
 
-class Words:
-    """Ids of texts, from the library's ids of their words.
+def _units(text: str) -> list[bytes]:
+    """Units of a text.  Special strings are told by their case, so that a
+    text that may hold one is only cut into words.  Other scripts are left to
+    the library's own lower-casing."""
+    raw = text.encode()
+    if MARK in text:
+        return raw.split()
+    if len(raw) == len(text) or FAR.search(raw):
+        low, pre, plain, units = raw.lower(), PRE_ASCII, ALL_ASCII, UNITS_ASCII
+    else:
+        low, pre, plain, units = text.lower().encode(), PRE_LATIN, ALL_LATIN, UNITS_LATIN
+    return (pre if plain.fullmatch(low) else units).findall(low)
 
-    The tokenizer drops white space and no token crosses it, so the ids of a
-    text are those of its words one after another.  The library encodes each
-    distinct word; a worker remembers a bounded number of bytes of them.
+
+class Words:
+    """Ids of texts, from the library's ids of their units.
+
+    The tokenizer drops white space and no token crosses it.  A word of
+    printable ASCII characters and Latin letters is cut into the tokenizer's
+    own pre-tokens, of which there are far fewer; any other word is a unit
+    whole.  The library
+    encodes each distinct unit; a worker remembers a bounded number of bytes
+    of them.
     """
 
     def __init__(self, vocabulary: str):
@@ -69,28 +117,54 @@ class Words:
         self.known: dict[bytes, bytes] = {}
         self.bytes = 0
 
-    def _ids(self, raw: bytes) -> bytes:
-        words = raw.split()
-        new = list(set(words).difference(self.known))
+    def learn(self, units: set[bytes]) -> None:
+        """Ids of all the units; what was remembered goes where it is too much."""
+        new = units.difference(self.known)
         if self.bytes > REMEMBERED_BYTES:
-            self.known, self.bytes, new = {}, 0, list(set(words))
-        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for w, e in zip(new, found, strict=True):
-            self.known[w] = np.array(e.ids, self.kind).tobytes()
-            self.bytes += len(w) + len(self.known[w]) + 100
-        return b"".join(map(self.known.__getitem__, words))
-
-    def ids(self, text: str | None) -> bytes:
-        """Ids of the whole text, little-endian; a null text has none."""
-        raw = text.encode() if text else b""
-        if len(raw) <= SLICE:
-            return self._ids(raw)
+            self.known, self.bytes, new = {}, 0, units
+        merge, rest = self.library.model.tokenize, []
+        for u in new:
+            if PRE_ASCII.fullmatch(u):
+                self.known[u] = np.array([t.id for t in merge(u.decode())], self.kind).tobytes()
+            elif PRE_LATIN.fullmatch(u) and (low := u.decode()) == low.lower():
+                shown = u.decode("latin-1").translate(SHOWN)
+                self.known[u] = np.array([t.id for t in merge(shown)], self.kind).tobytes()
+            else:
+                rest.append(u)
+        found = self.library.encode_batch_fast([u.decode() for u in rest], add_special_tokens=False)
+        for u, e in zip(rest, found, strict=True):
+            self.known[u] = np.array(e.ids, self.kind).tobytes()
+        self.bytes += sum(len(u) + len(self.known[u]) + ENTRY for u in new)
+
+    def all_ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each whole text, little-endian; a null text has none."""
+        out, batch, size = [], [], 0
+        for text in texts:
+            if text and len(text) > SLICE:
+                out += self._some(batch)
+                out.append(self._long(text))
+                batch, size = [], 0
+                continue
+            batch.append(text or "")
+            size += len(batch[-1])
+            if size > SLICE:
+                out += self._some(batch)
+                batch, size = [], 0
+        return out + self._some(batch)
+
+    def _some(self, texts: list[str]) -> list[bytes]:
+        units = [_units(t) for t in texts]
+        self.learn(set().union(*units))
+        known = self.known.__getitem__
+        return [b"".join(map(known, u)) for u in units]
+
+    def _long(self, text: str) -> bytes:
+        """A very long text by slices that end at ASCII white space."""
         out, at = [], 0
-        while at < len(raw):  # slices end at white space
-            end = at + SLICE
-            while end < len(raw) and raw[end] not in b" \t\n\r\v\f":
-                end += 1
-            out.append(self._ids(raw[at:end]))
+        while at < len(text):
+            gap = GAP.search(text, at + SLICE)
+            end = gap.start() if gap else len(text)
+            out += self._some([text[at:end]])
             at = end
         return b"".join(out)
 
@@ -109,13 +183,13 @@ def tokenise(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, words = TaskContext.get().partitionId(), Words(vocabulary)
+        part, words = TaskContext.get().partitionId(), remembered(vocabulary)
         end, width = np.array([end_id], words.kind).tobytes(), words.kind.itemsize
         seen: dict[int, int] = {}
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = words.ids(text.as_py()) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), words.all_ids(batch.column(1).to_pylist()), strict=True):
+                raw = ids + end
                 n = len(raw) // width
                 for start in range(0, n, size):
                     length = min(size, n - start)
@@ -283,7 +357,7 @@ def place(pieces: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY)
                         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = Words(vocabulary).kind
+        kind = remembered(vocabulary).kind
         for batch in batches:
             length = batch.column("length").to_numpy()
             address = p.address(length, batch.column("number").to_numpy())

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 from panelmart.llm import nnlspacking as packing
 
 ODD = ["", "a\x1cb", "x  y", "né à Zürich 漢字 🙂", "e ́a Å", "<|endoftext|> in <|endoftext|>text", "ΣΑΣ ς İ'S don't 12",
-       " lead", "nbsp 　\x85 end", "ß ﬁ Ǆ 'll", "x" * 3000]
+       " lead", "nbsp 　\x85 end", "ß ﬁ Ǆ 'll", "x" * 3000,
+       "DON'T we'LL 'Sup x's's 12a3 <|x|>y a<|startoftext|>b <|ENDOFTEXT|> \x7f \x00 q", "''sss 'd'D'ddd a'm1"]
 
 
 @pytest.fixture(scope="module")
@@ -63,22 +64,23 @@ def test_empty_and_clashing(no_docs, clashing):
 @pytest.mark.parametrize("text", ODD)
 def test_ids_of_words_are_those_of_the_text(text, library):
     words = packing.Words("word_bpe_49k.json")
-    assert np.frombuffer(words.ids(text), words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.all_ids([text])[0], words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=40))
+@settings(max_examples=1500, deadline=None)
+@given(st.one_of(st.text(max_size=40), st.text(st.characters(codec="ascii"), max_size=40), st.text("aSsTdM'l1 <|.", max_size=40),
+                 st.text(st.characters(max_codepoint=0x24f), max_size=40), st.text("aÉéß÷×µª\u0149İıĀāſǅǆΣς\u0301\u00a0 .'s", max_size=30)))
 def test_ids_of_any_text(text):
     words = packing.Words("word_bpe_49k.json")
-    assert np.frombuffer(words.ids(text), words.kind).tolist() == words.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.all_ids([text])[0], words.kind).tolist() == words.library.encode(text, add_special_tokens=False).ids
 
 
 def test_long_texts_are_cut_at_white_space(library, monkeypatch):
     monkeypatch.setattr(packing, "SLICE", 10)
     words, text = packing.Words("word_bpe_49k.json"), "several words in one longtextwithoutblanksatall end " * 20
-    assert np.frombuffer(words.ids(text), words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.all_ids([text])[0], words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
     monkeypatch.setattr(packing, "REMEMBERED_BYTES", 0)
-    assert np.frombuffer(words.ids(text), words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.all_ids([text])[0], words.kind).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def spots(counts, size):
