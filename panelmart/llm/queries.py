@@ -65,7 +65,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", F.col("mix_size").alias("size"),
                       F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
-                      (F.col("mix_size") * F.size("mix_draws")).alias("taken"))
+                      (F.col("mix_size") * F.size("mix_draws")).alias("taken"),
+                      F.col("mix_draws.shard").alias("shards"), F.col("mix_draws.place").alias("places"))
 
 
 def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
