@@ -7,7 +7,6 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelmart.llm import minhash, mixing, packing, quality
 from panelmart.llm.common import cut_lineage, prepare, table
@@ -25,8 +24,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
-    return mixing.mix(docs).withColumn("mix_draw", F.explode("mix_draws")).select(docs.columns)
+    """Each document as often as the mix of sources takes it, in the mix's
+    shards and shuffled within them."""
+    return mixing.mixed_rows(docs).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
