@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelmart import config as C
 from panelmart.config import PanelConfig
+from panelmart.operators.refresh import read_by_manifest
 from panelmart.schemas import FACT_COLUMNS, FACT_PANEL, PIPELINE_RUNS, WAREHOUSE_TABLES
 from panelmart.sources.readers import write_table
 
@@ -196,20 +197,35 @@ def latest_run_id(spark: SparkSession, root: str) -> int:
     return newest[-1][1]
 
 
+def holders(spark: SparkSession, root: str, run_id: int) -> dict[int, int]:
+    """Period -> run that holds its partition of a run's fact; empty for a
+    run that wrote the whole fact itself."""
+    fs, path = _filesystem(spark, root)
+    at = f"{run_folder(root, run_id)}/fact_manifest"
+    if not fs.exists(path(at)):
+        return {}
+    return {r["tahun"]: r["run"] for r in spark.read.parquet(at).collect()}  # a row a period
+
+
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read table ``name`` of the newest published run."""
-    return spark.read.parquet(f"{run_folder(root, latest_run_id(spark, root))}/{name}")
+    """Read table ``name`` of the newest published run; its fact may lie in
+    several runs' folders."""
+    run_id = latest_run_id(spark, root)
+    if name == "fact_panel" and (where := holders(spark, root, run_id)):
+        return read_by_manifest(spark, lambda run: run_folder(root, run), where)
+    return spark.read.parquet(f"{run_folder(root, run_id)}/{name}")
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2, grace_hours: float = 24.0) -> list[int]:
     """Delete the folders of runs that are neither among the ``keep`` newest
-    versions nor younger than ``grace_hours`` (a run may still be writing, a
+    versions, nor hold a part of their facts, nor are younger than ``grace_hours`` (a run may still be writing, a
     reader may still read).  The run ids deleted are returned."""
     fs, path = _filesystem(spark, root)
     runs = path(f"{root.rstrip('/')}/runs")
     if not fs.exists(runs):
         return []
     kept = {run for _, run in versions(spark, root, keep)} if keep else set()
+    kept |= {run for r in list(kept) for run in holders(spark, root, r).values()}
     limit = _dt.datetime.now().timestamp() * 1000 - grace_hours * 3.6e6
     gone = []
     for status in fs.listStatus(runs):

@@ -359,28 +359,45 @@ def q_geojson_source_roundtrip(spark, d):
             .drop(readers.INPUT_ORDER))
 
 
+def _collection(spark, d, indent):
+    """The customer polygons as one FeatureCollection document, on one line or
+    indented, in a fresh folder of the shared store."""
+    import uuid
+
+    from panelmart.session import shared_dir
+    path = shared_dir(spark, f"exports/collection-{uuid.uuid4().hex}")
+    feats = Ctx(spark, d, "customer").raw.features
+    text = F.to_json(F.struct(F.lit("Feature").alias("type"), "properties", F.struct(
+        "geometry.type", F.parse_json("geometry.coordinates").alias("coordinates")).alias("geometry")),
+        {"pretty": str(bool(indent)).lower()})
+    ends = spark.createDataFrame([(0, '{"type": "FeatureCollection", "features": ['), (2, "null]}")], "o int, value string")
+    # a stand-in document is one file: its parts are written one after another
+    (feats.select(F.lit(1).alias("o"), F.concat(text, F.lit(",")).alias("value")).unionByName(ends)
+     .coalesce(1).sortWithinPartitions("o").select("value")
+     .write.mode("overwrite").option("lineSep", "\n" if indent else " ").text(path))
+    return path
+
+
 def q_geojson_collection(indent):
-    """S5 + G1/G2: the customer polygons as one FeatureCollection document,
-    on one line or indented, read in byte ranges and reduced to centroids."""
+    """S5 + G1/G2: a feature collection read in byte ranges, its features
+    reduced to centroids."""
     def run(spark, d):
-        import uuid
-
-        from panelmart.session import shared_dir
         from panelmart.sources import readers
-        path = shared_dir(spark, f"exports/collection-{uuid.uuid4().hex}")
-        feats = Ctx(spark, d, "customer").raw.features
-        text = F.to_json(F.struct(F.lit("Feature").alias("type"), "properties", F.struct(
-            "geometry.type", F.parse_json("geometry.coordinates").alias("coordinates")).alias("geometry")),
-            {"pretty": str(bool(indent)).lower()})
-        ends = spark.createDataFrame([(0, '{"type": "FeatureCollection", "features": ['), (2, "null]}")], "o int, value string")
-        # a stand-in document is one file: its parts are written one after another
-        (feats.select(F.lit(1).alias("o"), F.concat(text, F.lit(",")).alias("value")).unionByName(ends)
-         .coalesce(1).sortWithinPartitions("o").select("value")
-         .write.mode("overwrite").option("lineSep", "\n" if indent else " ").text(path))
-        return spatial.centroids(readers.read_geojson(spark, path)).drop(readers.INPUT_ORDER)
+        return spatial.centroids(readers.read_geojson(spark, _collection(spark, d, indent))).drop(readers.INPUT_ORDER)
     return run
 
 
+def q_centroids_streamed(spark, d):
+    """G1 for geometries of any size: the same collection, its vertices in
+    chunks that are combined by ring and feature."""
+    from panelmart.operators import large_geometry
+    from panelmart.schemas import GEOJSON_FEATURE_COLLECTION
+    feature = GEOJSON_FEATURE_COLLECTION["features"].dataType.elementType
+    found = large_geometry.read_centroids(spark, _collection(spark, d, False), feature)
+    return found.select(normalize_code(F.col("properties.ID_KAB")).alias("kode_bps"), F.col("properties.KABKOT").alias("nama_geo"),
+                        "latitude", "longitude")
+
+
 def _exported(spark, df, name):
     """``df`` written as CSV to a fresh folder of the shared store."""
     import uuid
@@ -514,6 +531,7 @@ QUERIES = {
     "centroids": q_centroids,
     "centroids_all_types": q_centroids_all_types,
     "csv_source_roundtrip": q_csv_source_roundtrip,
+    "centroids_streamed": q_centroids_streamed,
     "geojson_collection_line": q_geojson_collection(False),
     "geojson_collection_indented": q_geojson_collection(True),
     "csv_inferred_schema": q_csv_inferred_schema,

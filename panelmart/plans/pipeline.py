@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from panelmart.config import PanelConfig
-from panelmart.operators import checks, clean, features, keys, panel, spatial, star
+from panelmart.operators import checks, clean, features, keys, panel, refresh, spatial, star
 from panelmart.sources.driver_tables import RawSources
 
 
@@ -67,10 +67,11 @@ def build_star(feat: DataFrame, cfg: PanelConfig) -> Star:
 
 
 def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
-        enforce_checks: bool = True, run_at=None, keep_runs: int = 2) -> dict:
-    """Full refresh: returns {'run_id', 'checks', 'status', 'load_status',
-    'unmatched_names', 'imputation_leaks'}; the last two are DataFrames of
-    the rows that mapping and imputation left without a value.
+        enforce_checks: bool = True, run_at=None, keep_runs: int = 2, incremental: bool = False) -> dict:
+    """One load: returns {'run_id', 'checks', 'status', 'load_status',
+    'unmatched_names', 'imputation_leaks', 'rewritten'}; the two before the
+    last are DataFrames of the rows that mapping and imputation left without
+    a value, the last the fact's periods that were written (None: all).
 
     All that a run writes lies under ``root/runs/<id>``, so that runs never
     touch each other's files.  Staging is written there and checked in one
@@ -80,6 +81,10 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     run becomes the newest version only if no other was published meanwhile
     (else ``star.PublishConflict``); then the run record is appended to
     ``root/pipeline_runs`` and runs older than the ``keep_runs`` newest expire.
+
+    ``incremental``: only the fact's periods that a change of staging since
+    that version reaches are computed and written (see :mod:`refresh`); the
+    others stay where they are.  Without a version before, all are.
     """
     root = root.rstrip("/")
     began = star.versions(spark, root, 1)
@@ -96,18 +101,34 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     if enforce_checks:
         checks.enforce(res)
     status = checks.status_of(one, stg.as_dict())
+    refresh.staging_digests(stg.as_dict(), cfg).coalesce(1).write.parquet(f"{base}/digests")
+    rewritten, holds = None, {}
+    if incremental and began:
+        last = began[-1][1]
+        now, before = (spark.read.parquet(f"{star.run_folder(root, r)}/digests") for r in (run_id, last))
+        rewritten = refresh.reached(refresh.changed(now, before), stg.health, cfg)
+        holds = star.holders(spark, root, last)
     feat = build_features(stg, cfg)
+    if rewritten is not None:
+        feat = feat.where(feat[cfg.period].isin(rewritten))
     feat.write.parquet(f"{base}/work/panel_features")
     feat = spark.read.parquet(f"{base}/work/panel_features")
-    s = build_star(feat, cfg)
+    whole = feat if rewritten is None else build_panel0(stg, cfg)  # the dimensions need no features
+    s = Star(star.dim_region(whole, cfg), star.dim_period(whole, cfg), star.fact_table(feat, cfg))
     on = ["kode_bps", "tahun"]  # the fact's names of entity and period
     known = spark.read.parquet(f"{star.run_folder(root, began[-1][1])}/fact_keys") if began else None
     keys.extend(s.fact, known, on).write.parquet(f"{base}/fact_keys")
     fact = keys.attach(s.fact, spark.read.parquet(f"{base}/fact_keys"), on)
+    if rewritten is not None:
+        periods = [r[0] for r in stg.health.select(cfg.period).distinct().collect()]  # the configured years at most
+        refresh.manifest(spark, {p: run_id if p in rewritten else holds.get(p, began[-1][1]) for p in periods}).coalesce(1).write.parquet(
+            f"{base}/fact_manifest")
     star.publish(spark, root, {"dim_region": s.dim_region, "dim_period": s.dim_period, "fact_panel": fact},
                  run_id=run_id, partition_by={"fact_panel": [cfg.period]}, read=read)
     mine = lambda name: spark.read.parquet(f"{base}/{name}")
-    rec = star.run_record(mine("fact_panel"), mine("dim_region"), mine("dim_period"), cfg,
+    fact = mine("fact_panel") if rewritten is None else refresh.read_by_manifest(
+        spark, lambda r: star.run_folder(root, r), star.holders(spark, root, run_id))
+    rec = star.run_record(fact, mine("dim_region"), mine("dim_period"), cfg,
                           run_at=run_at, run_id=run_id)
     star.append_run_log(rec, root)
     r = spark.read.parquet(f"{root}/pipeline_runs").where(f"run_id = {run_id}").first()
@@ -116,6 +137,6 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     star.expire(spark, root, keep=keep_runs)
     unmatched = clean.unmatched_names(clean.rename_environment(raw.environment), raw.mapping,
                                       "nama_env", cfg.entity)
-    return {"run_id": run_id, "checks": res, "status": status, "load_status": load_status,
+    return {"run_id": run_id, "rewritten": rewritten, "checks": res, "status": status, "load_status": load_status,
             "unmatched_names": unmatched,
             "imputation_leaks": panel.imputation_leaks(build_panel0(stg, cfg), cfg)}

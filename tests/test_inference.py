@@ -27,7 +27,7 @@ def write(root, text, name="a.csv"):
     return f"{root}/{name}"
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(st.sampled_from(CELLS), min_size=3, max_size=3), min_size=6, max_size=6),
        st.lists(st.lists(st.sampled_from(["1", "2", "2.5", "", "True", "false"]), min_size=3, max_size=3), min_size=6, max_size=6))
 def test_types_are_the_csv_readers(spark, tmp_path_factory, wild, tame):

@@ -33,7 +33,7 @@ anything = st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(allow_n
                      st.sampled_from([INF, -INF, 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1e-300, 1e300]))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(st.tuples(st.integers(0, 2), anything, anything), min_size=1, max_size=80), hot=st.integers(0, 40))
 def test_counted_edges_are_the_sorted_ones(spark, rows, hot):
     df = table(spark, [(str(i), g, x, y) for i, (g, x, y) in enumerate([*rows, *[(0, 2.0, -1e-9)] * hot])])
