@@ -30,7 +30,7 @@ _VERTEX = re.compile(rb"\[([^\[\]]*)\]")
 _KEYS = {2: re.compile(rb'"features"\s*:\s*\Z'), 4: re.compile(rb'"geometry"\s*:\s*\Z'), 5: re.compile(rb'"coordinates"\s*:\s*\Z')}
 
 _RUNS = ("file string, block long, seq long, run long, feature long, ring long, first boolean, listed long, geometry long, "
-         "coordinates long, xs binary, ys binary, text string, features long, rings long")
+         "coordinates long, xs binary, ys binary, text string, inner boolean, features long, rings long")
 _SCHEMA = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[t])
                      for n, t in (f.split() for f in _RUNS.split(", "))])
 
@@ -63,8 +63,11 @@ def runs_of(text: bytes, in_string: int, depth: int) -> list[dict]:
             out.append({**flags(), "text": text[plain:end].decode()})
 
     def segment(begin: int, end: int, lo: int, hi: int) -> None:
-        """Vertices of text[begin:end], whose events are lo to hi."""
+        """Vertices of text[begin:end], whose events are lo to hi.  Where the
+        chunk can't tell that they are coordinates, the text goes out too."""
         nonlocal rings
+        if None in (state[4], state[5]) and end > begin:
+            out.append({**flags(), "text": text[begin:end].decode(), "inner": True})
         up, deep = opens[lo:hi], level[lo:hi]
         vertex = up & np.append(~up[1:], False) if hi > lo else up
         if not vertex.any():
@@ -144,11 +147,11 @@ def runs(chunk: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = (found.where("features is null").join(before, ["file", "block", "seq"])
              .where(F.coalesce("listed", "l") == 1)
              .withColumns({"feature": F.col("f") + F.col("feature"), "ring": F.col("r") + F.col("ring")}))
-    vertices = found.where("xs is not null").where((F.coalesce("geometry", "g") == 1) & (F.coalesce("coordinates", "c") == 1))
-    texts = (found.where("text is not null").groupBy("file", "feature")
+    shape = (F.coalesce("geometry", "g") == 1) & (F.coalesce("coordinates", "c") == 1)
+    texts = (found.where("text is not null").where(F.col("inner").isNull() | ~shape).groupBy("file", "feature")
              .agg(F.sort_array(F.collect_list(F.struct("block", "seq", "run", "text"))).alias("p"))
              .select("file", "feature", F.array_join(F.transform("p", lambda p: p["text"]), "").alias("text")))
-    return vertices.select("file", "feature", "ring", "block", "seq", "run", "first", "xs", "ys"), texts
+    return found.where("xs is not null").where(shape).select("file", "feature", "ring", "block", "seq", "run", "first", "xs", "ys"), texts
 
 
 def chain_sums(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
