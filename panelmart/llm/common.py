@@ -17,8 +17,9 @@ from panelmart.session import cut_lineage, shared_dir
 __all__ = ["cut_lineage", "shared_dir", "prepare", "rank_within", "words", "word_hashes",
            "shingle_hashes", "table"]
 
-#: Rows of an Arrow batch: bounds what a Python worker holds of long texts.
-ARROW_ROWS = 1000
+#: Rows and bytes of an Arrow batch: bound what a Python worker holds of the
+#: input.  A single longer row is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 1000, 4_000_000
 
 _SHIPPED: set[str] = set()
 
@@ -30,6 +31,7 @@ def prepare(spark: SparkSession) -> None:
     application, so that tasks can import it wherever the driver started.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

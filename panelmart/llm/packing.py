@@ -36,22 +36,25 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
 @functools.lru_cache(maxsize=2)
-def _encoders(vocabulary: str):
-    """The rank-file encoder, and the library's own for texts it refuses."""
+def _encoder(vocabulary: str) -> tiktoken.Encoding:
+    """The rank-file encoder."""
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens=SPECIAL)
-    return fast, tokenizers.Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+
+
+@functools.lru_cache(maxsize=2)
+def _library(vocabulary: str) -> tokenizers.Tokenizer:
+    """The library's own encoder, loaded only for a text the other refuses."""
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
 
 
 def token_ids(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
     """Ids of ``text`` as the tokenizer file gives them (tested to agree)."""
-    fast, slow = _encoders(vocabulary)
     try:
-        return fast.encode_to_numpy(text, allowed_special="all")
+        return _encoder(vocabulary).encode_to_numpy(text, allowed_special="all")
     except Exception:  # its pattern engine gives up on very long runs of blanks
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(_library(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -170,9 +173,9 @@ def place(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
     spot.__annotations__ = {"length": pd.Series, "number": pd.Series, "return": pd.DataFrame}
     spot = F.pandas_udf(spot, "sequence_id long, offset long")
-    ranked = rank_within(pieces, ["length"], ["doc_id", "piece"], "_number")
-    return (ranked.withColumn("_at", spot("length", "_number"))
-            .select(*pieces.columns, "_at.sequence_id", "_at.offset"))
+    rows = pieces.select(F.struct("*").alias("row"), "length", "doc_id", "piece")
+    ranked = rank_within(rows, ["length"], ["doc_id", "piece"], "number")
+    return ranked.withColumn("at", spot("length", "number")).select("row.*", "at.sequence_id", "at.offset")
 
 
 def pack(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY,

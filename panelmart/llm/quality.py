@@ -4,12 +4,15 @@ Two generative models over hashed byte n-grams, one of target texts (labelled
 good) and one of all raw texts, give each document the mean log ratio of its
 n-grams.  The mean of a short text is noisy, so it is shrunk towards that of
 the held-out good texts, by how much their means spread at its number of
-n-grams.  That times ``SHARPNESS`` is its log importance weight, as if every
-text had so many n-grams.  Documents are sampled without replacement by
-those weights with the Gumbel top-k trick: the k highest sums of log weight
-and Gumbel noise are kept.  k is the number of documents at or above the shrunk
-log ratio that all but ``LOSS`` of the held-out good texts reach, in all and
-in each language (column lang, if there is one) and length class of at least
+n-grams.  The log importance weight is this ratio times a temper: a sum over
+n-grams would make length decide, so weights are tempered until those of
+held-out good texts spread by ``SPREAD``, of the order of the Gumbel noise.
+
+Documents are sampled without replacement by these weights with the Gumbel
+top-k trick: the k highest sums of log weight and noise are kept, so that a
+likelier document is more likely to stay, not sure to.  k is the smallest
+sample that holds all but ``LOSS`` of the held-out good texts, in all and in
+each language (column lang, if there is one) and length class of at least
 ``CLASS`` of them.
 """
 
@@ -27,7 +30,8 @@ from panelmart.llm.common import cut_lineage, prepare
 
 GRAM = 4
 BITS = 18
-SHARPNESS = 400.0
+#: Standard deviation of long good texts' log weights (the noise's is 1.28).
+SPREAD = 3.0
 LOSS = 0.01
 #: Held-out good texts of a language or length class that is calibrated by itself.
 CLASS = 100
@@ -36,6 +40,8 @@ SEED = 11
 #: bounded sample of the fit.  The raw model counts all documents.
 LABELLED = 20_000
 SMOOTHING = 0.5
+#: Bytes of text whose n-grams are worked on at a time (about 30 times as much).
+SLICE = 1_000_000
 #: Keys that the driver sorts to find the k-th highest.
 SORTED = 5_000
 
@@ -45,25 +51,57 @@ def good_labels(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
 
 
+def slices(texts: pa.Array, n: int = GRAM) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """The texts of a batch as UTF-8 in runs of about ``SLICE`` bytes, with
+    their places in the batch.  A longer text is cut, whatever its batch, into
+    slices that overlap by n - 1 bytes, so that no n-gram is lost or counted
+    twice.  Null and empty texts are left out; a text shorter than n is padded."""
+    at, run, size = [], [], 0
+    for i, t in enumerate(texts):
+        raw = (t.as_py() or "").encode("utf-8", "surrogatepass")
+        if not raw:
+            continue
+        if len(raw) > SLICE:
+            for start in range(0, len(raw) - n + 1, SLICE):
+                yield np.array([i]), [raw[start:start + SLICE + n - 1]]
+            continue
+        if size + len(raw) > SLICE:
+            yield np.array(at), run
+            at, run, size = [], [], 0
+        at.append(i)
+        run.append(raw.ljust(n, b"\0"))
+        size += len(raw)
+    if run:
+        yield np.array(at), run
+
+
 def grams(texts: pa.Array, n: int = GRAM, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte n-grams of a batch of texts, and how many each
     text has.  A shorter text, if not empty, has one: all of it."""
-    raw = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in texts]
-    raw = [r.ljust(n, b"\0") if r else r for r in raw]
+    found, sizes = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+    for at, raw in slices(texts, n):
+        bucket, many = run_grams(raw, n, bits)
+        found.append(bucket)
+        sizes[at] += many
+    return np.concatenate(found), sizes
+
+
+def run_grams(raw: list[bytes], n: int = GRAM, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one run of texts of n bytes or more."""
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    if not len(data):
-        return np.empty(0, np.int64), np.zeros(len(raw), np.int64)
+    data = np.frombuffer(b"".join(raw), np.uint8)
     key = np.zeros(len(data) - n + 1, np.uint64)
     for i in range(n):
-        key = key * np.uint64(257) + data[i:len(data) - n + 1 + i]
-    bucket = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+        key *= np.uint64(257)
+        key += data[i:len(data) - n + 1 + i]
+    key *= np.uint64(0x9E3779B97F4A7C15)
+    bucket = (key >> np.uint64(64 - bits)).astype(np.int32)
     whole = np.ones(len(bucket), bool)  # n-grams that run over a text's end don't count
     ends = np.cumsum(sizes)
     for i in range(1, n):
         at = ends - i
         whole[at[(at >= 0) & (at < len(whole))]] = False
-    return bucket[whole], np.maximum(sizes - n + 1, 0)
+    return bucket[whole], sizes - n + 1
 
 
 def gram_counts(docs: DataFrame, n: int = GRAM, bits: int = BITS) -> np.ndarray:
@@ -72,7 +110,8 @@ def gram_counts(docs: DataFrame, n: int = GRAM, bits: int = BITS) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            total += np.bincount(grams(batch.column(0), n, bits)[0], minlength=1 << bits)
+            for _, raw in slices(batch.column(0), n):
+                total += np.bincount(run_grams(raw, n, bits)[0], minlength=1 << bits)
         found = np.nonzero(total)[0]
         yield pa.record_batch([pa.array(found.astype(np.int32)), pa.array(total[found])], names=["bucket", "n"])
 
@@ -101,10 +140,12 @@ def score(docs: DataFrame, ratios: np.ndarray, name: str, n: int = GRAM, bits: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            bucket, sizes = grams(batch.column("text"), n, bits)
-            sums = np.append(0.0, np.cumsum(table[bucket], dtype=np.float64))
-            ends = np.cumsum(sizes)
-            mean = (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
+            sums, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for at, raw in slices(batch.column("text"), n):
+                bucket, many = run_grams(raw, n, bits)
+                sums[at] += np.add.reduceat(table[bucket], np.cumsum(many) - many, dtype=np.float64)
+                sizes[at] += many
+            mean = sums / np.maximum(sizes, 1)
             # rounded, so that a text scores alike wherever in a batch it is
             col = pa.array(np.round(mean, 9), pa.float64(), mask=sizes == 0)
             cols = [col, pa.array(sizes, pa.int64())][:len(names)]
@@ -169,14 +210,14 @@ def kth_highest(keys: DataFrame, column: str, k: int) -> float:
 
 
 class Model:
-    """Fitted models: ``ratios``, ``cut``, the key of the k-th document, and
-    ``law``, the spread of good texts' means."""
+    """Fitted models: ``ratios``, ``cut``, the key of the k-th document,
+    ``law``, the spread of good texts' means, and the weights' ``temper``."""
 
-    def __init__(self, ratios: np.ndarray, cut: float, law: tuple[float, float, float] = (0.0, 1.0, 0.0)):
-        self.ratios, self.cut, self.law = ratios, cut, law
+    def __init__(self, ratios: np.ndarray, cut: float, law: tuple[float, float, float] = (0.0, 1.0, 0.0), temper: float = 1.0):
+        self.ratios, self.cut, self.law, self.temper = ratios, cut, law, temper
 
 
-def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, sharpness: float = SHARPNESS,
+def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, spread_to: float = SPREAD,
         labelled: int = LABELLED, seed: int = SEED) -> Model:
     """Fit both models, calibrate, and find the cut over all of ``docs``.
 
@@ -199,29 +240,30 @@ def fit(docs: DataFrame, good: DataFrame, loss: float = LOSS, sharpness: float =
         "doc_id", "log_ratio", "n", "lang").where("log_ratio is not null"), "scores")
     held = scored.join(F.broadcast(sample.where(F.pmod("h", F.lit(2)) == 1).select("doc_id")), "doc_id", "left_semi")
     # at most ``labelled`` rows, one a document
-    held = held.groupBy("doc_id").agg(F.max(F.struct("log_ratio", "n", "lang")).alias("x")).select("x.*").collect()
+    held = held.withColumn("noise", gumbel(seed)).groupBy("doc_id").agg(
+        F.max(F.struct("log_ratio", "n", "lang", "noise")).alias("x")).select("x.*").collect()
     if not held:
         return Model(ratios, -np.inf)
-    mean, n = (np.array(x, np.float64) for x in list(zip(*held, strict=True))[:2])
+    mean, n, noise = (np.array([r[c] for r in held], np.float64) for c in ("log_ratio", "n", "noise"))
     law = spread(mean, n)
     centre, a, b = law
-    good_at = centre + (mean - centre) * np.sqrt(a / (a + b / n))
+    temper = spread_to / float(np.sqrt(a))
+    keys = temper * (centre + (mean - centre) * np.sqrt(a / (a + b / n))) + noise
     classes: dict = {None: range(len(held))}
     for i, row in enumerate(held):
         for x in (("lang", row["lang"]), ("length", int(np.log2(row["n"])) // 2)):
             classes.setdefault(x, []).append(i)
-    least = min(float(np.quantile(good_at[list(x)], loss)) for name, x in classes.items()
+    least = min(float(np.quantile(keys[list(x)], loss)) for name, x in classes.items()
                 if name is None or len(x) >= CLASS)
-    scored = cut_lineage(scored.withColumn("shrunk", shrunk(F.col("log_ratio"), F.col("n"), *law)).withColumn(
-        "key", F.col("shrunk") * sharpness + gumbel(seed)).select("shrunk", "key"), "keys")
-    k = scored.where(F.col("shrunk") >= least).count()
-    return Model(ratios, kth_highest(scored, "key", max(k, 1)), law)
+    scored = cut_lineage(scored.select((shrunk(F.col("log_ratio"), F.col("n"), *law) * temper + gumbel(seed)).alias("key")), "keys")
+    k = scored.where(F.col("key") >= least).count()
+    return Model(ratios, kth_highest(scored, "key", max(k, 1)), law, temper)
 
 
-def keyed(docs: DataFrame, model: Model, sharpness: float = SHARPNESS, seed: int = SEED) -> DataFrame:
+def keyed(docs: DataFrame, model: Model, seed: int = SEED) -> DataFrame:
     """``docs`` with quality_log_ratio and quality_key (log weight plus noise)."""
     out = score(docs, model.ratios, "quality_log_ratio", number="quality_n")
-    weight = shrunk(F.col("quality_log_ratio"), F.greatest("quality_n", F.lit(1)), *model.law) * sharpness
+    weight = shrunk(F.col("quality_log_ratio"), F.greatest("quality_n", F.lit(1)), *model.law) * model.temper
     return out.withColumn("quality_key", weight + gumbel(seed)).drop("quality_n")
 
 
@@ -239,6 +281,8 @@ def resample(docs: DataFrame, good: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, good: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``resample`` keeps, with their columns."""
+    """The rows of ``docs`` that ``resample`` keeps, with their columns,
+    whatever these are named."""
     model = fit(docs, good, **options)
-    return keyed(docs, model).where(F.col("quality_key") >= model.cut).select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    return keyed(rows, model).where(F.col("quality_key") >= model.cut).select("row.*")

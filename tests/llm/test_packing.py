@@ -56,6 +56,14 @@ def test_empty_and_clashing(no_docs, clashing):
     assert packing.pack(clashing).agg(F.countDistinct("doc_id")).first()[0] == 30
 
 
+def test_own_column_names(spark):
+    pieces = spark.createDataFrame([(1, 0, 5), (2, 0, 7), (2, 1, 9)], "doc_id long, piece int, length long").withColumns(
+        {c: F.lit(c) for c in ("_at", "_salt", "_number", "at", "row", "number")})
+    got = packing.place(pieces, 16)
+    assert got.columns == [*pieces.columns, "sequence_id", "offset"]
+    assert sorted((r.length, r["_at"], r["row"]) for r in got.collect()) == [(n, "_at", "row") for n in (5, 7, 9)]
+
+
 def test_cut():
     assert packing.cut(5, 4) == [(0, 1), (1, 4)]
     assert packing.cut(8, 4) == [(0, 4), (4, 4)]

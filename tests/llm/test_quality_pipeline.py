@@ -3,6 +3,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from panelmart.llm import quality
 
@@ -45,6 +46,43 @@ def test_batches_do_not_change_scores():
     assert whole[0].tolist() == [g for p in parts for g in p[0].tolist()] and whole[1].tolist() == [3, 0, 1, 0, 5]
 
 
+def test_the_sample_is_drawn_not_cut(spark):
+    """Noise decides near the cut, and the sample's n-grams are nearer to the
+    target's than the raw text's are."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    good = quality.good_labels(labels)
+    model = quality.fit(docs, good)
+    out = quality.keyed(docs.select("doc_id", "text"), model).withColumn("noise", quality.gumbel()).toPandas()
+    out = out[out.quality_key.notna()]
+    kept = out.quality_key >= model.cut
+    weight = out.quality_key - out.noise
+    top = weight >= weight.sort_values(ascending=False).iloc[int(kept.sum()) - 1]
+    assert (kept != top).sum() >= 4  # not a plain cut of the weights
+    assert weight[kept].mean() > weight[~kept].mean() + 2
+    target, raw, sample = (quality.gram_counts(x) + 0.5 for x in (
+        docs.join(good, "doc_id", "left_semi"), docs, quality.keep_good(docs, good)))
+    p, q, r = (x / x.sum() for x in (target, raw, sample))
+    assert (p * np.log(p / r)).sum() < 0.9 * (p * np.log(p / q)).sum()
+
+
+def test_long_texts_in_slices(monkeypatch):
+    text = "".join(chr(97 + i * i % 26) for i in range(1000))
+    whole = quality.grams(pa.array(["ab", text, "abcdef"]))
+    monkeypatch.setattr(quality, "SLICE", 64)
+    parts = quality.grams(pa.array(["ab", text, "abcdef"]))
+    assert sorted(whole[0].tolist()) == sorted(parts[0].tolist())
+    assert whole[1].tolist() == parts[1].tolist() == [1, 997, 3]
+
+
+def test_own_column_names(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    names = ["quality_log_ratio", "quality_n", "quality_key", "row", "key", "log_ratio", "n"]
+    table = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    kept = quality.keep_good(table, quality.good_labels(labels))
+    assert kept.columns == table.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in kept.limit(20).collect() for n in names)
+
+
 def test_kth_highest(spark):
     rng = np.random.default_rng(2)
     values = [*rng.standard_normal(3000).tolist(), *([0.5] * 7000)]
