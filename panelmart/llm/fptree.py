@@ -143,7 +143,7 @@ def _widest(parts: list[tuple[np.ndarray, np.ndarray]], scratch: np.ndarray) ->
     return ranks, tf
 
 
-def tree(entries: list[tuple], n_ranks: int) -> Node:
+def tree(entries: list[tuple], n_ranks: int, leaf: int = LEAF) -> Node:
     """Trie of entries (ranks ascending, tf, m, doc_ids) in path order."""
     shared = np.zeros(len(entries) + 1, np.int64)  # length of the path shared with the entry before
     for i in range(1, len(entries)):
@@ -156,13 +156,13 @@ def tree(entries: list[tuple], n_ranks: int) -> Node:
     ranges, kids = [(0, len(entries))], []
     for lo, hi in ranges:
         kids.append([])
-        if hi - lo <= LEAF:
+        if hi - lo <= leaf:
             continue
         inner = shared[lo + 1:hi]
         cuts = [lo, *(np.flatnonzero(inner == inner.min()) + lo + 1).tolist(), hi]
         at = lo
         for i in range(1, len(cuts)):  # small neighbours share a leaf
-            if i + 1 < len(cuts) and cuts[i + 1] - at <= LEAF:
+            if i + 1 < len(cuts) and cuts[i + 1] - at <= leaf:
                 continue
             kids[-1].append(len(ranges))
             ranges.append((at, cuts[i]))
@@ -269,6 +269,7 @@ def _pass(stored: DataFrame, rows: list[tuple[int, Counter]], words: list[bytes]
     n_docs, total = stored.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = dict(stored.select(F.explode("terms").alias("t")).groupBy("t").count().collect())  # a row per term of the items
     items = ranked_items(rows, words, df, n_docs)
+    block, postings, leaf = BLOCK, POSTINGS, LEAF
     schema = pa.schema([("item", pa.int32()), ("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,17 +286,17 @@ def _pass(stored: DataFrame, rows: list[tuple[int, Counter]], words: list[bytes]
             entries = entries_of(docs, ms, owner, items.rank[lists.flatten().to_numpy()],
                                  tfs.flatten().to_numpy().astype(np.int64), k)
             search.held += len(docs) * len(items.ids)
-            search.add(tree(entries, len(words)))
+            search.add(tree(entries, len(words), leaf))
 
         if items.ids:
             for batch in batches:
                 at = 0
                 while at < batch.num_rows:
-                    room = BLOCK - sum(b.num_rows for b in held)
+                    room = block - sum(b.num_rows for b in held)
                     piece = batch.slice(at, room)
                     held.append(piece)
                     at += piece.num_rows
-                    if piece.num_rows == room or sum(len(b.column("terms").flatten()) for b in held) >= POSTINGS:
+                    if piece.num_rows == room or sum(len(b.column("terms").flatten()) for b in held) >= postings:
                         flush()
             if held:
                 flush()

@@ -111,6 +111,7 @@ def blocks(points: DataFrame, code: np.dtype) -> DataFrame:
     names = [f.split()[0] for f in BLOCKS.split(", ")]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64()]
     schema = pa.schema(list(zip(names, types, strict=True)))
+    size = BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -131,7 +132,7 @@ def blocks(points: DataFrame, code: np.dtype) -> DataFrame:
             for dim, label, vec_id, codes, anchor in zip(*(batch.column(c).to_pylist() for c in ("dim", "label", "vec_id", "codes", "anchor")), strict=True):
                 if (dim, label, vec_id, codes) == last:
                     continue
-                if held and ((dim, label) != group or len(held) == BLOCK):
+                if held and ((dim, label) != group or len(held) == size):
                     rows.append(block())
                 group, last = (dim, label), (dim, label, vec_id, codes)
                 held.append((vec_id, codes, anchor))
@@ -173,7 +174,7 @@ def anchor_chunks(stored: DataFrame, code: np.dtype, product: np.dtype, k: int)
     names = [f.split()[0] for f in CHUNKS.split(", ")]
     types = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
     schema = pa.schema(list(zip(names, types, strict=True)))
-    lowest = np.iinfo(np.int64).min
+    lowest, size = np.iinfo(np.int64).min, ANCHORS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -204,7 +205,7 @@ def anchor_chunks(stored: DataFrame, code: np.dtype, product: np.dtype, k: int)
                     floor_ids[enough] = ids[kth[:, -1]]
                 have = held.setdefault(r["dim"], [])
                 have.append((ids[mine], np.full(len(mine), r["label"]), x[mine], floors, floor_ids))
-                if sum(len(h[0]) for h in have) >= ANCHORS:
+                if sum(len(h[0]) for h in have) >= size:
                     yield chunk(r["dim"])
         for dim in list(held):
             yield chunk(dim)
@@ -221,6 +222,7 @@ def zone_chunks(stored: DataFrame) -> DataFrame:
     names = [f.split()[0] for f in ZONE_CHUNKS.split(", ")]
     types = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
     schema = pa.schema(list(zip(names, types, strict=True)))
+    size = ZONES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[dict]] = {}
@@ -234,7 +236,7 @@ def zone_chunks(stored: DataFrame) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 held.setdefault(r["dim"], []).append(r)
-                if len(held[r["dim"]]) == ZONES:
+                if len(held[r["dim"]]) == size:
                     yield chunk(r["dim"])
         for dim in list(held):
             yield chunk(dim)
@@ -329,7 +331,7 @@ def read(chunks: DataFrame, stored: DataFrame, picks: DataFrame, code: np.dtype,
     lined = rows.unionByName(heads).repartition("chunk", "salt").sortWithinPartitions("chunk", "salt", F.asc_nulls_first("place"))
     schema = pa.schema([("chunk", pa.int64()), ("anchor", pa.int64()), ("positive", pa.int64()), ("anchor_id", pa.int64()),
                         ("positive_id", pa.int64()), ("positive_score", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-    none = _none(product)
+    none, at_once = _none(product), AT_ONCE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head: Chunk | None = None
@@ -376,7 +378,7 @@ def read(chunks: DataFrame, stored: DataFrame, picks: DataFrame, code: np.dtype,
                 else:
                     ids = np.frombuffer(r["ids"], np.int64)
                     held.append((ids, np.frombuffer(r["codes"], code).reshape(len(ids), -1), r["label"]))
-                    if len(held) == AT_ONCE:
+                    if len(held) == at_once:
                         multiply()
         if head is not None:
             if held:
