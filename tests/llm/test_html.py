@@ -106,3 +106,94 @@ def test_large_hosts_keep_short_blocks(spark):
     assert text[1000] == f"Introduction\nn1000\n0\n{words_of(1000)}"
     assert text[1001] == f"n1001\n1001\n{words_of(1001)}"
     assert all(text[i].count("\n") == 10 and "menu" not in text[i] for i in range(2000, 2060))
+
+
+def naive(rows, min_pages=5, share=0.1, **options):
+    """Every page against every other of its host, every subtree counted."""
+    from panelmart.llm.html import choose
+    seen = []
+    for page_id, url, source in rows:
+        host = url.split("/")[2].lower() if url and "//" in url else ""
+        taken, blocks, elements = Page(source or "").result(**options)
+        w = "\n".join(taken).lower().split()
+        sh = {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+        seen.append((page_id, host, url, "\n".join(taken), sh, blocks, elements))
+    label = list(range(len(seen)))
+    for i, a in enumerate(seen):
+        for j in range(i):
+            b = seen[j]
+            near = a[4] and b[4] and 100 * len(a[4] & b[4]) >= 80 * len(a[4] | b[4])
+            if a[1] == b[1] and (a[3] == b[3] or near or (a[2] is not None and a[2] == b[2])):
+                label = [label[j] if x == label[i] else x for x in label]
+    pages, counts = {}, {}
+    for x, (_, host, *_, elements) in zip(label, seen, strict=True):
+        pages.setdefault(host, set()).add(x)
+        for h in elements["hashes"]:
+            counts.setdefault((host, h), set()).add(x)
+    out = {}
+    for page_id, host, *_, blocks, elements in seen:
+        gone = frozenset(h for (on, h), n in counts.items() if on == host and len(n) >= min_pages and len(n) >= share * len(pages[host]))
+        out[page_id] = "\n".join(b["text"] for b in choose(blocks, elements, gone, **options))
+    return out
+
+
+def site(seed, n):
+    import random
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        host = r.choice(["a.example", "b.example", "c.example", "d.example"])
+        part = lambda k, s: f"<div class=x{k}><p>{' '.join(r.choice(s) for _ in range(3))}</p></div>"
+        body = "".join(r.choice([part(k, ["menu", "home"]), part(k, ["alpha", "beta", "gamma", "delta"]), f"<p>{words_of(i, 25)}</p>",
+                                 f"<section><h2>Part {k}</h2><p>{words_of(r.randint(0, 9), 12)}</p></section>",
+                                 f"<article><p>{words_of(i + 1000, 15)}</p></article>"]) for k in range(r.randint(1, 6)))
+        url = f"https://{host}/{r.randint(0, 2 * n)}" if r.random() < 0.9 else r.choice([None, "no/host"])
+        rows.append((i, url, f"<body>{body}</body>"))
+    return rows
+
+
+@pytest.mark.parametrize("options", [{}, {"min_pages": 2, "share": 0.3}, {"min_pages": 8, "share": 0.0, "inside": 0.9}])
+def test_against_a_naive_recount(spark, options):
+    rows = site(5, 150)
+    out = extract(spark.createDataFrame(rows, "page_id long, url string, html string"), **options).collect()
+    want = naive(rows, **options)
+    assert {r.page_id: r.text for r in out} == want
+    plain = {r[0]: "\n".join(Page(r[2]).result()[0]) for r in rows}
+    assert sum(want[i] != plain[i] for i in want) >= 5  # the counts decide something
+
+
+def test_both_sides_of_the_numbers(spark):
+    same = "<p>the same on some</p>"
+    rows = lambda n: [(i, f"https://a.example/{i}", (same if i < n else "") + f"<p>{words_of(i)}</p>") for i in range(60)]
+    make = lambda n: spark.createDataFrame(rows(n), "page_id long, url string, html string")
+    kept = lambda n, **o: sum("same on" in r.text for r in extract(make(n), **o).collect())
+    assert kept(6) == 0 and kept(5) == 5                            # a tenth of 60 pages
+    assert kept(4, share=0.01) == 4 and kept(5, share=0.01) == 0    # five pages
+    named = f"<div class=sidebar><p>{words_of(1, 30)}</p></div><p>{{}}</p>"
+    few, many = named.format(words_of(2, 29)), named.format(words_of(2, 30))
+    assert words_of(1, 30) in Page(few).result()[0] and Page(many).result()[0] == [words_of(2, 30)]
+    small = "<div class=sidebar><p>{}</p></div><p>a b</p>".format
+    assert Page(small(words_of(1, 24))).result()[0] == ["a b"] and len(Page(small(words_of(1, 25))).result()[0]) == 2
+    beside = "<div><p>{}</p></div><article><p>{}</p></article>".format
+    assert Page(beside(words_of(1, 10), words_of(2, 10))).result()[0] == [words_of(2, 10)]
+    assert len(Page(beside(words_of(1, 11), words_of(2, 10))).result()[0]) == 2
+
+
+def test_inline_parts_do_not_split_a_block():
+    assert Page("<p>Let <math><mi>x</mi> = 1</math> be <svg><text>v</text></svg>.</p>").result()[0] == ["Let x = 1 be v."]
+    assert Page("<p>a <button>go <b>now</b></button>b <select><option>1<option>2</select>c</p>").result()[0] == ["a b c"]
+    assert Page("<p>one <span class='ad'>buy <i>this</i></span> two</p>").result()[0] == ["one two"]
+    assert Page("<p>a <label>b</label> <span hidden>c</span> <i style='display:none'>d</i></p>").result()[0] == ["a b c d"]
+
+
+def test_what_leads_up_to_an_article_stays():
+    source = "<h1>T</h1><p>lead</p><div><p>teaser</p></div><div><article><p>a b c d e f</p></article></div><p>after</p>"
+    assert Page(source).result()[0] == ["T", "lead", "a b c d e f"]
+
+
+def test_deep_nesting_keeps_its_subtrees(spark):
+    deep = lambda x: "<div>" * 3000 + x + "</div>" * 3000
+    rows = [(i, f"https://a.example/{i}", "<article><p>t</p></article>" + deep(f"<article><p>{words_of(i)}</p></article><p>Site menu</p>"))
+            for i in range(6)]
+    text = texts(spark, rows)
+    assert all(text[i] == words_of(i) for i in range(6))
