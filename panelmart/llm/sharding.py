@@ -72,7 +72,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEAD) -> Da
         (F.octet_length(text) + overhead).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("tokens"),
-        F.unhex(F.md5(text)).alias("text_md5")), "shard_rows")
+        F.unhex(F.md5(text)).alias("text_md5"), F.monotonically_increasing_id().alias("number")), "shard_rows")
     weights = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"),
                F.count(F.lit(1)).alias("rows")]
     groups = rows.groupBy("text_md5").agg(*weights)
@@ -83,7 +83,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHEAD) -> Da
     large = (groups.where("rows > 1").select("text_md5", F.least(chunks, "rows").cast("int").alias("chunks"))
              .where("chunks > 1"))
     rows = (rows.join(F.broadcast(large), "text_md5", "left")
-            .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("doc_id"), "chunks"), F.lit(0)).cast("int")))
+            .withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("number"), "chunks"), F.lit(0)).cast("int")))
     blocks = max(1, -(-(total["n"] or 0) // BLOCK))
     key = ["text_md5", "chunk"]
     items = rows.groupBy(*key).agg(*weights).withColumn(

@@ -53,3 +53,11 @@ def test_vector_pack_balances_all_dimensions():
     bins = sharding.vector_pack(w, 5)
     load = np.array([w[bins == b].sum(axis=0) for b in range(5)])
     assert (np.ptp(load, axis=0) <= 0.1 * load.mean(axis=0)).all()
+
+
+def test_one_row_repeated_spreads_evenly(spark, docs):
+    hot = spark.range(3000).select(F.lit(77).cast("long").alias("doc_id"), F.lit("one row " * 250).alias("text"))
+    nulls = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    table = docs.select("doc_id", "text").unionByName(hot).unionByName(nulls)
+    rows = sharding.shard(table, 8).collect()
+    check(rows, table.collect(), 8, 0.03)
