@@ -161,9 +161,8 @@ def signatures(docs: DataFrame, n_words: int, bands: int, rows: int = ROWS, samp
         run, "uid long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int, repeats: bool) -> DataFrame:
-    """id and shingles (distinct hashes) of the documents in ``ids``; one row
-    an id, for which the sets are only shuffled if documents repeat ids."""
+def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int) -> DataFrame:
+    """id and shingles (distinct hashes) of the documents in ``ids``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_hashes(words(t.as_py()), n_words).view(np.int64) for t in batch.column("text")]
@@ -174,14 +173,13 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, n_words: int, repeats: bool) -
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     found = with_ids(docs).join(ids, "uid", "left_semi")
-    sets = found.mapInArrow(run, "id long, shingles array<long>")
-    return sets.dropDuplicates(["id"]) if repeats else sets
+    return found.mapInArrow(run, "id long, shingles array<long>")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int, repeats: bool) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    sets = cut_lineage(shingle_sets(docs, ids, n_words, repeats), "shingles")
+    sets = cut_lineage(shingle_sets(docs, ids, n_words), "shingles")
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     # sizes first: the smaller set bounds the intersection
@@ -208,27 +206,60 @@ def near_duplicates(docs: DataFrame, n_words: int = WORDS, percent: int = SIMILA
 
 
 def deduplicate(docs: DataFrame, n_words: int = WORDS, percent: int = SIMILAR, **options) -> DataFrame:
-    """``docs`` with one document of each component, see near_duplicates."""
-    found = near_classes(docs, n_words, percent, **options)
-    kept = found.where("uid = component").select(F.col("uid").alias("_uid")).distinct()
-    return docs.withColumn("_uid", uid()).join(kept, "_uid", "left_semi").dropDuplicates(["_uid"]).select(docs.columns)
+    """``docs`` with one row of each component of similar texts: that of the
+    smallest doc_id, whatever the names of its columns.  Rows are linked by
+    their texts alone: of two different texts with one doc_id both stay.
+    Rows with a null doc_id come after all others."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.struct("*").alias("row"), uid().alias("uid"), "text")
+    found = _classes_of_unique(docs, n_words, percent, **options)
+    if found is not None:
+        return rows.join(found.where("uid = component").select("uid"), "uid", "left_semi").select("row.*")
+    rows = cut_lineage(rows.withColumn("number", F.monotonically_increasing_id()), "rows")
+    found = _classes_of_unique(rows.select(F.col("number").alias("doc_id"), "text"), n_words, percent, **options)
+    least = F.min_by(F.col("number"), F.struct("uid", "number"))
+    kept = (rows.select("uid", "number").join(found.select(F.col("uid").alias("number"), "component"), "number")
+            .groupBy("component").agg(least.alias("number")))
+    return rows.join(kept.select("number"), "number", "left_semi").select("row.*")
+
 
+def near_classes(docs: DataFrame, n_words: int, percent: int, **options) -> DataFrame:
+    """uid, n_shingles and component (smallest uid) of every row.
 
-def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS, samples: int = SAMPLES,
-                 sketch_words: int = SKETCH_WORDS, rounds: int = ROUNDS, mates: int = MATES) -> DataFrame:
-    """uid, n_shingles and component (smallest uid) of every row."""
+    Where doc_ids repeat, the rows are classed by their own numbers, then the
+    classes of one doc_id's texts are linked with each other.
+    """
     prepare(docs.sparkSession)
+    found = _classes_of_unique(docs, n_words, percent, **options)
+    if found is not None:
+        return found
+    rows = cut_lineage(with_ids(docs).withColumn("number", F.monotonically_increasing_id()), "rows")
+    found = _classes_of_unique(rows.select(F.col("number").alias("doc_id"), "text"), n_words, percent, **options)
+    found = cut_lineage(rows.select("uid", "number").join(
+        found.select(F.col("uid").alias("number"), "n_shingles", "component"), "number"), "classed")
+    first = found.groupBy("uid").agg(F.min("component").alias("first"))
+    same = found.join(first, "uid").where("component != first").select(
+        F.col("component").alias("a"), F.col("first").alias("b")).distinct()
+    found = found.join(components(same).select(F.col("id").alias("component"), F.col("component").alias("joined")), "component", "left")
+    found = found.withColumn("joined", F.coalesce("joined", "component"))
+    least = found.groupBy("joined").agg(F.min("uid").alias("component"))
+    return found.drop("component").join(least, "joined").select("uid", "n_shingles", "component")
+
+
+def _classes_of_unique(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS, samples: int = SAMPLES,
+                       sketch_words: int = SKETCH_WORDS, rounds: int = ROUNDS, mates: int = MATES) -> DataFrame | None:
+    """uid, n_shingles and component (smallest uid) of rows whose ids differ;
+    None where an id comes more than once."""
     n_bands = bands_for(percent / 100, rows)
     limit = sketch_limit(percent / 100, max(samples, n_bands * rows), 64 * sketch_words)
     signed = cut_lineage(signatures(docs, n_words, n_bands, rows, samples, sketch_words), "signatures")
-    repeats = not signed.groupBy("uid").count().where("count > 1").isEmpty()
+    if not signed.groupBy("uid").count().where("count > 1").isEmpty():
+        return None
     # classes of the same words; the smallest id stands for them
     classes = signed.where("digest is not null").groupBy("digest").agg(
         F.min("uid").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes, "classes")
     lead = classes.select("digest", "id")
-    if repeats:
-        classes = cut_lineage(classes.dropDuplicates(["id"]), "classes")
     keyed = classes.select("id", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     member = cut_lineage(keyed.join(shared, "key").select("key", "id", F.col("id").alias("label")), "members")
@@ -239,11 +270,11 @@ def near_classes(docs: DataFrame, n_words: int, percent: int, rows: int = ROWS,
         pairs = cut_lineage(_nearest(member, sketches, number, sketch_words, limit, mates), "pairs")
         if pairs.isEmpty():
             break
-        links = cut_lineage(_confirm(pairs, docs, n_words, percent, repeats), "confirmed")
+        links = cut_lineage(_confirm(pairs, docs, n_words, percent), "confirmed")
         found, member = _join(found, links, member)
         if links.count() * WORTH < pairs.count():
             break
-    links = cut_lineage(_between(member, sketches, docs, n_words, percent, limit, repeats), "pairs")
+    links = cut_lineage(_between(member, sketches, docs, n_words, percent, limit), "pairs")
     if not links.isEmpty():
         found, member = _join(found, links, member)
 
@@ -282,7 +313,7 @@ def _join(found: DataFrame | None, links: DataFrame, member: DataFrame) -> tuple
 
 
 def _between(member: DataFrame, sketches: DataFrame, docs: DataFrame, n_words: int, percent: int,
-             limit: int, repeats: bool) -> DataFrame:
+             limit: int) -> DataFrame:
     """Links (a, b) that join all components which have a similar pair of
     classes under one key.
 
@@ -302,7 +333,7 @@ def _between(member: DataFrame, sketches: DataFrame, docs: DataFrame, n_words: i
     sizes = arena.groupBy("home").agg(
         F.ceil(F.count_if("own") / TILE).cast("int").alias("n_own"),
         F.ceil(F.count_if(~F.col("own")) / TILE).cast("int").alias("n_other"))
-    sets = shingle_sets(docs, cut_lineage(arena.select("id").distinct(), "ids"), n_words, repeats)
+    sets = shingle_sets(docs, cut_lineage(arena.select("id").distinct(), "ids"), n_words)
     number = F.when(F.col("own"), F.col("n_own")).otherwise(F.col("n_other"))
     rows = arena.join(sizes.where("n_other > 0"), "home").withColumn(
         "block", F.pmod(F.xxhash64("id", F.lit(1)), number).cast("int"))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from panelmart.llm import minhash
 from panelmart.llm.components import components
@@ -82,6 +83,27 @@ def test_many_blocks_of_an_arena(spark, monkeypatch):
     compare(docs, 3, 85, rounds=1)  # many own blocks
 
 
+def test_one_id_with_several_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, a), (1, b), (2, b), (3, a + " more"), (4, "else where"), (4, "else where"), (9, None), (9, b + " end"),
+                                  (None, a), (None, a), (5, "lone text")], SCHEMA)
+    compare(docs, 3, 85)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    assert got[3] == got[2] == got[9] == 1 and got[4] == 4
+    # by text alone: a row of each text stays, also where two have one doc_id
+    kept = sorted((r.doc_id, r.text) for r in minhash.deduplicate(docs, 3, 85).collect())
+    assert kept == [(1, a), (1, b), (4, "else where"), (5, "lone text"), (9, None)]
+
+
+def test_own_column_names(spark):
+    names = ["_uid", "uid", "row", "number", "component", "id", "key", "digest", "joined"]
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "one two three four"), (3, "x")], SCHEMA)
+    docs = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    kept = minhash.deduplicate(docs, 3, 85)
+    assert kept.columns == docs.columns
+    assert sorted(r["_uid"] for r in kept.collect()) == ["_uid1", "_uid3"]
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     sketcher = minhash.Sketcher(26, 5, 256, 16)
