@@ -12,7 +12,7 @@ from panelmart import config as C
 from panelmart.config import PanelConfig
 from panelmart.operators.refresh import read_by_manifest
 from panelmart.schemas import FACT_COLUMNS, FACT_PANEL, PIPELINE_RUNS, WAREHOUSE_TABLES
-from panelmart.sources.readers import write_table
+from panelmart.sources.readers import write_table, write_tables
 
 
 def dim_region(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
@@ -180,12 +180,8 @@ def publish(spark: SparkSession, root: str, tables: dict, run_id: int | None = N
     rid = run_id if run_id is not None else new_run_id()
     read = current_version(spark, root) if read is None else read
     base = run_folder(root, rid)
-    partition_by = partition_by or {}
-    for name, df in tables.items():
-        cols = partition_by.get(name)
-        if cols:
-            df = df.sortWithinPartitions(*cols)  # one open file per task at a time
-        write_table(df, f"{base}/{name}", mode="overwrite", partition_by=cols)
+    write_tables({f"{base}/{name}": df for name, df in tables.items()},
+                 {f"{base}/{name}": cols for name, cols in (partition_by or {}).items()})
     commit(spark, root, rid, read)
     return rid
 

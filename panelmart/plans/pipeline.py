@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelmart.config import PanelConfig
 from panelmart.operators import checks, clean, features, keys, panel, refresh, spatial, star
 from panelmart.sources.driver_tables import RawSources
+from panelmart.sources.readers import write_tables
 
 
 @dataclass
@@ -92,8 +93,7 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
     run_id = star.new_run_id()
     base = star.run_folder(root, run_id)
     stg = build_staging(raw, cfg)
-    for name, df in stg.as_dict().items():
-        df.write.parquet(f"{base}/staging/{name}")
+    write_tables({f"{base}/staging/{name}": df for name, df in stg.as_dict().items()})
     stg = Staging(*[spark.read.parquet(f"{base}/staging/{n}")
                     for n in ("stg_health", "stg_demography", "stg_environment", "stg_geo")])
     one = checks.summarize(stg.as_dict(), cfg).first().asDict()  # a single row of counts
@@ -130,8 +130,8 @@ def run(spark: SparkSession, raw: RawSources, cfg: PanelConfig, root: str,
         spark, lambda r: star.run_folder(root, r), star.holders(spark, root, run_id))
     rec = star.run_record(fact, mine("dim_region"), mine("dim_period"), cfg,
                           run_at=run_at, run_id=run_id)
-    star.append_run_log(rec, root)
-    r = spark.read.parquet(f"{root}/pipeline_runs").where(f"run_id = {run_id}").first()
+    r = rec.first()  # one row, computed once
+    star.append_run_log(spark.createDataFrame([r], rec.schema), root)
     load_status = (f"loaded|regions={r['n_regions']}|periods={r['n_years']}|fact={r['fact_rows']}"
                    f"|imputed={r['imputed_rows']}|null_ir={r['null_ir_rows']}")
     star.expire(spark, root, keep=keep_runs)

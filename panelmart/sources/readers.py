@@ -6,6 +6,8 @@ matched by name (case-insensitively for CSV headers) and cast once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, StructType
@@ -165,6 +167,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
     w.save(path)
 
 
+def write_tables(tables: dict[str, DataFrame], partition_by: dict | None = None) -> None:
+    """K1: write tables to their paths (keys), some at a time: their jobs share
+    the cluster, so that small tables don't wait for each other."""
+    def write(item: tuple[str, DataFrame]) -> None:
+        path, df = item
+        cols = (partition_by or {}).get(path)
+        # one open file per task at a time
+        write_table(df.sortWithinPartitions(*cols) if cols else df, path, mode="overwrite", partition_by=cols)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, tables.items()))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K5: CSV export with a header row (an export, never a hand-off)."""
     df.write.mode(mode).option("header", "true").csv(path)
