@@ -95,16 +95,17 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
     return base.rstrip("/") + ("/" + sub.strip("/") if sub else "")
 
 
-def cut_lineage(df, name: str = "table"):
+def cut_lineage(df, name: str = "table", compression: str | None = None):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back (never a local checkpoint or a machine-local folder).
 
     One pass over the input (an eager ``checkpoint()`` computes its plan
     twice unless cached); later stages read the files with column pruning,
     and a lost executor recomputes from them instead of from the sources.
+    ``compression``: another codec than the session's (zstd for large texts).
     """
     path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     # the schema is known: no footer-reading job on the way back
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
