@@ -390,7 +390,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE,
     ``templates`` and ``choose``.
     """
     options = {"spared": spared, "mostly": mostly, "inside": inside}
-    parsed = cut_lineage(parse(pages.select(F.col("page_id").cast("long"), "url", "html"), **options), "pages")
+    parsed = cut_lineage(parse(pages.select(F.col("page_id").cast("long"), "url", "html"), **options), "pages", "zstd")
     here = cut_lineage(templates(parsed, min_pages, share), "templates")
     hashes = here.agg(F.sum(F.size("gone"))).first()[0] or 0
     if hashes <= BROADCAST_HASHES:
