@@ -189,7 +189,9 @@ def customer_sources(spark: SparkSession, sf_dir: str) -> RawSources:
            .join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
            .select(F.col("c_name").alias("ADM2_NAME"), "Year", *_env_cols("q", "pr", "di", "tx", "n")))
     mapping = customer.select(code.alias("kode_bps"), F.col("c_name").alias("nama_env"))
-    features = geo_features(customer, code, F.col("c_name"), F.col("c_nationkey").cast("double"),
+    # few bytes a row make long texts and much work per row: the rows are dealt
+    # over tasks, however few the table's files and row groups are
+    features = geo_features(customer.hint("rebalance"), code, F.col("c_name"), F.col("c_nationkey").cast("double"),
                             F.col("c_acctbal") / 1000.0, F.lit(1.0) + F.col("c_nationkey") / 5.0,
                             F.col("c_acctbal") >= 5000)
     return RawSources(health, density, area, env, mapping, features, shared=(per_cy,))
@@ -207,39 +209,69 @@ def config_for(grain: str, **kw) -> PanelConfig:
     return nation_config(**kw) if grain == "nation" else customer_config(**kw)
 
 
-_LANDED: dict = {}
-_LANDING_LOCK = threading.Lock()
+#: Sources that are landed together: those of a group read the shared aggregates.
+_GROUPS = (("health", "density", "area"), ("environment",), ("mapping",), ("features",))
 
 
-def land(spark: SparkSession, raw: RawSources, path: str) -> RawSources:
+def land(spark: SparkSession, raw: RawSources, path: str, names=None) -> RawSources | dict[str, DataFrame]:
     """Write every raw source as a Parquet table under ``path`` and return
-    readers of them (the one-off source load before the batch job)."""
+    readers of them (the one-off source load before the batch job).  Of only
+    those in ``names``, the readers by name."""
     out = {}
+    wanted = names or [name for group in _GROUPS for name in group]
     # aggregates shared by several sources are kept for the duration of the
     # landing only (computed once, released right after)
-    for df in raw.shared:
+    shared = raw.shared if set(wanted) & set(_GROUPS[0]) else ()
+    for df in shared:
         df.persist()
     try:
-        for name in ("health", "density", "area", "environment", "mapping", "features"):
+        for name in wanted:
             df = getattr(raw, name)
             df.write.mode("overwrite").parquet(f"{path}/{name}")
             out[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
     finally:
-        for df in raw.shared:
+        for df in shared:
             df.unpersist()
-    return RawSources(**out)
+    return out if names else RawSources(**out)
+
+
+class LandedSources:
+    """The fields of :class:`RawSources`, each landed once, when it is first
+    read: a query waits only for the sources that it works on."""
+
+    def __init__(self, spark: SparkSession, raw: RawSources, path: str):
+        self._spark, self._raw, self._path = spark, raw, path
+        self._tables: dict[str, DataFrame] = {}
+        self._locks = {group: threading.Lock() for group in _GROUPS}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        group = next((g for g in _GROUPS if name in g), None)
+        if group is None:
+            raise AttributeError(name)
+        with self._locks[group]:  # one landing per source, also when queries run in threads
+            if name not in self._tables:
+                self._tables.update(land(self._spark, self._raw, self._path, group))
+            return self._tables[name]
+
+    def land_all(self) -> None:
+        for group in _GROUPS:
+            getattr(self, group[0])
+
+
+_LANDED: dict[tuple, LandedSources] = {}
+_LANDING_LOCK = threading.Lock()
 
 
-def landed_sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> RawSources:
-    """Raw sources derived from the test tables, landed once per Spark
+def landed_sources(spark: SparkSession, sf_dir: str, grain: str = "nation") -> LandedSources:
+    """Raw sources derived from the test tables, each landed once per Spark
     application in the shared folder (``spark.checkpoint.dir``) and read
     from there by every later query of the application."""
     from panelmart.session import app_id, shared_dir
     key = (app_id(spark), sf_dir.rstrip("/"), grain)
-    with _LANDING_LOCK:  # one landing per key, also when queries run in threads
+    with _LANDING_LOCK:
         if key not in _LANDED:
             import hashlib
             tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
             path = shared_dir(spark, f"ingest/{grain}-{tag}")
-            _LANDED[key] = land(spark, sources(spark, sf_dir, grain), path)
+            _LANDED[key] = LandedSources(spark, sources(spark, sf_dir, grain), path)
         return _LANDED[key]
