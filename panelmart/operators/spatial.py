@@ -110,77 +110,73 @@ def _plus(acc, **more) -> F.Column:
     return F.struct(*[(acc[k] + v).alias(k) for k, v in more.items()])
 
 
-def _about(points, i, o) -> tuple[F.Column, F.Column]:
-    """A point of a path, seen from ``o``."""
-    return _at(_at(points, i), 0) - _at(o, 0), _at(_at(points, i), 1) - _at(o, 1)
+def _seen_from(path, o) -> F.Column:
+    """A path with its points as struct(x, y), seen from ``o``."""
+    return F.struct(path["kind"].alias("kind"), path["sign"].alias("sign"), F.transform(path["points"], lambda p: F.struct(
+        (_at(p, 0) - _at(o, 0)).alias("x"), (_at(p, 1) - _at(o, 1)).alias("y"))).alias("points"))
 
 
-def _ring_area(path, o) -> F.Column:
-    """struct(a, mx, my): twice the area and 6x first moments about ``o``,
-    shells positive, holes negative, whatever their winding."""
-    ring = path["points"]
-    n = F.size(ring)
+def _segments(path) -> F.Column:
+    """array<sx, sy, cross, d>: a path's segments, each with the sums of its
+    ends' coordinates, their cross product and its length; rings are closed.
+    All that a segment adds to sums is made of these, computed once."""
+    points = path["points"]
+    n = F.size(points)
+    ends = F.concat(F.slice(points, 2, n - 1), F.slice(points, 1, 1))
+    closed = F.zip_with(points, ends, lambda a, b: F.struct(
+        (a["x"] + b["x"]).alias("sx"), (a["y"] + b["y"]).alias("sy"),
+        (a["x"] * b["y"] - b["x"] * a["y"]).alias("cross"),
+        F.hypot(b["x"] - a["x"], b["y"] - a["y"]).alias("d")))
+    return F.slice(closed, 1, F.when(path["kind"] == RING, n).otherwise(n - 1))
 
-    def step(acc, i):
-        j = F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
-        (x0, y0), (x1, y1) = _about(ring, i, o), _about(ring, j, o)
-        cross = x0 * y1 - x1 * y0
-        return _plus(acc, a=cross, mx=(x0 + x1) * cross, my=(y0 + y1) * cross)
 
-    def signed(s):
-        turn = F.signum(s["a"]) * path["sign"]
-        return F.struct((s["a"] * turn).alias("a"), (s["mx"] * turn).alias("mx"), (s["my"] * turn).alias("my"))
+_ZERO = dict(a=0.0, mx=0.0, my=0.0, len=0.0, lx=0.0, ly=0.0)
 
-    return F.aggregate(F.sequence(F.lit(0), n - 1), _sums(a=0.0, mx=0.0, my=0.0), step, signed)
 
+def _measure(path) -> F.Column:
+    """struct(a, mx, my, len, lx, ly, closed) of a path: a ring's doubled area
+    and 6x first moments, shells positive, holes negative, whatever their
+    winding; the length, the sums of the segments' lengths times their middles
+    and the squared length of a ring."""
+    def step(acc, s):
+        return _plus(acc, a=s["cross"], mx=s["sx"] * s["cross"], my=s["sy"] * s["cross"],
+                     len=s["d"], lx=s["d"] * s["sx"] / 2.0, ly=s["d"] * s["sy"] / 2.0)
 
-def _length(path, o) -> F.Column:
-    """struct(len, lx, ly, closed): a path's length, the sums of its segments'
-    lengths times their middles about ``o``, and the squared length of a ring;
-    rings are closed."""
-    points = path["points"]
-    n = F.size(points)
-    last = F.when(path["kind"] == RING, n - 1).otherwise(n - 2)
-
-    def step(acc, i):
-        j = F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
-        (x0, y0), (x1, y1) = _about(points, i, o), _about(points, j, o)
-        d = F.hypot(x1 - x0, y1 - y0)
-        return _plus(acc, len=d, lx=d * (x0 + x1) / 2.0, ly=d * (y0 + y1) / 2.0)
+    def finish(s):
+        ring = path["kind"] == RING
+        of_ring = lambda x: F.when(ring, x).otherwise(0.0)
+        turn = F.signum(s["a"]) * path["sign"]
+        return F.struct(*[of_ring(s[k] * turn).alias(k) for k in ("a", "mx", "my")],
+                        *[s[k].alias(k) for k in ("len", "lx", "ly")], of_ring(s["len"] * s["len"]).alias("closed"))
 
-    steps = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    closed = lambda s: F.struct(s["len"].alias("len"), s["lx"].alias("lx"), s["ly"].alias("ly"), F.when(
-        path["kind"] == RING, s["len"] * s["len"]).otherwise(0.0).alias("closed"))
-    return F.aggregate(steps, _sums(len=0.0, lx=0.0, ly=0.0), step, closed)
+    return F.aggregate(_segments(path), _sums(**_ZERO), step, finish)
 
 
 def with_centroid(df: DataFrame, parts_col, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Add planar centroid columns for an array of simple geometries.
 
     Evaluated per row in a few projections, so that each sum is computed
-    once and then read; lengths only where the areas don't decide."""
+    once and then read: one step per point, whatever is summed."""
     p, o = F.col("_paths"), F.col("_origin")
-    area = F.transform(F.filter(p, lambda x: x["kind"] == RING), lambda x: _ring_area(x, o))
-    total = F.aggregate(area, _sums(a=0.0, mx=0.0, my=0.0), lambda acc, s: _plus(acc, a=s["a"], mx=s["mx"], my=s["my"]))
-    lengths = F.transform(F.filter(p, lambda x: x["kind"] != POINT), lambda x: _length(x, o))
-    length = F.aggregate(F.col("_lengths"), _sums(len=0.0, lx=0.0, ly=0.0, closed=0.0),
-                         lambda acc, s: _plus(acc, len=s["len"], lx=s["lx"], ly=s["ly"], closed=s["closed"]))
+    seen = F.transform(F.filter(p, lambda x: x["kind"] != POINT), lambda x: _seen_from(x, o))
+    sums = F.aggregate(F.transform(seen, _measure), _sums(**_ZERO, closed=0.0),
+                       lambda acc, s: _plus(acc, **{k: s[k] for k in (*_ZERO, "closed")}))
     # where no path has a length, each is a point
+    first = lambda x, axis: _at(_at(x["points"], 0), axis) - _at(o, axis)
     point = F.aggregate(p, _sums(n=0.0, px=0.0, py=0.0), lambda acc, x: _plus(
-        acc, n=F.lit(1.0), px=_about(x["points"], 0, o)[0], py=_about(x["points"], 0, o)[1]))
-    t, ln, pt = F.col("_total"), F.col("_length"), F.col("_point")
+        acc, n=F.lit(1.0), px=first(x, 0), py=first(x, 1)))
+    t, pt = F.col("_total"), F.col("_point")
 
     def at(axis: int, m: str, l: str, q: str) -> F.Column:  # noqa: E741
-        return _at(o, axis) + (F.when(F.col("_flat"), F.when(ln["len"] > 0, ln[l] / ln["len"]).when(pt["n"] > 0, pt[q] / pt["n"]))
+        return _at(o, axis) + (F.when(F.col("_flat"), F.when(t["len"] > 0, t[l] / t["len"]).when(pt["n"] > 0, pt[q] / pt["n"]))
                           .otherwise(t[m] / (t["a"] * 3.0)))
 
     out = (df.withColumn("_paths", paths(parts_col)).withColumn("_origin", _at(_at(p, 0)["points"], 0))
-           .withColumn("_total", total)
-           .withColumn("_lengths", lengths).withColumn("_length", length)
-           .withColumn("_flat", F.abs(t["a"]) <= FLAT * ln["closed"])
-           .withColumn("_point", F.when(F.col("_flat") & (ln["len"] == 0), point)))
+           .withColumn("_total", sums)
+           .withColumn("_flat", F.abs(t["a"]) <= FLAT * t["closed"])
+           .withColumn("_point", F.when(F.col("_flat") & (t["len"] == 0), point)))
     return (out.withColumns({lat: at(1, "my", "ly", "py"), lon: at(0, "mx", "lx", "px")})
-            .drop("_paths", "_origin", "_total", "_lengths", "_length", "_flat", "_point"))
+            .drop("_paths", "_origin", "_total", "_flat", "_point"))
 
 
 def centroids(features: DataFrame, id_field: str = "ID_KAB", name_field: str = "KABKOT",
