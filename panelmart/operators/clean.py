@@ -24,6 +24,11 @@ def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     columns, so the result is always deterministic.  ``_input_order`` is
     dropped from the output.
     """
+    return first_rows(df, keys, order_by).select(*[c for c in df.columns if c != INPUT_ORDER])
+
+
+def first_rows(df: DataFrame, keys, order_by=None) -> DataFrame:
+    """:func:`dedup_keep_first` with an ``_input_order`` that it went by kept."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order_by is None and INPUT_ORDER in df.columns:
         order_by = [INPUT_ORDER]
@@ -38,8 +43,7 @@ def dedup_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     # order struct with nulls last per field: (isNull, value) pairs
     ordk = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
     out = df.groupBy(*keys).agg(F.min_by(row, ordk).alias("_r"))
-    return out.select(*[F.col(c) for c in keys], *[F.col(f"_r.{c}").alias(c) for c in others]) \
-        .select(*[c for c in df.columns if c != INPUT_ORDER])
+    return out.select(*[F.col(c) for c in keys], *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def _order_cols(df: DataFrame) -> list:
@@ -115,11 +119,13 @@ def stage_environment(raw: DataFrame, mapping: DataFrame, cfg: PanelConfig,
     """stg_environment: rename, map names to codes, drop unmatched, select,
     keep-first.  Not year-filtered: the health-driven panel join restricts it."""
     e, p = cfg.entity, cfg.period
-    df = rename_environment(raw)
+    values = [*[F.col(v).cast("double").alias(v) for v in cfg.env_vars], *_order_cols(raw)]
+    df = nan_to_null_all(rename_environment(raw).select("nama_env", F.col("tahun").alias(p), *values))
+    # a name's rows of one period all go to the same codes, where only the
+    # first is kept: the others are left before many codes share a name
+    df = first_rows(df, ["nama_env", p], order_by)
     df = map_names(df, mapping, "nama_env", e).where(F.col(e).isNotNull())
-    df = df.select(e, F.col("tahun").alias(p), *[F.col(v).cast("double").alias(v) for v in cfg.env_vars],
-                   *_order_cols(raw))
-    return dedup_keep_first(nan_to_null_all(df), [e, p], order_by)
+    return dedup_keep_first(df.select(e, p, *cfg.env_vars, *_order_cols(df)), [e, p], order_by)
 
 
 def stage_geo(centroids: DataFrame, cfg: PanelConfig) -> DataFrame:

@@ -66,3 +66,49 @@ def test_sums_of_odd_paths(spark):
         want = rows[int(r["kode_bps"])][2]
         got = None if r["longitude"] is None else (r["longitude"], r["latitude"])
         assert got == (want and pytest.approx(want))
+
+
+def test_rows_of_a_name_are_one_before_its_codes(spark, monkeypatch):
+    """Where many codes share a name, rows and codes are not multiplied."""
+    rows = [("A", 2019 + i % 2, 50.0 - i // 2 if i > 3 else float("nan"), 1.0, 0.5, 0.1) for i in range(60)]
+    raw = spark.createDataFrame([*rows, (None, 2019, 1.0, 1.0, 1.0, 1.0)],
+                                "ADM2_NAME string, Year int, Rainfall_Annual double, LST_Celsius double, NDVI double, NDMI double")
+    mapping = spark.createDataFrame([(i, "A") for i in range(40)], "kode_bps int, nama_env string")
+    joined, real = [], clean.map_names
+
+    def spy(df, *a):
+        out = real(df, *a)
+        joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(clean, "map_names", spy)
+    got = clean.stage_environment(raw, mapping, cfg()).collect()
+    assert joined == [2 * 40 + 1]
+    assert sorted((int(r["kode_bps"]), r["tahun"], r["rainfall_annual"]) for r in got) == [
+        (i, y, 21.0) for i in range(40) for y in (2019, 2020)]
+    # the files' order decides where it is recorded
+    from panelmart.sources.readers import INPUT_ORDER
+    ordered = raw.coalesce(1).selectExpr("*", f"-Rainfall_Annual AS {INPUT_ORDER}").where("Rainfall_Annual > 0")
+    got = clean.stage_environment(ordered, mapping, cfg()).collect()
+    assert {(r["tahun"], r["rainfall_annual"]) for r in got} == {(2019, 48.0), (2020, 48.0)} and len(got) == 80
+
+
+def test_groups_are_counted_in_one_pass(spark, monkeypatch):
+    from panelmart.operators import selection
+    from panelmart.operators.quantiles import BinSpec
+    df = spark.range(30).selectExpr("cast(id % 2 as int) g", "cast(id as double) x")
+    seen, real = [], selection.count_groups
+
+    class Once:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            if name in ("count", "collect"):
+                seen.append(name)
+            got = getattr(self.inner, name)
+            return (lambda *a: Once(got(*a))) if name == "limit" else got
+
+    monkeypatch.setattr(selection, "count_groups", lambda values: Once(real(values)))
+    edges = selection.edge_arrays_by_counting(df, [BinSpec("b", "x", "g", ("a", "b"))]).collect()
+    assert seen == ["collect"] and sorted(r["_es"] for r in edges) == [[0.0, 14.0, 28.0], [1.0, 15.0, 29.0]]
