@@ -108,13 +108,13 @@ def edge_arrays_by_counting(df: DataFrame, specs) -> DataFrame:
     specs = list(specs)
     spark = df.sparkSession
     values = long_values(df, specs)
-    groups = count_groups(values)
-    if groups.count() > MAX_GROUPS:
+    groups = count_groups(values).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups: use the sorting method")
     found: dict[tuple[int, int], dict[int, float]] = {}
     sizes: dict[tuple[int, int], int] = {}
     ranges = []
-    for g in groups.collect():
+    for g in groups:
         key, probs = (g["_s"], g["_k"]), specs[g["_s"]].probs
         sizes[key] = g["n"]
         ranks = sorted({r for _, a, b in needed(g["n"], probs) for r in (a, b)})
