@@ -235,23 +235,24 @@ def land(spark: SparkSession, raw: RawSources, path: str, names=None) -> RawSour
     return out if names else RawSources(**out)
 
 
-class LandedSources:
+class LandedSources(RawSources):
     """The fields of :class:`RawSources`, each landed once, when it is first
-    read: a query waits only for the sources that it works on."""
+    read: a query waits only for the sources that it works on.  Fields given
+    as ``tables`` (``dataclasses.replace``) are taken as they are."""
 
-    def __init__(self, spark: SparkSession, raw: RawSources, path: str):
+    def __init__(self, spark: SparkSession | None = None, raw: RawSources | None = None, path: str = "", **tables):
         self._spark, self._raw, self._path = spark, raw, path
-        self._tables: dict[str, DataFrame] = {}
         self._locks = {group: threading.Lock() for group in _GROUPS}
+        vars(self).update(tables)
 
     def __getattr__(self, name: str) -> DataFrame:
         group = next((g for g in _GROUPS if name in g), None)
         if group is None:
             raise AttributeError(name)
         with self._locks[group]:  # one landing per source, also when queries run in threads
-            if name not in self._tables:
-                self._tables.update(land(self._spark, self._raw, self._path, group))
-            return self._tables[name]
+            if name not in vars(self):
+                vars(self).update(land(self._spark, self._raw, self._path, group))
+            return vars(self)[name]
 
     def land_all(self) -> None:
         for group in _GROUPS:
