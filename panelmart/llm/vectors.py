@@ -9,11 +9,15 @@ import pyarrow as pa
 def valid(vectors: pa.Array) -> np.ndarray:
     """Which vectors take part: not null, not empty, not zero, all components
     finite and not null."""
-    out = np.zeros(len(vectors), bool)
-    for i, v in enumerate(vectors.to_pylist()):
-        if v and None not in v:
-            x = np.array(v, np.float64)
-            out[i] = bool(np.isfinite(x).all() and x.any() and np.isfinite(x @ x) and x @ x > 0)
+    sizes = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = sizes > 0
+    if out.any():
+        # null lists and empty ones have no components here, null components are NaN
+        x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        starts = (np.cumsum(sizes) - sizes)[out]
+        with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+            length = np.add.reduceat(x * x, starts)
+        out[out] = np.isfinite(length) & (length > 0)
     return out
 
 
